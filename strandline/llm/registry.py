@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .minhash_dedup import op9_minhash_dedup
+from .quality_rules import op4_quality_rules
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
