@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .minhash_dedup import op9_minhash_dedup
+from .mixing import op7_source_mixing
 from .packing import op6_best_fit_packing
 from .quality_model import op3_quality_model
 from .quality_rules import op4_quality_rules
@@ -11,6 +12,7 @@ QUERIES = {
     "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_source_mixing": op7_source_mixing,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
