@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FALLBACK_DIR: list[str] = []
 
@@ -87,3 +88,29 @@ def words_of(text: bytes | None) -> list[bytes]:
 def lower_words_of(text: bytes | None) -> list[bytes]:
     """The same after lower-casing A-Z alone."""
     return text.lower().split() if text else []
+
+
+ID_BITS = 1 << 25
+
+
+def flag_ids(df: DataFrame, key: str, ids: DataFrame, bits: int = ID_BITS) -> DataFrame:
+    """df plus _maybe: true for every row whose key is among ids' first column, and for a few others.
+
+    A bitmap of the ids' hashes (4 MB at most, whatever the input) is broadcast,
+    so that a following join shuffles little of df. Where ids fill the bitmap all
+    rows are flagged, which costs a shuffle, never a row.
+    """
+    at = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(bits)).alias("_at")
+    known = ids.where(F.col(ids.columns[0]).isNotNull()).select(at)
+    maps = known.selectExpr("bitmap_bucket_number(_at) AS _bucket", "bitmap_bit_position(_at) AS _bit").groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_bit)").alias("_map"))
+    here = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits)))
+    out = df.withColumn("_at", here).withColumns({"_bucket": F.expr("bitmap_bucket_number(_at)"), "_bit": F.expr("bitmap_bit_position(_at)")})
+    out = out.join(F.broadcast(maps), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_map, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    out = out.withColumn("_byte", byte).withColumn("_maybe", F.expr("coalesce((shiftright(_byte, CAST(_bit % 8 AS INT)) & 1) = 1, false)"))
+    return out.select(*df.columns, "_maybe")
+
+
+def only_ids(df: DataFrame, key: str, ids: DataFrame, bits: int = ID_BITS) -> DataFrame:
+    """The rows of df that flag_ids flags."""
+    return flag_ids(df, key, ids, bits).where("_maybe").drop("_maybe")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .line_dedup import OP2_SQL, op2_line_dedup
 from .minhash_dedup import op9_minhash_dedup
 from .mixing import op7_source_mixing
 from .packing import op6_best_fit_packing
@@ -9,6 +10,7 @@ from .quality_model import op3_quality_model
 from .quality_rules import op4_quality_rules
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -16,4 +18,6 @@ QUERIES = {
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
