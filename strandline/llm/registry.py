@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import OP1_SQL, op1_ann
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .minhash_dedup import op9_minhash_dedup
 from .mixing import op7_source_mixing
@@ -10,6 +11,7 @@ from .quality_model import op3_quality_model
 from .quality_rules import op4_quality_rules
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
@@ -19,5 +21,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_ann": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
 }
