@@ -9,6 +9,7 @@ from .mixing import op7_source_mixing
 from .packing import op6_best_fit_packing
 from .quality_model import op3_quality_model
 from .quality_rules import op4_quality_rules
+from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op1_ann": op1_ann,
@@ -17,10 +18,12 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
+    "op8_warc": op8_warc,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 SQL: dict[str, str] = {
     "op1_ann": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
+    "op8_warc": OP8_SQL,
 }
