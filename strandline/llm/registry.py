@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .ann import OP1_SQL, op1_ann
+from .license_scan import op5_license_scan
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .minhash_dedup import op9_minhash_dedup
 from .mixing import op7_source_mixing
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
     "op8_warc": op8_warc,
