@@ -10,6 +10,7 @@ from .mixing import op7_source_mixing
 from .packing import op6_best_fit_packing
 from .quality_model import op3_quality_model
 from .quality_rules import op4_quality_rules
+from .substring_dedup import op10_substring_dedup
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
     "op8_warc": op8_warc,
+    "op10_substring_dedup": op10_substring_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
