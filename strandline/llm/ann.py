@@ -82,8 +82,13 @@ def estimate(codes: np.ndarray, agree: np.ndarray, query: np.ndarray, epsilon: f
     return dot / agree, bound
 
 
+def _in_order(products: np.ndarray) -> np.ndarray:
+    """Row sums, added from the first component to the last."""
+    return np.add.accumulate(products, axis=1)[:, -1]
+
+
 def _cosines(vectors: np.ndarray, norms: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
-    return np.add.reduce(np.ascontiguousarray(vectors * query), axis=1) / (norms * norm)
+    return _in_order(vectors * query) / (norms * norm)
 
 
 def _nearest(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -93,7 +98,7 @@ def _nearest(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -
     ids = vectors["vec_id"].to_numpy(np.int64)
     x = np.stack([np.asarray(v, np.float64) for v in vectors["vector"]])
     q = np.stack([np.asarray(v, np.float64) for v in queries["vector"]])
-    norms, q_norms = np.sqrt(np.add.reduce(x * x, axis=1)), np.sqrt(np.add.reduce(q * q, axis=1))
+    norms, q_norms = np.sqrt(_in_order(x * x)), np.sqrt(_in_order(q * q))
     codes, agree = encode(x / norms[:, None])
     out = []
     for own, vector, norm in zip(queries["vec_id"].to_numpy(np.int64), q, q_norms, strict=True):
