@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, lower_words_of, materialize, mix64, window_hashes, word_hashes
+from .common import WordHash, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
 from .graph import connected_components
 
 SHINGLE = 5
@@ -224,8 +224,9 @@ def near_components(docs: DataFrame, percent: int = 85, block: int = 512) -> Dat
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "block").alias("a"), F.greatest(o, "block").alias("b")))
     )
     placed = clusters.join(sizes, "label").withColumn("block", own).select(F.col("id").alias("doc_id"), "label", "blocks", "block")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).join(placed, "doc_id").dropDuplicates(["doc_id"])
-    members = texts.join(sketches.select("doc_id", "regs").dropDuplicates(["doc_id"]), "doc_id").withColumn("pair", F.explode(pairs))
+    placed = placed.join(only_ids(sketches.select("doc_id", "regs"), "doc_id", placed).dropDuplicates(["doc_id"]), "doc_id")
+    texts = only_ids(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), "doc_id", placed.select("doc_id"))
+    members = texts.join(placed, "doc_id").dropDuplicates(["doc_id"]).withColumn("pair", F.explode(pairs))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_link_cluster(pdf, percent), columns=["u", "v"]).astype("int64")
