@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from .catalog import series, space, tides
+
+_PARTS = [series, space, tides]
+QUERIES: dict = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+SQL: dict = {k: v for part in _PARTS for k, v in part.SQL.items()}
