@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import distance, in_frame, segment_distance
+from .lineage import cut
 
 
 def cell(c: Column, size: float) -> Column:
@@ -66,21 +67,23 @@ def near_segments(points: DataFrame, segments: DataFrame, d: float) -> DataFrame
 
 
 def nearest_distance(left: DataFrame, right: DataFrame, key: list[str], size: float, rounds: int = 12) -> DataFrame:
-    """key and the distance to the nearest row of right, by growing rings of grid cells.
+    """key and the distance to the nearest row of right, by growing grid cells; no row where right is empty.
 
-    A round searches cells of twice the size; what has its nearest within the
-    size is settled. Whatever is left after all rounds is compared with one point
-    per occupied cell first, so it stays bounded by the cells of the last size.
+    A round joins the 3 x 3 cells around each point; what has its nearest within
+    the cell size is settled, the rest goes on with cells four times as large.
     """
-    todo, out = left, None
+    p = left.select(*key, "x", "y")
+    todo, out = cut(p), None
+    nothing = right.isEmpty()
     for r in range(rounds):
         s = size * 4**r
         right_cells = _around(right.select("x", "y"), s).select("_cx", "_cy", F.col("x").alias("_rx"), F.col("y").alias("_ry"))
-        p = todo.withColumn("_cx", cell(F.col("x"), s)).withColumn("_cy", cell(F.col("y"), s))
-        d = p.join(right_cells, ["_cx", "_cy"]).groupBy(*key).agg(F.min(distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))).alias("nearest")).where(F.col("nearest") <= s)
+        placed = todo.withColumn("_cx", cell(F.col("x"), s)).withColumn("_cy", cell(F.col("y"), s))
+        d = placed.join(right_cells, ["_cx", "_cy"]).groupBy(*key).agg(F.min(distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))).alias("nearest")).where(F.col("nearest") <= s)
+        d = cut(d)
         out = d if out is None else out.unionByName(d)
-        todo = todo.join(d.select(*key), key, "left_anti")
-        if r % 3 == 2 and todo.isEmpty():
+        todo = cut(todo.join(d.select(*key), key, "left_anti"))
+        if nothing or todo.isEmpty():
             break
     return out
 
