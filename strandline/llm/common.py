@@ -42,7 +42,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 class WordHash(dict):
     """64-bit hash of a word (bytes), remembered for a bounded vocabulary."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -121,6 +121,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
             ["doc_id", "n_shingles", "text_key", "regs", "bands"],
         )
+        pa.default_memory_pool().release_unused()
 
 
 def sketch(docs: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ class _Odd(Exception):
 class _Words(dict):
     """Little-endian ids of a word, with the space before it where lead is ' '."""
 
-    LIMIT = 200_000
+    LIMIT = 100_000
 
     def __init__(self, encode, lead: str):
         self.encode, self.lead = encode, lead
@@ -123,6 +123,10 @@ def tokenize(docs: DataFrame, size: int = SEQUENCE, json_path: str | None = None
                     rows.append((doc, k, s, n, zlib.crc32(view[4 * s : 4 * (s + n)])))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            pa.default_memory_pool().release_unused()
+        # the worker lives on: it keeps the encoder, not the words
+        enc.first.clear()
+        enc.later.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

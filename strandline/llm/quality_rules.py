@@ -197,6 +197,7 @@ def keep_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
             words, repeats = stats[:, 0], stats[:, STATS.index("n_repeat_words")]
             good = (words >= 20) & (100 * repeats <= 30 * words) & (posteriors[vote_codes(stats)] >= threshold)
             yield batch.filter(pa.array(good))
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(keep, docs.schema)
 
