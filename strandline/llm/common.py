@@ -39,6 +39,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of BATCH_ROWS rows at most unless the session asks for other than Spark's default.
+
+    A batch of 10,000 texts fills Arrow's buffers on both sides of a Python
+    worker, and neither side gives such memory back while it lives.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 class WordHash(dict):
     """64-bit hash of a word (bytes), remembered for a bounded vocabulary."""
 

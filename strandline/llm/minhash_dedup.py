@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
+from .common import WordHash, lower_words_of, materialize, mix64, only_ids, small_batches, window_hashes, word_hashes
 from .graph import connected_components
 
 SHINGLE = 5
@@ -126,7 +126,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, text_key (digest of the word sequence), regs, bands."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketch_batches, "doc_id long, n_shingles long, text_key binary, regs binary, bands array<long>")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketch_batches, "doc_id long, n_shingles long, text_key binary, regs binary, bands array<long>")
 
 
 def shingle_ids(texts: list[bytes]) -> list[np.ndarray]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small_batches
 
 SEQUENCE = 1024
 END_ID = 2
@@ -128,7 +128,7 @@ def tokenize(docs: DataFrame, size: int = SEQUENCE, json_path: str | None = None
         enc.first.clear()
         enc.later.clear()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

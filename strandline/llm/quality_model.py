@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import word_hashes, words_of
+from .common import small_batches, word_hashes, words_of
 from .quality_rules import STATS, _FlaggedHash, text_stats
 
 BUCKETS, K = 1 << 14, 8
@@ -136,7 +136,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7) -> Da
             scores = np.array([model.score(*featurize(t.as_py(), cache)) for t in batch.column(1).cast(pa.binary())], np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def held_out(doc_id="doc_id"):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, materialize, window_hashes, word_hashes, words_of
+from .common import WordHash, materialize, small_batches, window_hashes, word_hashes, words_of
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_distinct", "n_marks", "n_lettered"]
 WINDOW = 8
@@ -159,7 +159,7 @@ def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, STATS and the vote pattern of every row."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats_batches, "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", code long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats_batches, "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", code long")
 
 
 def fit_documents(stats: DataFrame) -> np.ndarray | None:
@@ -199,7 +199,7 @@ def keep_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
             yield batch.filter(pa.array(good))
             pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return small_batches(docs).mapInArrow(keep, docs.schema)
 
 
 def op4_quality_rules(spark, sf_dir):
