@@ -31,7 +31,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -47,89 +46,109 @@ ANCHOR = 12
 _rng = np.random.default_rng(77)
 _MUL = (_rng.integers(0, 2**32, BANDS * BAND, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _ADD = _rng.integers(0, 2**32, BANDS * BAND, dtype=np.uint64).astype(np.uint32)[:, None]
-_OTHER = np.uint64(0xD6E8FEB86659FD93)
+_ONE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def minhash_bands(shingles: np.ndarray) -> np.ndarray:
-    """Band hashes (int64) of the MinHash signature of uint64 shingle hashes."""
+def minhash_bands(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Band hashes (int64, a row a set) of sets that begin at starts in an array of uint64 shingle hashes."""
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    least = np.full(BANDS * BAND, 2**32 - 1, np.uint32)
-    for at in range(0, len(x), 2048):
-        np.minimum(least, (x[at : at + 2048] * _MUL + _ADD).min(axis=1), out=least)
-    r = least.reshape(BANDS, BAND).astype(np.uint64)
-    z = np.arange(1, BANDS + 1, dtype=np.uint64)
+    least = np.minimum.reduceat(x * _MUL + _ADD, starts, axis=1)
+    r = least.T.reshape(-1, BANDS, BAND).astype(np.uint64)
+    z = np.zeros((len(starts), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(BAND):
-        z = mix64(z * np.uint64(0x9E3779B97F4A7C15) + r[:, i])
+        z = mix64(z * np.uint64(0x9E3779B97F4A7C15) + r[:, :, i])
     return z.view(np.int64)
 
 
-def anchored_runs(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and two hashes of the runs of min_words words at anchors, each text once."""
+def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word and two hashes of the runs of min_words words at anchors, each text once.
+
+    h: word hashes, s: hashes of each SHINGLE words. The runs are hashed at the
+    anchors alone, twice, with other multipliers and other word hashes.
+    """
     if len(h) < min_words:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    s = window_hashes(h, SHINGLE)
     w = min(ANCHOR, len(s))
     anchors = np.unique(np.lib.stride_tricks.sliding_window_view(s, w).argmin(axis=1) + np.arange(len(s) - w + 1))
     anchors = anchors[anchors <= len(h) - min_words]
-    one = window_hashes(h, min_words)[anchors]
+
+    def at_anchors(g: np.ndarray, multiplier: np.uint64) -> np.ndarray:
+        z = np.zeros(len(anchors), np.uint64)
+        for i in range(min_words):
+            z = z * multiplier + g[anchors + i]
+        return mix64(z).view(np.int64)
+
+    one = at_anchors(h, _ONE)
     _, first = np.unique(one, return_index=True)
     anchors, one = anchors[first], one[first]
-    # a second hash of the same words, from other word hashes, at the anchors alone
-    g = mix64(h * _OTHER + np.uint64(1))
-    two = np.zeros(len(anchors), np.uint64)
-    for i in range(min_words):
-        two = two * _OTHER + g[anchors + i]
-    return anchors.astype(np.int64), one.view(np.int64), mix64(two).view(np.int64)
+    return anchors.astype(np.int64), one, at_anchors(mix64(h * _OTHER + np.uint64(1)), _OTHER)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
 
 
-def paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, line, first_word, n_words, text_key, bands of every paragraph."""
+UNITS = "doc_id long, line int, first_word long, n_words long, one long, two long, text_key binary, bands array<long>"
+_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+_NAMES = [c.split(" ")[0] for c in UNITS.split(", ")]
+
+
+def units(docs: DataFrame, min_words: int) -> DataFrame:
+    """Paragraphs (line, text_key, bands) and anchored runs (line null; one, two) of every document, in one pass."""
+
+    def table(columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), k) if c is None else pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            lines: list[list] = [[] for _ in range(5)]
+            shingles, sizes, bands, waiting = [], [], [], 0
+            runs: list[list[np.ndarray]] = [[], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                parts = [lower_words_of(x) for x in text.as_py().split(b"\n")]
+                h = word_hashes([w for p in parts for w in p], cache)
+                if len(h) < min_words:
+                    continue
+                s = window_hashes(h, SHINGLE)
+                found = anchored_runs(h, s, min_words)
+                for c, v in zip(runs, (np.full(len(found[0]), doc, np.int64), *found), strict=True):
+                    c.append(v)
                 at = 0
-                for k, line in enumerate(text.as_py().split(b"\n")):
-                    words = lower_words_of(line)
+                for k, words in enumerate(parts):
                     if len(words) >= min_words:
-                        bands = minhash_bands(np.unique(window_hashes(word_hashes(words, cache), SHINGLE)))
+                        shingles.append(s[at : at + len(words) - SHINGLE + 1])
+                        sizes.append(len(shingles[-1]))
+                        waiting += sizes[-1]
                         key = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                        for c, v in zip(cols, (doc, k, at, len(words), key, bands), strict=True):
+                        for c, v in zip(lines, (doc, k, at, len(words), key), strict=True):
                             c.append(v)
                     at += len(words)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["doc_id", "line", "first_word", "n_words", "text_key", "bands"])
-
-    return _documents(docs).mapInArrow(run, "doc_id long, line int, first_word long, n_words long, text_key binary, bands array<long>")
-
-
-def runs(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, first_word, one, two of every anchored run."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHash()
-        for batch in batches:
-            found = [anchored_runs(word_hashes(lower_words_of(t.as_py()), cache), min_words) for t in batch.column(1).cast(pa.binary())]
-            ids = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(f[0]) for f in found])
-            cols = [np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *map(pa.array, cols)], ["doc_id", "first_word", "one", "two"])
-
-    return _documents(docs).mapInArrow(run, "doc_id long, first_word long, one long, two long")
-
-
-def _links(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+                if waiting > 20_000:
+                    bands.extend(minhash_bands(np.concatenate(shingles), np.r_[0, np.cumsum(sizes)[:-1]]))
+                    shingles, sizes, waiting = [], [], 0
+            if waiting:
+                bands.extend(minhash_bands(np.concatenate(shingles), np.r_[0, np.cumsum(sizes)[:-1]]))
+            if lines[0]:
+                yield table([*lines[:4], None, None, lines[4], bands])
+            if runs[0]:
+                doc, first, one, two = (np.concatenate(c) for c in runs)
+                yield table([doc, None, first, np.full(len(doc), min_words), one, two, None, None])
+            pa.default_memory_pool().release_unused()
+
+    return _documents(docs).mapInArrow(run, UNITS)
+
+
+def _links(members: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Spanning links among paragraphs that share a band and reach the exact similarity."""
-    pdf = pdf.sort_values("id", ignore_index=True)
-    ids, side = pdf["id"].to_numpy(), pdf["block"].to_numpy()
-    both = len(np.unique(side)) > 1
-    bands = np.stack([np.asarray(b, np.int64) for b in pdf["bands"]])
-    sets = shingle_ids(list(pdf["text"]))
+    ids = members.column("id").to_numpy()
+    order = np.argsort(ids)
+    ids, side = ids[order], members.column("block").to_numpy()[order]
+    both = side.min() != side.max()
+    bands = members.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
+    texts = members.column("text").to_pylist()
+    pdf = [texts[i] for i in order]
+    sets = shingle_ids(pdf)
     sizes = np.array([len(s) for s in sets])
     marks = np.zeros(int(max(s[-1] for s in sets)) + 1, np.int64)
     forest, links = _Forest(len(pdf)), []
@@ -154,11 +173,16 @@ def _links(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def similar_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80, block: int = 512) -> DataFrame:
-    """doc_id, first_word, n_words, cluster, text_key of the paragraphs in clusters of two texts or rows at least."""
-    units = materialize(paragraphs(docs, min_words).withColumn("id", F.monotonically_increasing_id()), "paragraphs")
-    keys = units.groupBy("text_key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    reps = materialize(units.select("id", "doc_id", "line", "bands").join(keys.select("id"), "id", "left_semi"), "paragraph-texts")
+def numbered_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """units plus an id, written once."""
+    return materialize(units(docs, min_words).withColumn("id", F.monotonically_increasing_id()), "units")
+
+
+def similar_paragraphs(docs: DataFrame, found: DataFrame, percent: int = 80, block: int = 512) -> DataFrame:
+    """doc_id, first_word, n_words, cluster, text_key of the paragraphs (of units) in clusters of two at least."""
+    own = found.where("line IS NOT NULL").select("id", "doc_id", "line", "first_word", "n_words", "text_key", "bands")
+    keys = own.groupBy("text_key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    reps = materialize(own.select("id", "doc_id", "line", "bands").join(keys.select("id"), "id", "left_semi"), "paragraph-texts")
     banded = reps.select("id", F.explode("bands").alias("band"))
     pivots = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("band", "pivot")
     stars = only_ids(banded, "band", pivots).join(pivots, "band").where("id != pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v"))
@@ -166,35 +190,38 @@ def similar_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, percent: int
     blocks = clusters.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     placed = clusters.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     placed = only_ids(reps, "id", clusters.select("id")).join(placed, "id")
-    lines = only_ids(_documents(docs), "doc_id", placed.select("doc_id")).select(F.col("doc_id").alias("_doc"), F.posexplode(F.split("text", "\n", -1)).alias("_line", "text"))
-    members = placed.join(lines, (F.col("doc_id") == F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["id"])
+    texts = only_ids(_documents(docs), "doc_id", placed.select("doc_id")).select(F.col("doc_id").alias("_doc"), F.posexplode(F.split("text", "\n", -1)).alias("_line", "text"))
+    members = placed.join(texts, (F.col("doc_id") == F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["id"])
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "block").alias("a"), F.greatest(o, "block").alias("b")))
     members = members.select("id", F.col("text").cast("binary").alias("text"), "bands", "block", "label", F.explode(pairs).alias("p"))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_links(pdf, percent), columns=["u", "v"]).astype("int64")
+    def compare(members: pa.Table) -> pa.Table:
+        links = _links(members, percent)
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
-    links = members.select("id", "text", "bands", "block", "label", "p.a", "p.b").groupBy("label", "a", "b").applyInPandas(compare, "u long, v long")
+    links = members.select("id", "text", "bands", "block", "label", "p.a", "p.b").groupBy("label", "a", "b").applyInArrow(compare, "u long, v long")
     labels = connected_components(links)
     named = keys.join(labels, "id", "left").select("text_key", F.coalesce("label", "id").alias("cluster"), (F.col("label").isNotNull() | (F.col("n") > 1)).alias("shared")).where("shared")
-    return units.select("doc_id", "first_word", "n_words", "text_key").join(named.drop("shared"), "text_key")
+    return own.select("doc_id", "first_word", "n_words", "text_key").join(named.drop("shared"), "text_key")
 
 
-def equal_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, first_word, one, two of the runs found in two documents at least."""
-    repeated = runs(docs, min_words).groupBy("one").agg(F.count("*").alias("n")).where("n > 1").select("one")
-    return materialize(only_ids(runs(docs, min_words), "one", materialize(repeated, "repeated-runs")), "runs")
+def equal_runs(found: DataFrame) -> DataFrame:
+    """doc_id, first_word, one, two of the runs (of units) whose first hash is found twice at least."""
+    runs = found.where("line IS NULL").select("doc_id", "first_word", "one", "two")
+    repeated = runs.groupBy("one").agg(F.count("*").alias("n")).where("n > 1").select("one")
+    return materialize(only_ids(runs, "one", repeated), "runs")
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80, block: int = 512) -> DataFrame:
     """doc_id, first_word, n_words, kept_in, similar: see the module."""
-    near = materialize(similar_paragraphs(docs, min_words, percent, block), "similar-paragraphs")
+    found = numbered_units(docs, min_words)
+    near = materialize(similar_paragraphs(docs, found, percent, block), "similar-paragraphs")
     firsts = near.groupBy("cluster").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"), (F.min("text_key") != F.max("text_key")).alias("similar")).where("kept_in < last")
-    found = near.join(firsts, "cluster").where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", "similar")
-    same = equal_runs(docs, min_words)
+    alike = near.join(firsts, "cluster").where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", "similar")
+    same = equal_runs(found)
     owners = same.groupBy("one", "two").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last")).where("kept_in < last").drop("last")
     equal = same.join(owners, ["one", "two"]).where("doc_id != kept_in").select("doc_id", "first_word", F.lit(min_words).cast("long").alias("n_words"), "kept_in", F.lit(False).alias("similar"))
-    spans = found.unionByName(equal).distinct()
+    spans = alike.unionByName(equal).distinct()
     by_doc = W.partitionBy("doc_id").orderBy("first_word", "n_words", "kept_in", "similar")
     reach = F.max(F.col("first_word") + F.col("n_words")).over(by_doc.rowsBetween(W.unboundedPreceding, -1))
     new = F.when(reach.isNull() | (F.col("first_word") > reach), 1).otherwise(0)

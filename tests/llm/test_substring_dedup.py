@@ -59,7 +59,7 @@ def test_near_paragraphs_match_brute_force(spark):
             rows.append((len(rows), text([own, v])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for block in (512, 4):
-        got = {(r.doc_id, r.first_word): r.cluster for r in sd.similar_paragraphs(df, block=block).collect()}
+        got = {(r.doc_id, r.first_word): r.cluster for r in sd.similar_paragraphs(df, sd.numbered_units(df), block=block).collect()}
         units = [(d, 45, line.lower().split()) for d, t in rows for line in t.split("\n")[1:]]
         sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, _, w in units]
         up = list(range(len(units)))
