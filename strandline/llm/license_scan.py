@@ -3,10 +3,15 @@
 Native: DataFrame and SQL functions and pyspark.ml. A multinomial logistic
 regression over sparse words and word pairs is fitted on notices of each licence
 family (whole, and in halves) against paragraphs sampled from the corpus, which
-are the class `unknown`. n-grams common in the corpus sample can't tell licences
-and are left out, so that nearly all paragraphs meet no feature at all. On rows
-held out of the fit, a temperature for the logits is chosen by likelihood, which
-calibrates the probabilities, those of `unknown` included.
+are the class `unknown`: distinct ones, drawn by their number of copies. n-grams
+common in the corpus can't tell licences and are left out, so that nearly all
+paragraphs meet no feature at all; their frequency is counted over all paragraphs
+of all documents. On rows held out of the fit, a temperature for the logits is
+chosen by likelihood, which calibrates the probabilities, those of `unknown`
+included.
+
+One pass over the texts writes each paragraph's n-grams that a notice holds too
+(a fixed vocabulary); frequencies, sample and scores are taken from those.
 
 Scoring explodes a paragraph's distinct n-grams, meets the weights (a broadcast
 table of MAX_FEATURES rows at most) and adds them up by paragraph, combined
@@ -30,6 +35,8 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 UNKNOWN = "unknown"
 #: Usual short notices of each family.
 NOTICES = {
@@ -50,6 +57,7 @@ FAMILIES = [*sorted(NOTICES), UNKNOWN]
 MAX_FEATURES = 4_000
 SAMPLE = 1_500
 COMMON = 0.02
+MARKS = ["license", "licensed", "licence", "licenced", "copyright", "reserved"]
 
 
 def words(text: Column) -> Column:
@@ -60,45 +68,75 @@ def pairs(w: Column) -> Column:
     return F.when(F.size(w) > 1, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph, words: a row per line."""
-    lines = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+def grams_of(words: list[str]) -> set[str]:
+    """Distinct words and word pairs."""
+    return {*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))}
+
+
+def lines(docs: DataFrame, grams: list[str]) -> DataFrame:
+    """doc_id, paragraph, h (hash of its words), marked (a licence word in it), met (which of grams it holds): a row per line with a word."""
+    single = sorted({w for g in grams for w in g.split(" ")})
+    rows = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
+    rows = rows.select("doc_id", "paragraph", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    # words outside of any gram become null, and so do pairs with them
+    rows = rows.select("doc_id", "paragraph", F.xxhash64("w").alias("h"), F.arrays_overlap("w", F.array(*map(F.lit, MARKS))).alias("marked"), F.transform("w", lambda x: F.when(x.isin(single), x)).alias("v"))
+    both = F.zip_with("v", F.slice("v", 2, F.size("v")), lambda a, b: F.concat(a, F.lit(" "), b))
+    met = F.filter(F.array_distinct(F.concat("v", both)), lambda g: g.isin(grams))
+    return rows.select("doc_id", "paragraph", "h", "marked", met.alias("met"))
 
 
 def _notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(f, n) for f in sorted(NOTICES) for n in NOTICES[f]], "family string, notice string")
 
 
-def _examples(docs: DataFrame, sample: int) -> tuple[DataFrame, list[set]]:
-    """Training rows (family, grams) and the sampled paragraphs' grams."""
-    spark = docs.sparkSession
+def _licences() -> list[tuple[str, list[str], bool]]:
+    """Family, words and whether held out of the fit: the notices, whole and in parts."""
     parts = []
     for family in sorted(NOTICES):
         for notice in NOTICES[family]:
             w = "".join(c if c.isascii() and c.isalnum() else " " for c in notice.lower()).split()
             cuts = [w] * 3 + ([w[: len(w) // 2], w[len(w) // 2 :], w[len(w) // 3 :]] if len(w) >= 9 else [])
             parts += [(family, c, k == 2) for k, c in enumerate(cuts)]
-    given = paragraphs(docs).select("w", F.xxhash64("w").alias("h")).orderBy("h").limit(sample).select("w").collect()
+    return parts
+
+
+def licence_grams() -> list[str]:
+    """The n-grams of all notices: a vocabulary that doesn't grow with the corpus."""
+    return sorted({g for _, w, _ in _licences() for g in grams_of(w)})
+
+
+def common_grams(rows: DataFrame) -> set[str]:
+    """The n-grams in over COMMON of all paragraphs but those with a licence word, every copy counted."""
+    clean = rows.where("NOT marked")
+    n = clean.count()
+    seen = clean.select(F.explode("met").alias("g")).groupBy("g").count().where(F.col("count") > COMMON * max(n, 50))
+    return {r.g for r in seen.collect()}  # of licence_grams()
+
+
+def _unknown(rows: DataFrame, sample: int) -> list[list[str]]:
+    """n-grams of distinct paragraphs, drawn without replacement by their number of copies (least of exponential times)."""
     # the corpus's own licence lines would teach that they are unknown
-    marks = {"license", "licensed", "licence", "licenced", "copyright", "reserved"}
-    corpus = [list(r.w)[:400] for r in given if not marks & set(r.w)]
-    parts += [(UNKNOWN, w, k % 3 == 2) for k, w in enumerate(corpus)]
-    grams = lambda w: sorted({*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))})
-    rows = [(FAMILIES.index(f), grams(w), held) for f, w, held in parts]
-    rows += [(FAMILIES.index(UNKNOWN), ["\u0000"], False)] * 5  # a paragraph without features
-    return spark.createDataFrame([(float(f), g, held) for f, g, held in rows], "label double, grams array<string>, held boolean"), [set(grams(w)) for w in corpus]
+    distinct = rows.where("NOT marked").groupBy("h").agg(F.count("*").alias("n"), F.first("met").alias("met"))
+    uniform = (F.pmod(F.xxhash64("h", F.lit(5)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    drawn = distinct.select("h", "met", (-F.log(uniform) / F.col("n")).alias("time")).orderBy("time", "h").limit(sample)
+    return [list(r.met) for r in drawn.collect()]
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, list[float]]], list[float]]:
     """Weights (n-gram, one number a family) and intercepts, divided by the temperature."""
-    rows, corpus = _examples(docs, sample)
-    seen: dict[str, int] = {}
-    for g in corpus:
-        for x in g:
-            seen[x] = seen.get(x, 0) + 1
-    licences = rows.where(F.col("label") < FAMILIES.index(UNKNOWN)).select(F.explode("grams").alias("g")).distinct()
-    vocabulary = sorted(r.g for r in licences.collect() if seen.get(r.g, 0) <= COMMON * max(len(corpus), 50))[:MAX_FEATURES]
+    return fit_lines(materialize(lines(docs, licence_grams()), "license-lines"), sample)
+
+
+def fit_lines(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, list[float]]], list[float]]:
+    """fit() on lines() of all licence_grams()."""
+    spark = rows.sparkSession
+    common = common_grams(rows)
+    vocabulary = [g for g in licence_grams() if g not in common][:MAX_FEATURES]
+    # n-grams outside of the vocabulary are no features, so the licence n-grams of a paragraph are enough
+    parts = [(f, sorted(grams_of(w)), held) for f, w, held in _licences()]
+    parts += [(UNKNOWN, g, k % 3 == 2) for k, g in enumerate(_unknown(rows, sample))]
+    parts += [(UNKNOWN, ["\u0000"], False)] * 5  # a paragraph without features
+    rows = spark.createDataFrame([(float(FAMILIES.index(f)), g, held) for f, g, held in parts], "label double, grams array<string>, held boolean")
     vectorizer = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True)
     data = vectorizer.transform(rows).select("label", "features", "held")
     model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60).fit(data.where("NOT held"))
@@ -118,10 +156,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, list[flo
 
 
 def scan(docs: DataFrame, weights: list[tuple[str, list[float]]], intercepts: list[float], share: float = 0.6) -> DataFrame:
-    spark = docs.sparkSession
+    return scan_lines(lines(docs, [g for g, _ in weights]), weights, intercepts, share)
+
+
+def scan_lines(rows: DataFrame, weights: list[tuple[str, list[float]]], intercepts: list[float], share: float = 0.6) -> DataFrame:
+    """scan() on lines() of the weights' n-grams at least."""
+    spark = rows.sparkSession
     table = F.broadcast(spark.createDataFrame(weights, "gram string, w array<double>"))
-    rows = paragraphs(docs)
-    grams = rows.select("doc_id", "paragraph", F.explode(F.array_distinct(F.concat("w", pairs(F.col("w"))))).alias("gram"))
+    grams = rows.select("doc_id", "paragraph", F.explode("met").alias("gram"))
     sums = grams.join(table, "gram").groupBy("doc_id", "paragraph").agg(F.sort_array(F.collect_set(F.struct("gram", "w"))).alias("met"))
     logits = F.aggregate("met", F.array(*map(F.lit, intercepts)), lambda z, m: F.zip_with(z, m["w"], lambda a, b: a + b))
     sums = sums.select("doc_id", "paragraph", F.col("met.gram").alias("grams"), logits.alias("z"))
@@ -141,4 +183,5 @@ def scan(docs: DataFrame, weights: list[tuple[str, list[float]]], intercepts: li
 
 def op5_license_scan(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return scan(docs, *fit(docs))
+    rows = materialize(lines(docs, licence_grams()), "license-lines")
+    return scan_lines(rows, *fit_lines(rows))

@@ -59,6 +59,24 @@ def test_whole_table_is_native(spark, sf):
     assert {(r.doc_id, r.paragraph) for r in out.where("confirmed").collect()} == planted
 
 
+def test_frequency_is_counted_over_all_paragraphs(spark):
+    """A line that a third of all rows hold and one in 3 % of them tell nothing, whatever their hashes."""
+    hot, some = "permission is hereby granted to every reader", "free of charge for any person here"
+    rows = [(i, hot if i % 3 == 0 else some if i % 30 == 1 else f"plain text {i} and more {i * 7}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weights, intercepts = ls.fit(docs)
+    held = {g for t in (hot, some) for g in ls.grams_of(t.split())}
+    assert "hereby granted" in ls.licence_grams() and not held & {g for g, _ in weights}
+    assert ls.scan(docs.where("doc_id % 3 = 0 OR doc_id % 30 = 1"), weights, intercepts).count() == 0
+
+
+def test_unknown_examples_are_distinct_and_whole(spark):
+    hot = "x " * 500 + "the software"
+    docs = spark.createDataFrame([(i, hot if i % 3 else f"text {i} of the work") for i in range(900)], "doc_id long, text string")
+    drawn = ls._unknown(ls.lines(docs, ls.licence_grams()), 200)
+    assert len(drawn) == 200 and sum("software" in g for g in drawn) == 1
+
+
 def test_empty_table(spark, model):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ls.scan(docs, *model).count() == 0
