@@ -10,8 +10,8 @@ clustered by connected components (large clusters are dealt in pairs of blocks).
 A passage need not be a paragraph: it may begin and end inside longer lines. So a
 document's runs of `min_words` words that begin at content-defined anchors (the
 least 5-word hash of any 12 in a row) are compared for equality too. Whatever
-over 50 words two documents share holds such a run; equality is that of two
-independent 64-bit hashes of its words.
+over 50 words two documents share holds such a run, at each of its places;
+equality is that of two independent 64-bit hashes of its words.
 
 Of each cluster the first document (least doc_id) keeps its passage. The result
 has a row per passage to remove from another document: doc_id, first_word,
@@ -60,14 +60,16 @@ def minhash_bands(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return z.view(np.int64)
 
 
-def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word and two hashes of the runs of min_words words at anchors, each text once.
+def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word, words and two hashes of the runs of min_words words at anchors, at every place.
+
+    Places of one text that overlap or touch are joined (words over min_words).
 
     h: word hashes, s: hashes of each SHINGLE words. The runs are hashed at the
     anchors alone, twice, with other multipliers and other word hashes.
     """
     if len(h) < min_words:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 4
     w = min(ANCHOR, len(s))
     anchors = np.unique(np.lib.stride_tricks.sliding_window_view(s, w).argmin(axis=1) + np.arange(len(s) - w + 1))
     anchors = anchors[anchors <= len(h) - min_words]
@@ -78,10 +80,12 @@ def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndar
             z = z * multiplier + g[anchors + i]
         return mix64(z).view(np.int64)
 
-    one = at_anchors(h, _ONE)
-    _, first = np.unique(one, return_index=True)
-    anchors, one = anchors[first], one[first]
-    return anchors.astype(np.int64), one, at_anchors(mix64(h * _OTHER + np.uint64(1)), _OTHER)
+    one, two = at_anchors(h, _ONE), at_anchors(mix64(h * _OTHER + np.uint64(1)), _OTHER)
+    order = np.lexsort((anchors, two, one))
+    at, one, two = anchors[order].astype(np.int64), one[order], two[order]
+    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (np.diff(at) > min_words)][: len(at)]
+    first, last = np.flatnonzero(new), np.flatnonzero(np.r_[new[1:], True][: len(at)])
+    return at[first], at[last] - at[first] + min_words, one[first], two[first]
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def units(docs: DataFrame, min_words: int) -> DataFrame:
         for batch in batches:
             lines: list[list] = [[] for _ in range(5)]
             shingles, sizes, bands, waiting = [], [], [], 0
-            runs: list[list[np.ndarray]] = [[], [], [], []]
+            runs: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 parts = [lower_words_of(x) for x in text.as_py().split(b"\n")]
                 h = word_hashes([w for p in parts for w in p], cache)
@@ -132,8 +136,8 @@ def units(docs: DataFrame, min_words: int) -> DataFrame:
             if lines[0]:
                 yield table([*lines[:4], None, None, lines[4], bands])
             if runs[0]:
-                doc, first, one, two = (np.concatenate(c) for c in runs)
-                yield table([doc, None, first, np.full(len(doc), min_words), one, two, None, None])
+                doc, first, n, one, two = (np.concatenate(c) for c in runs)
+                yield table([doc, None, first, n, one, two, None, None])
             pa.default_memory_pool().release_unused()
 
     return _documents(docs).mapInArrow(run, UNITS)
@@ -206,9 +210,9 @@ def similar_paragraphs(docs: DataFrame, found: DataFrame, percent: int = 80, blo
 
 
 def equal_runs(found: DataFrame) -> DataFrame:
-    """doc_id, first_word, one, two of the runs (of units) whose first hash is found twice at least."""
-    runs = found.where("line IS NULL").select("doc_id", "first_word", "one", "two")
-    repeated = runs.groupBy("one").agg(F.count("*").alias("n")).where("n > 1").select("one")
+    """doc_id, first_word, n_words, one, two of the runs (of units) whose first hash two documents hold at least."""
+    runs = found.where("line IS NULL").select("doc_id", "first_word", "n_words", "one", "two")
+    repeated = runs.groupBy("one").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("one")
     return materialize(only_ids(runs, "one", repeated), "runs")
 
 
@@ -220,7 +224,7 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80, blo
     alike = near.join(firsts, "cluster").where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", "similar")
     same = equal_runs(found)
     owners = same.groupBy("one", "two").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last")).where("kept_in < last").drop("last")
-    equal = same.join(owners, ["one", "two"]).where("doc_id != kept_in").select("doc_id", "first_word", F.lit(min_words).cast("long").alias("n_words"), "kept_in", F.lit(False).alias("similar"))
+    equal = same.join(owners, ["one", "two"]).where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", F.lit(False).alias("similar"))
     spans = alike.unionByName(equal).distinct()
     by_doc = W.partitionBy("doc_id").orderBy("first_word", "n_words", "kept_in", "similar")
     reach = F.max(F.col("first_word") + F.col("n_words")).over(by_doc.rowsBetween(W.unboundedPreceding, -1))

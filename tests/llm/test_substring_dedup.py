@@ -46,6 +46,23 @@ def test_passages_inside_lines(spark):
         assert places[0] <= at and at + n <= places[-1] + 40
 
 
+def test_every_place_in_a_document(spark):
+    """A passage that stands three times in a document that doesn't keep it goes three times."""
+    rng = random.Random(11)
+    words = lambda n: [rng.choice(VOCAB) for _ in range(n)]
+    passage = words(60)
+    keeper = words(100) + passage + words(100)
+    copy, places = words(30), []
+    for _ in range(3):
+        places.append(len(copy))
+        copy += passage + words(80)
+    texts = [(d, text([w[i : i + 30] for i in range(0, len(w), 30)])) for d, w in ((1, keeper), (2, copy))]
+    out = sorted(found(spark, texts), key=lambda r: r[1])
+    assert [(r[0], r[3]) for r in out] == [(2, 1)] * 3
+    for (_, at, n, _, _), place in zip(out, places, strict=True):
+        assert place <= at and at + n <= place + 60 and n >= 40
+
+
 def test_near_paragraphs_match_brute_force(spark):
     rng = random.Random(8)
     rows = []
