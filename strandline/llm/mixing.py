@@ -1,29 +1,35 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Weights are set to shares of a period of `period` slots (largest remainders, one
-slot at least for each source). Block k of a source with q slots a period has
-the release time floor(k period / q) and the deadline ceil((k + 1) period / q);
-earliest-deadline-first over the released blocks fills every slot, and at any
-time each source is within one block of its share. All windows meet the period's
-end, so one period's table (period rows, whatever the input) schedules any
-length: block g of a source goes to slot (g div q) * period + table[g mod q].
+Block k of a source of share w has the release time floor(k / w) and the deadline
+ceil((k + 1) / w); earliest-deadline-first over the released blocks fills every
+slot, and at any time each source is within one block of its share. Shares are
+integers of a sum near 2^62, so times are exact over the whole run. The schedule
+(a row a block) is streamed to storage by one task that holds a block a source,
+and is joined with the blocks of the documents.
 
 A source's documents are put in an order of their own and cut into blocks of
-`block` documents. The schedule runs for as many periods as the slowest source
-needs to give all its blocks; others begin again (epochs), so every document is
-used at least once and the mix holds to the end. Ranks inside a source come from
-counts of bounded hash ranges, so no task holds a whole source.
+`block` documents. The schedule runs until the slowest source has given all its
+blocks; others begin again (epochs), so every document of a source with a weight
+is used at least once and the mix holds to the end. Ranks inside a source come
+from counts of bounded hash ranges, so no task holds a whole source.
+
+With `period`, weights are rounded to slots of a period (largest remainders, one
+slot at least for each source), whose table is repeated.
 
 Defined cases. Null source: a source of its own. Sources without a given weight,
-when weights are given: an error. Null doc_id, repeated rows and null or empty
+when weights are given: an error. Weight 0: no slots, so
+none of its documents (with `period`, one slot a period). Null doc_id, repeated rows and null or empty
 texts: documents like others. Extra columns stay. Empty table: empty result.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -70,49 +76,111 @@ def schedule(q: dict[str | None, int]) -> list[tuple[str | None, int, int]]:
     return out
 
 
-def _ranked(docs: DataFrame, range_rows: int) -> tuple[DataFrame, DataFrame]:
-    """docs with _rank (from 0) inside its source, and documents by source."""
+def shares(weights: dict[str | None, float]) -> dict[str | None, int]:
+    """Integers in the ratio of the weights over 0, exact to one in 2^62."""
+    if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
+        raise ValueError("weights must be at least 0, with a positive sum")
+    exact = {s: Fraction(w) for s, w in weights.items() if w > 0}
+    total = sum(exact.values())
+    return {s: max(1, round(w / total * 2**62)) for s, w in exact.items()}
+
+
+def exact_schedule(parts: list[int], slots: int) -> Iterator[tuple[int, int, int]]:
+    """(number of the source, k, slot) of the first slots, by earliest deadline first."""
+    whole = sum(parts)
+    waiting = [(0, i, 0) for i in range(len(parts))]  # release, source, k
+    ready: list[tuple[int, int, int]] = []
+    for slot in range(slots):
+        while waiting and waiting[0][0] <= slot:
+            _, i, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(k + 1) * whole // parts[i]), i, k))
+        deadline, i, k = heapq.heappop(ready)
+        if deadline <= slot:
+            raise AssertionError("a deadline was missed")
+        yield i, k, slot
+        heapq.heappush(waiting, ((k + 1) * whole // parts[i], i, k + 1))
+
+
+def _ranked(docs: DataFrame, range_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs with _row, the _rank (from 0) of each _row inside its source, and documents by source."""
     docs = docs.withColumn("_row", F.monotonically_increasing_id())
     docs = materialize(docs, "mix-rows")
     n = docs.count()
     ranges = max(1, ceil(n / range_rows))
     docs = docs.withColumn("_range", F.pmod(F.xxhash64("_row"), F.lit(ranges)).cast("int"))
-    counts = docs.groupBy("source", "_range").agg(F.count("*").alias("_n"))
+    own = docs.select("_row", "source", "_range")
+    counts = own.groupBy("source", "_range").agg(F.count("*").alias("_n"))
     before = W.partitionBy("source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     starts = materialize(counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), "mix-starts")
     inside = W.partitionBy("source", "_range").orderBy("_row")
-    ranked = docs.withColumn("_at", F.row_number().over(inside) - 1)
+    ranked = own.withColumn("_at", F.row_number().over(inside) - 1)
     s = starts.select(F.col("source").alias("_s"), F.col("_range").alias("_r"), "_start")
     ranked = ranked.join(s, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-    return ranked.withColumn("_rank", F.col("_start") + F.col("_at")), starts.groupBy("source").agg(F.sum("_n").alias("n"))
+    ranks = ranked.select("_row", "source", (F.col("_start") + F.col("_at")).alias("_rank"))
+    return docs, ranks, starts.groupBy("source").agg(F.sum("_n").alias("n"))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9, block: int = BLOCK, period: int | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The columns of docs plus epoch, block (of its source), slot and place (inside the block).
 
     Without weights, a source's is its number of documents to the power `exponent`.
     """
     columns = docs.columns
     own = docs.select("*")
-    ranked, sizes = _ranked(own, range_rows)
-    found = {r.source: r.n for r in sizes.collect()}  # a row a source, `period` at most
+    rows, ranks, sizes = _ranked(own, range_rows)
+    found = {r.source: r.n for r in sizes.collect()}  # a row a source
     if not found:
         return docs.select("*", *(F.lit(0).cast("long").alias(c) for c in ("epoch", "block", "slot", "place")))
     if weights is not None and (missing := set(found) - set(weights)):
         raise ValueError(f"no weight for {sorted(map(str, missing))}")
-    q = quotas({s: weights[s] if weights else found[s] ** exponent for s in found}, period)
+    given = {s: weights[s] if weights else found[s] ** exponent for s in found}
     blocks = {s: ceil(n / block) for s, n in found.items()}
-    periods = max(ceil(blocks[s] / q[s]) for s in found)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame([(s, q[s], blocks[s], periods * q[s]) for s in found], "_s string, _q long, _blocks long, _total long")
-    table = spark.createDataFrame([(s, k, t) for s, k, t in schedule(q)], "_s2 string, _k long, _t long")
-    out = ranked.drop("_s", "_r").join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_s")))
+    places = _exact_places(ranks, given, blocks, block) if period is None else _period_places(ranks, given, blocks, block, period)
+    out = rows.join(places.withColumnRenamed("_row", "_id"), F.col("_row") == F.col("_id"))
+    return out.select(*columns, F.col("_epoch").alias("epoch"), F.col("_g").alias("block"), F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+
+
+def _epochs(ranks: DataFrame, plan: DataFrame, block: int) -> DataFrame:
+    """ranks and plan with _epoch and _g, the block of its source, for each use."""
+    out = ranks.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_s")))
     first = F.floor(F.col("_rank") / block)
-    out = out.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_total") - 1 - first) / F.col("_blocks")))))
-    out = out.withColumn("_g", first + F.col("epoch") * F.col("_blocks"))
-    out = out.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_g") % F.col("_q") == F.col("_k")))
-    slot = F.floor(F.col("_g") / F.col("_q")) * period + F.col("_t")
-    return out.select(*columns, "epoch", F.col("_g").alias("block"), slot.alias("slot"), (F.col("_rank") % block).alias("place"))
+    last = F.floor((F.col("_total") - 1 - first) / F.col("_blocks"))
+    out = out.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return out.withColumn("_g", first + F.col("_epoch") * F.col("_blocks")).withColumn("_place", F.col("_rank") % block)
+
+
+def _exact_places(ranks: DataFrame, weights: dict, blocks: dict, block: int) -> DataFrame:
+    spark = ranks.sparkSession
+    parts = shares(weights)
+    names, whole = list(parts), sum(parts.values())
+    numbers = [parts[s] for s in names]
+    slots = max(-(-blocks[s] * whole // parts[s]) for s in names)
+    plan = spark.createDataFrame([(s, i, blocks[s], -(-slots * parts[s] // whole)) for i, s in enumerate(names)], "_s string, _i long, _blocks long, _total long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            columns: list[list[int]] = [[], [], []]
+            for row in exact_schedule(numbers, slots):
+                for c, v in zip(columns, row, strict=True):
+                    c.append(v)
+                if len(columns[0]) == 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_j", "_k", "_slot"])
+                    columns = [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_j", "_k", "_slot"])
+
+    table = materialize(spark.range(0, 1, 1, 1).mapInArrow(run, "_j long, _k long, _slot long"), "mix-schedule")
+    out = _epochs(ranks, plan, block).join(table, (F.col("_i") == F.col("_j")) & (F.col("_g") == F.col("_k")))
+    return out.select("_row", "_epoch", "_g", "_slot", "_place")
+
+
+def _period_places(ranks: DataFrame, weights: dict, blocks: dict, block: int, period: int) -> DataFrame:
+    spark = ranks.sparkSession
+    q = quotas(weights, period)
+    periods = max(ceil(blocks[s] / q[s]) for s in q)
+    plan = spark.createDataFrame([(s, q[s], blocks[s], periods * q[s]) for s in q], "_s string, _q long, _blocks long, _total long")
+    table = spark.createDataFrame([(s, k, t) for s, k, t in schedule(q)], "_s2 string, _k long, _t long")
+    out = _epochs(ranks, plan, block).join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_g") % F.col("_q") == F.col("_k")))
+    return out.select("_row", "_epoch", "_g", (F.floor(F.col("_g") / F.col("_q")) * period + F.col("_t")).alias("_slot"), "_place")
 
 
 def mix_documents(docs: DataFrame, **kw) -> DataFrame:

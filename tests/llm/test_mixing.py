@@ -51,6 +51,33 @@ def test_every_document_and_the_mix(spark):
         assert max(n) - min(n) <= 1
 
 
+def test_deviation_from_the_weights():
+    for weights in ([0.3] + [0.7 / 19] * 19, [1 / 3] + [2 / 3 / 1999] * 1999, [1 / 3, 1 / 7, 11 / 21], [1.0, 1.0] * 2100):
+        parts = list(mixing.shares(dict(enumerate(weights))).values())
+        seen, total = [0] * len(weights), sum(weights)
+        for n, (i, k, slot) in enumerate(mixing.exact_schedule(parts, 13_000), 1):
+            assert slot == n - 1 and k == seen[i]
+            seen[i] += 1
+            if n % 97 == 0 or n == 13_000:
+                assert all(abs(c - n * w / total) < 1 + 1e-6 for c, w in zip(seen, weights, strict=True))
+    assert set(mixing.shares({"a": 1, "b": 0})) == {"a"}
+
+
+def test_mix_keeps_to_the_weights(spark):
+    rows = [(i, f"s{i % 20}" if i % 10 > 3 else "s0") for i in range(9000)] + [(9000, None)] * 400 + [(9001, "zero")]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    found = Counter(s for _, s in rows)
+    weights = {s: 0.0 if s == "zero" else 0.3 if s == "s0" else 0.05 for s in found}
+    out = mixing.mix(df, weights=weights, block=2, range_rows=500).collect()
+    assert {(r.doc_id, r.source) for r in out} == {r for r in rows if r[1] != "zero"}
+    source = {r.slot: r.source for r in out}
+    assert sorted(source) == list(range(len(source)))
+    seen, total = Counter(), sum(weights.values())
+    for n in range(1, len(source) + 1):
+        seen[source[n - 1]] += 1
+        assert all(abs(seen[s] - n * w / total) < 1 + 1e-6 for s, w in weights.items())
+
+
 def test_stage_keeps_columns_and_weights(spark):
     df = spark.createDataFrame(rows_of(spark), "doc_id long, text string, source string, n_chars string")
     out = mixing.mix_documents(df, weights={"s0": 1, "s1": 1, "s2": 1, None: 0}, period=16)
