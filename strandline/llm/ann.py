@@ -11,8 +11,8 @@ with high probability. The query is rotated once and cut to 8-bit planes, so
 <o', q> is a few ANDs and bit counts of packed words.
 
 Queries are dealt in blocks to blocks of vectors (a stated query set against all
-rows). In a block, the best few estimates are computed exactly, which gives a
-threshold; every vector whose upper bound reaches it is then computed exactly
+rows). In a block, the best few estimates are computed exactly, more until they
+hold `k` ids, which gives a threshold (the k-th best id's); every vector whose upper bound reaches it is then computed exactly
 too (reranking), and the block returns its `k` nearest. The blocks' results meet
 by query. A task holds one block of vectors and one of queries, of fixed sizes.
 
@@ -104,10 +104,18 @@ def _nearest(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -
     for own, vector, norm in zip(queries["vec_id"].to_numpy(np.int64), q, q_norms, strict=True):
         est, bound = estimate(codes, agree, vector / norm)
         est[ids == own] = -np.inf
-        first = np.argpartition(-est, min(4 * k, len(est) - 1))[: 4 * k]
-        first = first[np.isfinite(est[first])]
-        exact = np.sort(_cosines(x[first], norms[first], vector, norm))[::-1]
-        least = exact[k - 1] if len(exact) >= k else -np.inf
+        size = 4 * k
+        while True:
+            first = np.argpartition(-est, min(size, len(est) - 1))[:size]
+            first = first[np.isfinite(est[first])]
+            exact = _cosines(x[first], norms[first], vector, norm)
+            # the k-th best id, not row: an id may have many vectors
+            down = np.argsort(-exact, kind="stable")
+            _, best = np.unique(ids[first][down], return_index=True)
+            if len(best) >= k or size >= len(est):
+                break
+            size *= 4
+        least = exact[down][np.sort(best)[k - 1]] if len(best) >= k else -np.inf
         again = np.flatnonzero((est + bound >= least) & np.isfinite(est))
         again = np.union1d(again, first)
         scores = _cosines(x[again], norms[again], vector, norm)

@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pandas as pd
 
 from strandline.llm import ann
 
@@ -59,3 +60,20 @@ def test_sql_gives_the_same(spark, sf):
 def test_empty_table(spark):
     v = ann.usable(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert ann.search(v, v).count() == 0
+
+
+def test_id_with_many_near_vectors():
+    """One id holds the nearest 200 rows; five ids come out all the same, the nearest ones."""
+    rng = np.random.default_rng(3)
+    query = rng.normal(size=256)
+    near = query + 0.01 * rng.normal(size=(200, 256))
+    far = rng.normal(size=(300, 256)) + 0.3 * query
+    x = np.r_[near, far]
+    ids = np.r_[np.full(200, 7), np.arange(100, 400)]
+    vectors = pd.DataFrame({"vec_id": ids, "vector": list(x)})
+    queries = pd.DataFrame({"vec_id": [1], "vector": [query]})
+    out = ann._nearest((), vectors, queries, 5)
+    cosine = x @ query / np.linalg.norm(x, axis=1) / np.linalg.norm(query)
+    best = pd.Series(cosine).groupby(ids).max().sort_values(ascending=False).head(5)
+    assert list(out["vec_id"]) == list(best.index)
+    assert np.allclose(out["score"], best.to_numpy())
