@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FALLBACK_DIR: list[str] = []
+_FOLDERS: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,40 +20,89 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not _FALLBACK_DIR:
-        _FALLBACK_DIR.append(tempfile.mkdtemp(prefix="strandline-"))
-    return _FALLBACK_DIR[0]
+    """This application's folder under spark.checkpoint.dir, which every executor can reach; removed when Python ends.
 
+    Where the setting is missing, a local master gets a temporary folder and any other an error.
+    """
+    context = spark.sparkContext
+    found = _FOLDERS.get(context.applicationId)
+    if found is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="strandline-")
+        found = _FOLDERS[context.applicationId] = f"{configured.rstrip('/')}/strandline-{context.applicationId}"
+        atexit.register(remove, spark, found)
+    return found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage; a stopped session leaves it."""
+    if spark.sparkContext._jsc is None:
+        return
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """names, each with as many leading underscores as keep it apart from columns (whatever their case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+BATCH_ROWS = 1_000
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+
+def materialize(df: DataFrame, name: str, batch_rows: int | None = BATCH_ROWS) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
     This cuts lineage: a lost executor costs the reread of a file, never the
-    recomputation of what came before.
+    recomputation of what came before. While it is written, Arrow batches hold
+    batch_rows rows at most unless the session asks for other than Spark's
+    default: a batch of 10,000 texts fills Arrow's buffers on both sides of a
+    Python worker, and neither side gives such memory back while it lives.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize_at(df, name, batch_rows)[0]
 
 
-BATCH_ROWS = 1_000
+def materialize_at(df: DataFrame, name: str, batch_rows: int | None = BATCH_ROWS) -> tuple[DataFrame, str]:
+    """materialize(), and the folder, for callers that know when nothing reads it any more."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(key)
+    small = batch_rows and before == "10000"
+    if small:
+        spark.conf.set(key, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        if small:
+            spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+HEAVY = 1_000
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """df, with Arrow batches of BATCH_ROWS rows at most unless the session asks for other than Spark's default.
+def join_counted(rows: DataFrame, one: DataFrame, keys: list[str], count: str, heavy: int = HEAVY) -> DataFrame:
+    """rows (inner) joined with `one`, which has a row a key and in `count` how many of rows have that key.
 
-    A batch of 10,000 texts fills Arrow's buffers on both sides of a Python
-    worker, and neither side gives such memory back while it lives.
+    A key with over 1 / heavy of all rows would fill one task. There are `heavy`
+    such keys at most, so their rows of `one` are broadcast and rows stay where
+    they are; all other keys meet by a shuffle. `count` isn't in the result.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(key) == "10000":
-        conf.set(key, str(BATCH_ROWS))
-    return df
+    one = materialize(one, "keys")
+    most = (one.agg(F.sum(count)).first()[0] or 0) // heavy
+    hot = F.broadcast(one.where(F.col(count) > most).drop(count))
+    cold = one.where(F.col(count) <= most).drop(count)
+    left = rows.join(F.broadcast(one.where(F.col(count) > most).select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(left)
 
 
 class WordHash(dict):
@@ -108,24 +159,26 @@ def lower_words_of(text: bytes | None) -> list[bytes]:
 ID_BITS = 1 << 25
 
 
-def flag_ids(df: DataFrame, key: str, ids: DataFrame, bits: int = ID_BITS) -> DataFrame:
-    """df plus _maybe: true for every row whose key is among ids' first column, and for a few others.
+def flag_ids(df: DataFrame, key: str, ids: DataFrame, flag: str = "_maybe", bits: int = ID_BITS) -> DataFrame:
+    """df plus flag: true for every row whose key is among ids' first column, and for a few others.
 
     A bitmap of the ids' hashes (4 MB at most, whatever the input) is broadcast,
     so that a following join shuffles little of df. Where ids fill the bitmap all
     rows are flagged, which costs a shuffle, never a row.
     """
-    at = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(bits)).alias("_at")
-    known = ids.where(F.col(ids.columns[0]).isNotNull()).select(at)
-    maps = known.selectExpr("bitmap_bucket_number(_at) AS _bucket", "bitmap_bit_position(_at) AS _bit").groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_bit)").alias("_map"))
-    here = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits)))
-    out = df.withColumn("_at", here).withColumns({"_bucket": F.expr("bitmap_bucket_number(_at)"), "_bit": F.expr("bitmap_bit_position(_at)")})
-    out = out.join(F.broadcast(maps), "_bucket", "left")
-    byte = F.conv(F.hex(F.expr("substring(_map, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    out = out.withColumn("_byte", byte).withColumn("_maybe", F.expr("coalesce((shiftright(_byte, CAST(_bit % 8 AS INT)) & 1) = 1, false)"))
-    return out.select(*df.columns, "_maybe")
+    at, bucket, bit, found, byte = fresh([*df.columns, flag], "_at", "_bucket", "_bit", "_map", "_byte")
+    hashed = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits))
+    known = ids.where(F.col(ids.columns[0]).isNotNull()).select(hashed(F.col(ids.columns[0])).alias(at))
+    maps = known.selectExpr(f"bitmap_bucket_number({at}) AS {bucket}", f"bitmap_bit_position({at}) AS {bit}").groupBy(bucket).agg(F.expr(f"bitmap_construct_agg({bit})").alias(found))
+    out = df.withColumn(at, F.when(F.col(key).isNotNull(), hashed(F.col(key))))
+    out = out.withColumns({bucket: F.expr(f"bitmap_bucket_number({at})"), bit: F.expr(f"bitmap_bit_position({at})")})
+    out = out.join(F.broadcast(maps), bucket, "left")
+    out = out.withColumn(byte, F.conv(F.hex(F.expr(f"substring({found}, CAST({bit} DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int"))
+    out = out.withColumn(flag, F.expr(f"coalesce((shiftright({byte}, CAST({bit} % 8 AS INT)) & 1) = 1, false)"))
+    return out.select(*df.columns, flag)
 
 
 def only_ids(df: DataFrame, key: str, ids: DataFrame, bits: int = ID_BITS) -> DataFrame:
     """The rows of df that flag_ids flags."""
-    return flag_ids(df, key, ids, bits).where("_maybe").drop("_maybe")
+    (flag,) = fresh(df.columns, "_maybe")
+    return flag_ids(df, key, ids, flag, bits).where(F.col(flag)).drop(flag)

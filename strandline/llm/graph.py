@@ -11,18 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_counted, materialize_at, remove
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges (u, v), both directions for large, only v < u for small."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    low = low.select(F.col("u"), F.least("u", "m").alias("m"))
-    linked = edges.join(low, "u")
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    low = low.select("u", F.least("u", "m").alias("m"), "n")
+    linked = join_counted(edges, low, ["u"], "n")
     if large:
         out = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = linked.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        # the least neighbour too: u itself goes to it
+        out = linked.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return out.where("u != v").distinct()
 
 
@@ -30,14 +31,20 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """links (u long, v long) -> (id long, label long): label is the least id reachable.
 
     Rows with a null end, self links and repeated links are ignored; ids without
-    a link are absent; an empty table gives an empty result.
+    a link are absent; an empty table gives an empty result. A vertex with very
+    many links is met by broadcast (join_counted), so it doesn't fill one task.
     """
     edges = links.where("u IS NOT NULL AND v IS NOT NULL AND u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = materialize(edges, "cc-links")
+    spark = links.sparkSession
+    edges, folder = materialize_at(edges, "cc-links")
     before = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        edges = materialize(_star(_star(both, True), False), "cc-round")
+        middle, between = materialize_at(_star(both, True), "cc-large")
+        edges, new = materialize_at(_star(middle, False), "cc-round")
+        for done in (folder, between):
+            remove(spark, done)  # all that comes reads the new round
+        folder = new
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if before == now:
             break

@@ -12,7 +12,8 @@ The model (BUCKETS x (K + 1) floats, about 600 KB) goes to every task with its
 closure; scoring is one pass without a shuffle.
 
 Defined cases. Null, empty or blank text: all word features 0, scored from the
-statistics of an empty text. Null doc_id, repeated rows, extra columns: a row
+statistics of an empty text. Of several labels of one doc_id the least counts, and
+of several texts of it the least one is learnt from, so a fit is repeatable. Null doc_id, repeated rows, extra columns: a row
 each. Empty table: empty result. No label, or labels of one class only: the
 score is the (smoothed) share of label 1.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, word_hashes, words_of
+from .common import materialize, word_hashes, words_of
 from .quality_rules import STATS, _FlaggedHash, text_stats
 
 BUCKETS, K = 1 << 14, 8
@@ -111,7 +112,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray, ep
 
 def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` rows of docs joined with labels (doc_id, quality), in order of a hash of doc_id."""
-    chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long"), "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
+    one = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     ids = F.broadcast(chosen)  # `sample` rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +122,7 @@ def fit_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> M
             f = [featurize(t.as_py(), cache) for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array([a[k].astype(kind).tobytes() for a in f], pa.binary()) for k, kind in enumerate(("<i4", "<f4", "<f8")))], ["doc_id", "quality", "idx", "val", "dense"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").select("doc_id", "text", F.col("quality").cast("int")).dropDuplicates(["doc_id"])
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min(F.col("quality").cast("int")).alias("quality"))
     found = rows.mapInArrow(run, "doc_id long, quality int, idx binary, val binary, dense binary").toArrow().to_pylist()
     found.sort(key=lambda r: (r["doc_id"], r["quality"], r["idx"], r["dense"]))
     parsed = [(np.frombuffer(r["idx"], "<i4").astype(np.int64), np.frombuffer(r["val"], "<f4").astype(np.float64), np.frombuffer(r["dense"], "<f8")) for r in found]
@@ -136,7 +138,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7) -> Da
             scores = np.array([model.score(*featurize(t.as_py(), cache)) for t in batch.column(1).cast(pa.binary())], np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int"), "quality-scores")
 
 
 def held_out(doc_id="doc_id"):

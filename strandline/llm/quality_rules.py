@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import WordHash, materialize, small_batches, window_hashes, word_hashes, words_of
+from .common import WordHash, fresh, materialize, window_hashes, word_hashes, words_of
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_distinct", "n_marks", "n_lettered"]
 WINDOW = 8
@@ -159,14 +160,17 @@ def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, STATS and the vote pattern of every row."""
-    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats_batches, "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", code long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats_batches, "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", code long")
 
 
-def fit_documents(stats: DataFrame) -> np.ndarray | None:
-    """Posteriors by pattern, from the pattern counts of all rows; None without rows."""
-    counts = np.array([(r["code"], r["count"]) for r in stats.groupBy("code").count().collect()], np.int64).reshape(-1, 2)
+def fit_documents(stats: DataFrame, code: str = "code") -> dict[int, float]:
+    """Posterior of each pattern that occurs (PATTERNS at most), from the pattern counts of all rows; empty without rows."""
+    counts = np.array([(r[0], r[1]) for r in stats.groupBy(code).count().collect()], np.int64).reshape(-1, 2)
     counts = counts[np.argsort(counts[:, 0])]
-    return fit(counts[:, 0], counts[:, 1]) if len(counts) else None
+    if not len(counts):
+        return {}
+    posteriors = fit(counts[:, 0], counts[:, 1])
+    return {int(c): float(posteriors[c]) for c in counts[:, 0]}
 
 
 def base_failed():
@@ -176,30 +180,36 @@ def base_failed():
 def score_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, statistics, base_failed, quality (posterior), kept: one row per row of docs."""
     stats = materialize(document_stats(docs), "quality-stats")
-    posteriors = fit_documents(stats)
-    rows = [] if posteriors is None else [(i, float(p)) for i, p in enumerate(posteriors)]
-    model = docs.sparkSession.createDataFrame(rows, "code long, quality double")  # PATTERNS rows at most
+    model = docs.sparkSession.createDataFrame(list(fit_documents(stats).items()), "code long, quality double")  # PATTERNS rows at most
     out = stats.join(F.broadcast(model), "code").withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
 def keep_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    posteriors = fit_documents(document_stats(docs))
-    if posteriors is None:
-        return docs
+    """The rows of docs that stay, with all their columns, whatever their names.
+
+    Statistics are computed once: the rows are written with their patterns, and
+    what stays is read from there.
+    """
+    (code,) = fresh(docs.columns, "_code")
     at = docs.columns.index("text")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _FlaggedHash()
         for batch in batches:
             stats = _table(batch.column(at), cache)
             words, repeats = stats[:, 0], stats[:, STATS.index("n_repeat_words")]
-            good = (words >= 20) & (100 * repeats <= 30 * words) & (posteriors[vote_codes(stats)] >= threshold)
-            yield batch.filter(pa.array(good))
+            failed = (words < 20) | (100 * repeats > 30 * words)
+            # the base rules go with the pattern's sign
+            codes = np.where(failed, ~vote_codes(stats), vote_codes(stats))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes)], [*batch.schema.names, code])
             pa.default_memory_pool().release_unused()
 
-    return small_batches(docs).mapInArrow(keep, docs.schema)
+    coded = materialize(docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(code, LongType())])), "quality-codes")
+    pattern = F.when(F.col(code) < 0, F.bitwise_not(code)).otherwise(F.col(code))
+    good = [c for c, p in fit_documents(coded.select(pattern.alias(code)), code).items() if p >= threshold]
+    model = docs.sparkSession.createDataFrame([(c,) for c in good], f"`{code}` long")  # PATTERNS rows at most
+    return coded.join(F.broadcast(model), code, "left_semi").select(docs.columns)
 
 
 def op4_quality_rules(spark, sf_dir):
