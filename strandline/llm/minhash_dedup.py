@@ -8,13 +8,15 @@ probability close to their Jaccard similarity. The steps:
 
 1. sketch every document (Arrow batches; no shuffle) and write the sketches;
 2. collapse texts whose whole word sequence is the same (128-bit digest);
-3. band the registers: a bucket links each member to its least id, which gives
-   candidate clusters; every pair of documents that shares a bucket lies in one
-   cluster, so no group is expanded into pairs of rows;
-4. inside a cluster: pairs that share a band, joint maximum-likelihood estimate
-   of the similarity from the register comparison, then exact comparison of full
-   shingle sets. Clusters above `block` members are dealt in blocks, and every
-   pair of blocks is one small task that gives links of a spanning forest only;
+3. band the registers: a bucket compares each member with its least id by the
+   joint maximum-likelihood estimate of their similarity from the registers. Only
+   buckets with a member unlike the least one go on: their unlike members meet
+   all of the bucket's, by registers too, in blocks. So what chains documents is
+   an estimate near the threshold, never a collision alone;
+4. components of those links are candidate clusters, where pairs that share a
+   band and whose estimate allows it are compared by full shingle sets. Clusters
+   above `block` members are dealt in blocks, and every pair of blocks is one
+   small task that gives links of a spanning forest only;
 5. connected components over those links.
 
 With bands of 5 of 120 registers a pair at similarity 0.85 shares no band with a
@@ -30,15 +32,15 @@ document. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
+from .common import WordHash, join_counted, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
 from .graph import connected_components
 
 SHINGLE = 5
@@ -49,6 +51,7 @@ _rng = np.random.default_rng(20240917)
 _MUL = (_rng.integers(0, 2**32, M, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _ADD = _rng.integers(0, 2**32, M, dtype=np.uint64).astype(np.uint32)[:, None]
 _CHUNK = 2048
+Near = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -172,7 +175,6 @@ def _link_cluster(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     bands = band_hashes(regs)
     sets = shingle_ids(list(pdf["text"]))
     sizes = np.array([len(s) for s in sets], np.float64)
-    floor = percent / 100 - 4.5 * np.sqrt(percent / 100 * (1 - percent / 100) / M)
     marks = np.zeros(int(max((s[-1] for s in sets if len(s)), default=-1)) + 1, np.int8)
     forest, links = _Forest(n), []
     for i in range(n - 1):
@@ -189,7 +191,7 @@ def _link_cluster(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
             continue
         more = (regs[i] > regs[later]).sum(axis=1)
         less = (regs[i] < regs[later]).sum(axis=1)
-        later = later[estimate_similarity(more, less, np.full(len(later), sizes[i]), sizes[later]) >= floor]
+        later = later[estimate_similarity(more, less, np.full(len(later), sizes[i]), sizes[later]) >= _floor(percent)]
         if not len(later):
             continue
         marks[sets[i]] = 1
@@ -204,6 +206,92 @@ def _link_cluster(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return links
 
 
+def _floor(percent: int) -> float:
+    """The least estimate that a pair at the similarity may have: 4.5 standard deviations below it."""
+    p = percent / 100
+    return p - 4.5 * float(np.sqrt(p * (1 - p) / M))
+
+
+def registers_of(column: Iterable[bytes], n: int) -> np.ndarray:
+    """A row of uint16 registers for each of n sketches."""
+    return np.frombuffer(b"".join(column), np.uint16).reshape(n, -1)
+
+
+def near_sketches(percent: int) -> Near:
+    """May sketches a and b of sets of n and m members reach the similarity?"""
+
+    def near(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+        alike = estimate_similarity((a > b).sum(axis=1), (a < b).sum(axis=1), n, m) >= _floor(percent)
+        return alike & (np.minimum(n, m) * 100 >= percent * np.maximum(n, m))
+
+    return near
+
+
+def _bucket_links(pdf: pd.DataFrame, near: Near) -> list[tuple[int, int]]:
+    """Spanning links, by registers, of one bucket's pairs (or of two of its blocks) with an unlike member."""
+    pdf = pdf.sort_values("doc_id", ignore_index=True)
+    n = len(pdf)
+    ids, side, unlike = pdf["doc_id"].to_numpy(), pdf["block"].to_numpy(), pdf["unlike"].to_numpy(bool)
+    both = len(np.unique(side)) > 1
+    regs, sizes = registers_of(pdf["regs"], n), pdf["n_shingles"].to_numpy(np.float64)
+    forest, links, at = _Forest(n), [], np.arange(n)
+    for i in np.flatnonzero(unlike):
+        others = at[(at > i) | ~unlike]
+        if both:
+            others = others[side[others] != side[i]]
+        if len(others):
+            roots = forest.roots()
+            others = others[roots[others] != roots[i]]
+        if not len(others):
+            continue
+        for j in others[near(regs[others], sizes[others], regs[i : i + 1], sizes[i : i + 1])]:
+            a, b = forest.root(i), forest.root(j)
+            if a != b:
+                forest.up[max(a, b)] = min(a, b)
+                links.append((int(ids[j]), int(ids[i])))
+    return links
+
+
+def block_pairs(blocks: str, block: str) -> Column:
+    """Every pair of blocks (a <= b) that a member's block takes part in."""
+    return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda o: F.struct(F.least(o, block).alias("a"), F.greatest(o, block).alias("b")))
+
+
+def candidate_links(sketches: DataFrame, near: Near, block: int = 2048) -> DataFrame:
+    """Links (u, v) whose components hold every pair that shares a band and is near by registers.
+
+    sketches: doc_id, n_shingles, regs, bands, one row per text.
+    """
+
+    @F.pandas_udf("boolean")
+    def alike(regs_u: pd.Series, n_u: pd.Series, regs_v: pd.Series, n_v: pd.Series) -> pd.Series:
+        n = len(regs_u)
+        return pd.Series(near(registers_of(regs_u, n), n_u.to_numpy(np.float64), registers_of(regs_v, n), n_v.to_numpy(np.float64)) if n else np.zeros(0, bool))
+
+    banded = materialize(sketches.select("doc_id", F.explode("bands").alias("band")).dropDuplicates(["doc_id", "band"]), "bands")
+    pivots = banded.groupBy("band").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("v < last").drop("last")
+    stars = join_counted(only_ids(banded, "band", pivots), pivots, ["band"], "n").where("doc_id != v").select("band", F.col("doc_id").alias("u"), "v")
+    stars = materialize(stars, "stars")
+    pairs = stars.select("u", "v").distinct()
+    ids = stars.select("u").unionByName(stars.select(F.col("v").alias("u"))).distinct()
+    regs = materialize(only_ids(sketches.select("doc_id", "n_shingles", "regs"), "doc_id", ids).dropDuplicates(["doc_id"]), "star-registers")
+    mine = regs.select(F.col("doc_id").alias("u"), F.col("n_shingles").alias("n_u"), F.col("regs").alias("regs_u"))
+    other = regs.select(F.col("doc_id").alias("v"), F.col("n_shingles").alias("n_v"), F.col("regs").alias("regs_v")).join(pairs.groupBy("v").count(), "v")
+    judged = join_counted(pairs.join(mine, "u"), other, ["v"], "count").select("u", "v", alike("regs_u", "n_u", "regs_v", "n_v").alias("alike"))
+    judged = materialize(judged, "stars-judged")
+    unlike = stars.join(judged.where("NOT alike"), ["u", "v"]).select("band", "u")
+    sizes = unlike.groupBy("band").agg(F.count("*").alias("_u")).join(pivots.select("band", "n"), "band").select("band", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    members = join_counted(stars.join(judged, ["u", "v"]).select("band", F.col("u").alias("doc_id"), (~F.col("alike")).alias("unlike")), sizes, ["band"], "n")
+    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    members = members.join(regs, "doc_id").withColumn("p", F.explode(block_pairs("blocks", "block")))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_bucket_links(pdf, near), columns=["u", "v"]).astype("int64")
+
+    more = members.select("band", "doc_id", "n_shingles", "regs", "unlike", "block", "p.a", "p.b").groupBy("band", "a", "b").applyInPandas(compare, "u long, v long")
+    return judged.where("alike").select("u", "v").unionByName(more)
+
+
 def near_components(docs: DataFrame, percent: int = 85, block: int = 512) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -212,32 +300,27 @@ def near_components(docs: DataFrame, percent: int = 85, block: int = 512) -> Dat
     """
     sketches = materialize(sketch(docs), "sketches")
     # a word sequence's first document stands for all its copies
-    copies = sketches.where("text_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("text_key").agg(F.min("doc_id").alias("rep"))
-    reps = copies.select(F.col("rep").alias("doc_id"))
-    banded = sketches.where("bands IS NOT NULL AND doc_id IS NOT NULL").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("band"))
-    banded = materialize(banded.dropDuplicates(["doc_id", "band"]), "bands")
-    pivots = banded.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last").select("band", "pivot")
-    stars = banded.join(pivots, "band").where("doc_id != pivot").select(F.col("doc_id").alias("u"), F.col("pivot").alias("v"))
-    clusters = materialize(connected_components(stars), "clusters")
-    sizes = clusters.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "block").alias("a"), F.greatest(o, "block").alias("b")))
-    )
-    placed = clusters.join(sizes, "label").withColumn("block", own).select(F.col("id").alias("doc_id"), "label", "blocks", "block")
+    named = sketches.where("text_key IS NOT NULL AND doc_id IS NOT NULL")
+    copies = materialize(named.groupBy("text_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "copies")
+    reps = sketches.where("bands IS NOT NULL AND doc_id IS NOT NULL").join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    clusters = materialize(connected_components(candidate_links(reps, near_sketches(percent))), "clusters")
+    sizes = clusters.groupBy("label").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = join_counted(clusters, sizes, ["label"], "n").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = placed.select(F.col("id").alias("doc_id"), "label", "blocks", "block")
     placed = placed.join(only_ids(sketches.select("doc_id", "regs"), "doc_id", placed).dropDuplicates(["doc_id"]), "doc_id")
     texts = only_ids(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), "doc_id", placed.select("doc_id"))
-    members = texts.join(placed, "doc_id").dropDuplicates(["doc_id"]).withColumn("pair", F.explode(pairs))
+    members = texts.join(placed, "doc_id").dropDuplicates(["doc_id"]).withColumn("p", F.explode(block_pairs("blocks", "block")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_link_cluster(pdf, percent), columns=["u", "v"]).astype("int64")
 
-    links = members.select("doc_id", "text", "regs", "block", "label", F.col("pair.a").alias("a"), F.col("pair.b").alias("b")).groupBy("label", "a", "b").applyInPandas(compare, "u long, v long")
+    links = members.select("doc_id", "text", "regs", "block", "label", "p.a", "p.b").groupBy("label", "a", "b").applyInPandas(compare, "u long, v long")
     labels = connected_components(links).select(F.col("id").alias("rep"), "label")
-    by_key = copies.join(labels, "rep", "left").select("text_key", F.coalesce("label", "rep").alias("component"))
-    out = sketches.select("doc_id", "n_shingles", "text_key").join(by_key, "text_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    by_key = copies.join(labels, "rep", "left").select("text_key", F.coalesce("label", "rep").alias("component_id"), "n")
+    met = join_counted(named.select("doc_id", "n_shingles", "text_key"), by_key, ["text_key"], "n").drop("text_key")
+    alone = sketches.where("text_key IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = met.unionByName(alone)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op9_minhash_dedup(spark, sf_dir):
