@@ -90,19 +90,21 @@ def materialize_at(df: DataFrame, name: str, batch_rows: int | None = BATCH_ROWS
 HEAVY = 1_000
 
 
-def join_counted(rows: DataFrame, one: DataFrame, keys: list[str], count: str, heavy: int = HEAVY) -> DataFrame:
+def join_counted(rows: DataFrame, one: DataFrame, keys: list[str], count: str, total: int | None = None, heavy: int = HEAVY) -> DataFrame:
     """rows (inner) joined with `one`, which has a row a key and in `count` how many of rows have that key.
 
     A key with over 1 / heavy of all rows would fill one task. There are `heavy`
     such keys at most, so their rows of `one` are broadcast and rows stay where
     they are; all other keys meet by a shuffle. `count` isn't in the result.
+    total: how many rows there are, where the caller knows it.
     """
-    one = materialize(one, "keys")
-    most = (one.agg(F.sum(count)).first()[0] or 0) // heavy
-    hot = F.broadcast(one.where(F.col(count) > most).drop(count))
-    cold = one.where(F.col(count) <= most).drop(count)
-    left = rows.join(F.broadcast(one.where(F.col(count) > most).select(*keys)), keys, "left_anti").join(cold, keys)
-    return rows.join(hot, keys).unionByName(left)
+    if total is None:
+        one = materialize(one, "keys")
+        total = one.agg(F.sum(count)).first()[0] or 0
+    many = F.col(count) > total // heavy
+    hot, cold = one.where(many).drop(count), one.where(~many).drop(count)
+    left = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(left)
 
 
 class WordHash(dict):

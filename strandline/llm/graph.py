@@ -11,28 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_counted, materialize_at, remove
+from .common import materialize_at, remove
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """edges (u, v), both directions for large, only v < u for small."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    low = low.select("u", F.least("u", "m").alias("m"), "n")
-    linked = join_counted(edges, low, ["u"], "n")
+def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, str]:
+    """edges (u, v), both directions for large, only v < u for small; the result, written, and its folder."""
+    low, folder = materialize_at(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
+    linked = edges.join(low, "u")  # two bare shuffles: a vertex with very many links is one that Spark can split
     if large:
         out = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         # the least neighbour too: u itself goes to it
         out = linked.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-    return out.where("u != v").distinct()
+    done = materialize_at(out.where("u != v").distinct(), "cc-star")
+    remove(edges.sparkSession, folder)
+    return done
 
 
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """links (u long, v long) -> (id long, label long): label is the least id reachable.
 
     Rows with a null end, self links and repeated links are ignored; ids without
-    a link are absent; an empty table gives an empty result. A vertex with very
-    many links is met by broadcast (join_counted), so it doesn't fill one task.
+    a link are absent; an empty table gives an empty result.
     """
     edges = links.where("u IS NOT NULL AND v IS NOT NULL AND u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     spark = links.sparkSession
@@ -40,8 +40,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        middle, between = materialize_at(_star(both, True), "cc-large")
-        edges, new = materialize_at(_star(middle, False), "cc-round")
+        middle, between = _star(both, True)
+        edges, new = _star(middle, False)
         for done in (folder, between):
             remove(spark, done)  # all that comes reads the new round
         folder = new
