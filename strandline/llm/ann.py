@@ -10,11 +10,16 @@ and its error stays within
 with high probability. The query is rotated once and cut to 8-bit planes, so
 <o', q> is a few ANDs and bit counts of packed words.
 
-Queries are dealt in blocks to blocks of vectors (a stated query set against all
-rows). In a block, the best few estimates are computed exactly, more until they
-hold `k` ids, which gives a threshold (the k-th best id's); every vector whose upper bound reaches it is then computed exactly
-too (reranking), and the block returns its `k` nearest. The blocks' results meet
-by query. A task holds one block of vectors and one of queries, of fixed sizes.
+Vectors are encoded once and written with their codes. Queries are dealt in
+blocks to blocks of vectors (a stated query set against all rows): copies of a
+row are as many as blocks of the other side, so both blocks are as large as a
+task's memory allows. In a block, the best few estimates are computed exactly,
+more until they hold `k` ids, which gives a threshold (the k-th best id's); every
+vector whose upper bound reaches it is then computed exactly too (reranking), and
+the block returns its `k` nearest. The blocks' results meet by query. Reranking
+needs the original vectors beside the codes: at 64 dimensions the bounds leave
+15 % and more of unrelated vectors to rerank, so sending survivors by id would
+move far more than the blocks do.
 
 Cosine is sum(a b) / (sqrt(sum a^2) sqrt(sum b^2)) in double precision, summed
 in the same order for equal vectors, so that ties are ties.
@@ -28,20 +33,23 @@ columns are ignored. Empty table: empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import materialize
 
 EPSILON = 3.0
 QUERY_BITS = 8
-VECTOR_BLOCK, QUERY_BLOCK = 16_384, 1_024
+VECTOR_BLOCK, QUERY_BLOCK = 16_384, 16_384
 
 
 @lru_cache(4)
@@ -91,17 +99,26 @@ def _cosines(vectors: np.ndarray, norms: np.ndarray, query: np.ndarray, norm: fl
     return _in_order(vectors * query) / (norms * norm)
 
 
-def _nearest(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+def _matrix(column: pa.ChunkedArray, d: int) -> np.ndarray:
+    """Lists of d numbers as rows of doubles."""
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _nearest(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    """The k nearest of a block of coded vectors for each of a block of queries."""
     if not len(vectors) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-    vectors = vectors.sort_values("vec_id", kind="stable", ignore_index=True)
-    ids = vectors["vec_id"].to_numpy(np.int64)
-    x = np.stack([np.asarray(v, np.float64) for v in vectors["vector"]])
-    q = np.stack([np.asarray(v, np.float64) for v in queries["vector"]])
+        return _FOUND.empty_table()
+    vectors = vectors.sort_by("vec_id")
+    ids, d = vectors["vec_id"].to_numpy(), vectors["d"][0].as_py()
+    x, q = _matrix(vectors["vector"], d), _matrix(queries["vector"], d)
     norms, q_norms = np.sqrt(_in_order(x * x)), np.sqrt(_in_order(q * q))
-    codes, agree = encode(x / norms[:, None])
-    out = []
-    for own, vector, norm in zip(queries["vec_id"].to_numpy(np.int64), q, q_norms, strict=True):
+    codes = np.frombuffer(b"".join(vectors["code"].to_pylist()), np.uint64).reshape(len(ids), -1)
+    agree = vectors["agree"].to_numpy()
+    out: list[list] = [[], [], []]
+    for own, vector, norm in zip(queries["vec_id"].to_pylist(), q, q_norms, strict=True):
         est, bound = estimate(codes, agree, vector / norm)
         est[ids == own] = -np.inf
         size = 4 * k
@@ -126,34 +143,58 @@ def _nearest(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -
             taken.setdefault(int(ids[again[i]]), float(scores[i]))
             if len(taken) == k:
                 break
-        out.extend((int(own), i, s) for i, s in taken.items())
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        for c, v in zip(out, ([own] * len(taken), taken.keys(), taken.values()), strict=True):
+            c.extend(v)
+    return pa.table(out, schema=_FOUND)
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, vector (doubles) of the rows that take part, each once."""
-    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    """vec_id, vector (floats where they are given as such, else doubles) of the rows that take part, each once."""
+    kind = vectors.schema[vector_col].dataType
+    number = "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
+    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{number}>").alias("vector"))
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return v.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0)).distinct()
 
 
+def coded(vectors: DataFrame) -> DataFrame:
+    """vectors plus d (their length), code (packed signs) and agree (the correction scalar)."""
+    columns = [f.name for f in vectors.schema.fields]
+    at = columns.index("vector")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(at)).to_numpy(zero_copy_only=False)
+            for d in np.unique(sizes):
+                some = batch.filter(pa.array(sizes == d))
+                x = some.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
+                words, agree = encode(x / np.sqrt(_in_order(x * x))[:, None])
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(len(x), d, np.int32)), pa.array([w.tobytes() for w in words], pa.binary()), pa.array(agree)], [*columns, "d", "code", "agree"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema.fields)
+    return vectors.mapInArrow(run, f"{kinds}, d int, code binary, agree double")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vector_block: int = VECTOR_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of vectors for each of queries (both as usable() gives them)."""
-    vectors = materialize(vectors, "vectors")
+    vectors = materialize(coded(vectors), "vectors", batch_rows=None)
     queries = materialize(queries, "queries")
-    v_blocks, q_blocks = max(1, ceil(vectors.count() / vector_block)), max(1, ceil(queries.count() / query_block))
+    n, q_blocks = vectors.count(), max(1, ceil(queries.count() / query_block))
+    # blocks of full size, or of less where that leaves cores idle
+    busy = ceil(2 * vectors.sparkSession.sparkContext.defaultParallelism / q_blocks)
+    v_blocks = max(1, ceil(n / vector_block), min(busy, n // 2_048))
 
     def block(n):
         return F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n)).cast("int")
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = vectors.withColumn("d", F.size("vector")).withColumn("vb", block(v_blocks)).withColumn("qb", every(q_blocks))
+    left = vectors.withColumn("vb", block(v_blocks)).withColumn("qb", every(q_blocks))
     right = queries.withColumn("d", F.size("vector")).withColumn("qb", block(q_blocks)).withColumn("vb", every(v_blocks))
 
-    def nearest(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(key, a, b, k)
+    def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
+        return _nearest(a, b, k)
 
-    found = left.groupBy("d", "vb", "qb").cogroup(right.groupBy("d", "vb", "qb")).applyInPandas(nearest, "query_id long, vec_id long, score double")
+    found = left.groupBy("d", "vb", "qb").cogroup(right.groupBy("d", "vb", "qb")).applyInArrow(nearest, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -1,6 +1,7 @@
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from strandline.llm import ann
 
@@ -70,9 +71,10 @@ def test_id_with_many_near_vectors():
     far = rng.normal(size=(300, 256)) + 0.3 * query
     x = np.r_[near, far]
     ids = np.r_[np.full(200, 7), np.arange(100, 400)]
-    vectors = pd.DataFrame({"vec_id": ids, "vector": list(x)})
-    queries = pd.DataFrame({"vec_id": [1], "vector": [query]})
-    out = ann._nearest((), vectors, queries, 5)
+    code, agree = ann.encode(x / np.linalg.norm(x, axis=1)[:, None])
+    vectors = pa.table({"vec_id": ids, "vector": x.tolist(), "d": [256] * len(x), "code": [c.tobytes() for c in code], "agree": agree})
+    queries = pa.table({"vec_id": [1], "vector": [query.tolist()]})
+    out = ann._nearest(vectors, queries, 5).to_pandas()
     cosine = x @ query / np.linalg.norm(x, axis=1) / np.linalg.norm(query)
     best = pd.Series(cosine).groupby(ids).max().sort_values(ascending=False).head(5)
     assert list(out["vec_id"]) == list(best.index)
