@@ -50,7 +50,7 @@ def line_hash(line: Column) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long"), 2)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value) with value computed once: higher-order functions would repeat it for each element."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -74,14 +74,14 @@ def chunks(text: Column, every: int = EVERY) -> Column:
         return F.transform(e, lambda x, k: F.struct(F.coalesce(F.get(e, k - 1) + 1, F.lit(1)).alias("s"), x.alias("e")))
 
     lines = F.split(text, "\n", -1)
-    return _let(lines, lambda x: F.struct(x.alias("lines"), _let(_let(_let(F.transform(x, line_hash), flags), ends), spans).alias("spans")))
+    return let(lines, lambda x: F.struct(x.alias("lines"), let(let(let(F.transform(x, line_hash), flags), ends), spans).alias("spans")))
 
 
 def _chunked(docs: DataFrame, every: int) -> DataFrame:
     """doc_id, place (from 0), chunk: a row per chunk that can be removed."""
     # cut before they are exploded: a row carries its own lines alone
     cut = lambda c: F.transform(c["spans"], lambda s: F.when(s["e"] > s["s"], F.array_join(F.slice(c["lines"], s["s"], s["e"] - s["s"] + 1), "\n")))
-    rows = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(_let(chunks(F.col("text"), every), cut)).alias("place", "chunk"))
+    rows = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(let(chunks(F.col("text"), every), cut)).alias("place", "chunk"))
     # two lines with a word at least
     return rows.where(F.col("chunk").rlike(r"[^\x20\x09-\x0D][^\n]*\n(?s:.*)[^\x20\x09-\x0D]"))
 
@@ -129,7 +129,7 @@ def rebuild(joined: DataFrame, every: int, gone: str, out: str, names: tuple[str
         text = F.array_join(F.flatten(F.transform(stays, lambda i: piece(F.get(c["spans"], i)))), "\n")
         return F.struct(F.size(c["spans"]).alias("n"), F.when(F.col(gone).isNotNull(), text).alias("text"))
 
-    done = joined.withColumn(out, F.when(F.col("text").isNotNull(), _let(chunks(F.col("text"), every), left)))
+    done = joined.withColumn(out, F.when(F.col("text").isNotNull(), let(chunks(F.col("text"), every), left)))
     return done.withColumns({
         names[0]: F.coalesce(F.col(out)["n"], F.lit(0)),
         names[1]: F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)),

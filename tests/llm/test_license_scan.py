@@ -42,7 +42,7 @@ def brute(rows, model):
 
 def test_families_and_brute_force(spark, model):
     docs = spark.createDataFrame([(d, t, "x") for d, t in ROWS], "doc_id long, text string, family string")
-    rows = ls.scan(docs, *model).collect()
+    rows = ls.scan(docs, *model).where("n_lines = 1").collect()
     assert {(r.doc_id, r.paragraph): (r.family, round(r.probability, 9)) for r in rows} == brute(ROWS, model)
     assert len({(r.doc_id, r.paragraph) for r in rows}) == len(rows)
     found = {(r.doc_id, r.paragraph): r.family for r in rows if r.confirmed}
@@ -81,3 +81,40 @@ def test_empty_table(spark, model):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ls.scan(docs, *model).count() == 0
     assert ls.fit(docs)[0]
+
+
+WRAPPED = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction"""
+
+
+def test_wrapped_and_altered_notices(spark, model):
+    """Notices over several lines and in other words are found; what only speaks of licences isn't."""
+    rows = [(1, "prose before\n" + WRAPPED + "\nprose after"), (2, MIT), (3, "// " + MIT.replace("\n", "\n// ")), (4, "The code is licensed under the terms of the Apache License 2.0 by its authors"), (5, "Except where noted, text is available under the Creative Commons Attribution-ShareAlike License")]
+    clean = [(10, "His fishing license was lost in the river"), (11, "The copyright office reserved two rooms for the public"), (12, "Permission to enter the garden was granted to the public\nfree of charge for any person"), (13, "licensed under a different name")]
+    out = ls.scan(spark.createDataFrame(rows + clean, "doc_id long, text string"), *model).where("confirmed").collect()
+    found = {(r.doc_id, r.family) for r in out}
+    assert {(1, "gpl"), (2, "mit"), (3, "mit"), (4, "apache"), (5, "cc-by-sa")} <= found
+    assert not {d for d, _ in found} & {d for d, _ in clean}
+
+
+def test_held_out_rows_are_not_in_the_fit():
+    parts = ls._licences()
+    fitted, held = ({tuple(w) for _, w, h in parts if h is side} for side in (False, True))
+    assert held and not fitted & held
+    assert {f for f, _, h in parts if h} == set(ls.NOTICES)
+
+
+def test_calibration_on_held_out_notices(spark, model):
+    """Notices that the fit hasn't seen: most go to their family, and confidence is close to the share that is right."""
+    notices = [(f, n) for f in ls.NOTICES for k, n in enumerate(ls.NOTICES[f]) if k % 4 == 3]
+    others = [("unknown", n) for n in ls.OTHERS[2::3]]
+    rows = [(i, t) for i, (_, t) in enumerate(notices + others)]
+    got = {r.doc_id: (r.family, r.probability) for r in ls.scan(spark.createDataFrame(rows, "doc_id long, text string"), *model).where("n_lines = 1").collect()}
+    right = [got.get(i, ("unknown", 1.0))[0] == f for i, (f, _) in enumerate(notices + others)]
+    mean = sum(got.get(i, ("unknown", 1.0))[1] for i in range(len(rows))) / len(rows)
+    assert sum(right) >= 0.8 * len(right) and abs(mean - sum(right) / len(right)) < 0.15
