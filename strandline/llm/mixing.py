@@ -3,23 +3,24 @@
 Block k of a source of share w has the release time floor(k / w) and the deadline
 ceil((k + 1) / w); earliest-deadline-first over the released blocks fills every
 slot, and at any time each source is within one block of its share. Shares are
-integers of a sum near 2^62, so times are exact over the whole run. The schedule
-(a row a block) is streamed to storage by one task that holds a block a source,
-and is joined with the blocks of the documents.
+integers of a sum near 2^62, so times are exact over the whole run.
 
 A source's documents are put in an order of their own and cut into blocks of
-`block` documents. The schedule runs until the slowest source has given all its
-blocks; others begin again (epochs), so every document of a source with a weight
-is used at least once and the mix holds to the end. Ranks inside a source come
-from counts of bounded hash ranges, so no task holds a whole source.
-
-With `period`, weights are rounded to slots of a period (largest remainders, one
-slot at least for each source), whose table is repeated.
+`block` documents, or of more where that makes over `most_blocks` blocks: one
+task streams the schedule (a row a block) to storage and holds a block a source,
+so its work has a bound whatever the input. The schedule ends with the slot in
+which the slowest source has given all its blocks; others begin again (epochs),
+so every document of a source with a weight is used at least once and the mix
+holds to the end. Ranks inside a source come from counts of bounded hash ranges,
+so no task holds a whole source. Only ids are ranked and scheduled; texts move
+once to their places and once into the order of the schedule.
 
 Defined cases. Null source: a source of its own. Sources without a given weight,
-when weights are given: an error. Weight 0: no slots, so
-none of its documents (with `period`, one slot a period). Null doc_id, repeated rows and null or empty
-texts: documents like others. Extra columns stay. Empty table: empty result.
+when weights are given: an error. Weight 0: no slots, so none of its documents;
+so many sources as a task's memory holds (millions), each with a weight of its
+own. Null doc_id, repeated rows and null or empty texts: documents like others.
+Extra columns stay; where one has the name of a result's column (epoch, block,
+slot, place), the result's gets a leading underscore. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -34,48 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
-PERIOD = 4096
 BLOCK = 16
+MOST_BLOCKS = 1 << 22
 RANGE_ROWS = 20_000
 
 
-def quotas(weights: dict[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
-    """Slots of each source in a period: largest remainders over one slot each."""
-    names = sorted(weights, key=lambda s: (s is not None, s))
-    if len(names) > period:
-        raise ValueError(f"{len(names)} sources need a period of as many slots")
-    total = sum(weights[n] for n in names)
-    if not names or total <= 0 or min(weights.values()) < 0:
-        raise ValueError("weights must be at least 0, with a positive sum")
-    ideal = {n: weights[n] / total * (period - len(names)) for n in names}
-    out = {n: 1 + int(ideal[n]) for n in names}
-    for n in sorted(names, key=lambda n: int(ideal[n]) - ideal[n])[: period - sum(out.values())]:
-        out[n] += 1
-    return out
-
-
-def schedule(q: dict[str | None, int]) -> list[tuple[str | None, int, int]]:
-    """(source, k, slot) of every block of one period, by earliest deadline first."""
-    period = sum(q.values())
-    names = sorted(q, key=lambda s: (s is not None, s))
-    waiting = [(0, i, 0) for i in range(len(names))]  # release, source, k
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // q[names[i]]), i, k))
-        deadline, i, k = heapq.heappop(ready)
-        if deadline <= slot:
-            raise AssertionError("a deadline was missed")
-        out.append((names[i], k, slot))
-        if k + 1 < q[names[i]]:
-            heapq.heappush(waiting, ((k + 1) * period // q[names[i]], i, k + 1))
-    return out
-
-
 def shares(weights: dict[str | None, float]) -> dict[str | None, int]:
     """Integers in the ratio of the weights over 0, exact to one in 2^62."""
     if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
@@ -101,61 +67,30 @@ def exact_schedule(parts: list[int], slots: int) -> Iterator[tuple[int, int, int
         heapq.heappush(waiting, ((k + 1) * whole // parts[i], i, k + 1))
 
 
-def _ranked(docs: DataFrame, range_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs with _row, the _rank (from 0) of each _row inside its source, and documents by source."""
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
-    docs = materialize(docs, "mix-rows")
+def _ranked(docs: DataFrame, row: str, range_rows: int) -> tuple[DataFrame, DataFrame]:
+    """row, source, rank (from 0) of each row inside its source, and documents by source (source, n)."""
     n = docs.count()
     ranges = max(1, ceil(n / range_rows))
-    docs = docs.withColumn("_range", F.pmod(F.xxhash64("_row"), F.lit(ranges)).cast("int"))
-    own = docs.select("_row", "source", "_range")
-    counts = own.groupBy("source", "_range").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    starts = materialize(counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), "mix-starts")
-    inside = W.partitionBy("source", "_range").orderBy("_row")
-    ranked = own.withColumn("_at", F.row_number().over(inside) - 1)
-    s = starts.select(F.col("source").alias("_s"), F.col("_range").alias("_r"), "_start")
-    ranked = ranked.join(s, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-    ranks = ranked.select("_row", "source", (F.col("_start") + F.col("_at")).alias("_rank"))
-    return docs, ranks, starts.groupBy("source").agg(F.sum("_n").alias("n"))
-
-
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9, block: int = BLOCK, period: int | None = None, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The columns of docs plus epoch, block (of its source), slot and place (inside the block).
-
-    Without weights, a source's is its number of documents to the power `exponent`.
-    """
-    columns = docs.columns
-    own = docs.select("*")
-    rows, ranks, sizes = _ranked(own, range_rows)
-    found = {r.source: r.n for r in sizes.collect()}  # a row a source
-    if not found:
-        return docs.select("*", *(F.lit(0).cast("long").alias(c) for c in ("epoch", "block", "slot", "place")))
-    if weights is not None and (missing := set(found) - set(weights)):
-        raise ValueError(f"no weight for {sorted(map(str, missing))}")
-    given = {s: weights[s] if weights else found[s] ** exponent for s in found}
-    blocks = {s: ceil(n / block) for s, n in found.items()}
-    places = _exact_places(ranks, given, blocks, block) if period is None else _period_places(ranks, given, blocks, block, period)
-    out = rows.join(places.withColumnRenamed("_row", "_id"), F.col("_row") == F.col("_id"))
-    return out.select(*columns, F.col("_epoch").alias("epoch"), F.col("_g").alias("block"), F.col("_slot").alias("slot"), F.col("_place").alias("place"))
-
-
-def _epochs(ranks: DataFrame, plan: DataFrame, block: int) -> DataFrame:
-    """ranks and plan with _epoch and _g, the block of its source, for each use."""
-    out = ranks.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_s")))
-    first = F.floor(F.col("_rank") / block)
-    last = F.floor((F.col("_total") - 1 - first) / F.col("_blocks"))
-    out = out.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return out.withColumn("_g", first + F.col("_epoch") * F.col("_blocks")).withColumn("_place", F.col("_rank") % block)
-
-
-def _exact_places(ranks: DataFrame, weights: dict, blocks: dict, block: int) -> DataFrame:
+    own = docs.select(F.col(row).alias("row"), F.col("source").cast("string")).withColumn("range", F.pmod(F.xxhash64("row"), F.lit(ranges)).cast("int"))
+    counts = own.groupBy("source", "range").agg(F.count("*").alias("n"))
+    before = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = materialize(counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))), "mix-starts")
+    # a group is a range of a source: range_rows rows, more or less
+    inside = W.partitionBy("source", "range").orderBy("row")
+    ranked = own.withColumn("at", F.row_number().over(inside) - 1)
+    s = starts.select(F.col("source").alias("s"), F.col("range").alias("r"), "start")
+    ranked = ranked.join(s, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
+    return ranked.select("row", "source", (F.col("start") + F.col("at")).alias("rank")), starts.groupBy("source").agg(F.sum("n").alias("n"))
+
+
+def _places(ranks: DataFrame, weights: dict, blocks: dict, block: int) -> tuple[DataFrame, int]:
+    """row, epoch, block, slot, place of every use of a row, and the number of slots."""
     spark = ranks.sparkSession
     parts = shares(weights)
     names, whole = list(parts), sum(parts.values())
     numbers = [parts[s] for s in names]
     slots = max(-(-blocks[s] * whole // parts[s]) for s in names)
-    plan = spark.createDataFrame([(s, i, blocks[s], -(-slots * parts[s] // whole)) for i, s in enumerate(names)], "_s string, _i long, _blocks long, _total long")
+    plan = spark.createDataFrame([(s, i, blocks[s], -(-slots * parts[s] // whole)) for i, s in enumerate(names)], "s string, i long, blocks long, total long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
@@ -164,28 +99,60 @@ def _exact_places(ranks: DataFrame, weights: dict, blocks: dict, block: int) ->
                 for c, v in zip(columns, row, strict=True):
                     c.append(v)
                 if len(columns[0]) == 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_j", "_k", "_slot"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["j", "k", "slot"])
                     columns = [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["_j", "_k", "_slot"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["j", "k", "slot"])
+
+    table = materialize(spark.range(0, 1, 1, 1).mapInArrow(run, "j long, k long, slot long"), "mix-schedule")
+    uses = ranks.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")))  # a row a source
+    first = F.floor(F.col("rank") / block)
+    last = F.floor((F.col("total") - 1 - first) / F.col("blocks"))
+    uses = uses.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    uses = uses.withColumn("block", first + F.col("epoch") * F.col("blocks")).withColumn("place", F.col("rank") % block)
+    met = uses.join(table, (F.col("i") == F.col("j")) & (F.col("block") == F.col("k")))
+    return met.select("row", "epoch", "block", "slot", "place"), slots
+
+
+def _mixed(docs: DataFrame, names: list[str], weights: dict[str | None, float] | None, exponent: float, block: int, most_blocks: int, range_rows: int) -> tuple[DataFrame, int]:
+    """docs with the uses' epoch, block, slot and place under `names`, and the number of slots."""
+    (row,) = fresh([*docs.columns, *names], "_row")
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    ranks, sizes = _ranked(rows, row, range_rows)
+    found = {r.source: r.n for r in sizes.collect()}  # a row a source
+    if not found:
+        return docs.select("*", *(F.lit(0).cast("long").alias(c) for c in names)), 0
+    if weights is not None and (missing := set(found) - set(weights)):
+        raise ValueError(f"no weight for {sorted(map(str, missing))}")
+    given = {s: weights[s] if weights else found[s] ** exponent for s in found}
+    block = max(block, ceil(sum(found.values()) / most_blocks))
+    places, slots = _places(ranks, given, {s: ceil(n / block) for s, n in found.items()}, block)
+    places = places.select(F.col("row").alias(row), *(F.col(c).alias(n) for c, n in zip(("epoch", "block", "slot", "place"), names, strict=True)))
+    return rows.join(places, row).select(*docs.columns, *names), slots
 
-    table = materialize(spark.range(0, 1, 1, 1).mapInArrow(run, "_j long, _k long, _slot long"), "mix-schedule")
-    out = _epochs(ranks, plan, block).join(table, (F.col("_i") == F.col("_j")) & (F.col("_g") == F.col("_k")))
-    return out.select("_row", "_epoch", "_g", "_slot", "_place")
 
+def result_names(docs: DataFrame) -> list[str]:
+    """The names of the result's epoch, block, slot and place."""
+    return fresh(docs.columns, "epoch", "block", "slot", "place")
 
-def _period_places(ranks: DataFrame, weights: dict, blocks: dict, block: int, period: int) -> DataFrame:
-    spark = ranks.sparkSession
-    q = quotas(weights, period)
-    periods = max(ceil(blocks[s] / q[s]) for s in q)
-    plan = spark.createDataFrame([(s, q[s], blocks[s], periods * q[s]) for s in q], "_s string, _q long, _blocks long, _total long")
-    table = spark.createDataFrame([(s, k, t) for s, k, t in schedule(q)], "_s2 string, _k long, _t long")
-    out = _epochs(ranks, plan, block).join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_g") % F.col("_q") == F.col("_k")))
-    return out.select("_row", "_epoch", "_g", (F.floor(F.col("_g") / F.col("_q")) * period + F.col("_t")).alias("_slot"), "_place")
+
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9, block: int = BLOCK, most_blocks: int = MOST_BLOCKS, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The columns of docs plus epoch, block (of its source), slot and place (inside the block): see result_names().
+
+    Without weights, a source's is its number of documents to the power `exponent`.
+    """
+    return _mixed(docs, result_names(docs), weights, exponent, block, most_blocks, range_rows)[0]
 
 
-def mix_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The documents in the order of the schedule, with their own columns only."""
-    return mix(docs, **kw).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+def mix_documents(docs: DataFrame, weights: dict[str | None, float] | None = None, exponent: float = 0.9, block: int = BLOCK, most_blocks: int = MOST_BLOCKS, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The documents in the order of the schedule, with their own columns only.
+
+    Partition k holds the k-th part of the slots, in order.
+    """
+    names = result_names(docs)
+    out, slots = _mixed(docs, names, weights, exponent, block, most_blocks, range_rows)
+    parts = max(1, min(slots, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    at = F.floor(F.col(names[2]) * parts / max(slots, 1)).cast("int")
+    return out.repartitionById(parts, at).sortWithinPartitions(names[2], names[3]).select(*docs.columns)
 
 
 def op7_source_mixing(spark, sf_dir):
