@@ -7,7 +7,10 @@ runs best-fit decreasing. Dual-feasible functions give a lower bound of each
 partition's sequences; a partition at its bound is done. Those with a gap pool
 the pieces of the sequences that their bound doesn't excuse (the emptiest), deal
 them anew to fewer partitions and pack again, until no gap is left, only one
-partition has one, or a round saves nothing.
+partition has one, a round saves nothing, or `rounds` are over. Each piece tells
+its partition's certificate: packed_in (the partition), bound (the fewest
+sequences its pieces can take) and gap (sequences above that; 0: certified best).
+Pieces that fill a sequence each have no partition and gap 0.
 
 Token ids are the public tokenizer's. Ordinary text goes through the rank file
 of the same vocabulary, word by word with a bounded memory of words; a text with
@@ -184,7 +187,7 @@ def lower_bound(lengths: np.ndarray, size: int) -> int:
 
 
 def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, rounds: int = 4) -> DataFrame:
-    """pieces (doc_id, piece, length of 1 to size, and others) plus sequence_id and offset.
+    """pieces (doc_id, piece, length of 1 to size, and others) plus sequence_id, offset, packed_in, bound and gap.
 
     part_rows bounds what one task packs; a task's sequences are numbered below 2^26.
     """
@@ -192,6 +195,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, round
     pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     full = pieces.where(F.col("length") >= size).withColumn("offset", F.lit(0).cast("long")).withColumn("sequence_id", 2 * F.col("_row") + 1)
+    full = full.withColumns({"packed_in": F.lit(None).cast("long"), "bound": F.lit(1).cast("long"), "gap": F.lit(0).cast("long")})
 
     def deal(items: DataFrame, n: int, r: int) -> DataFrame:
         parts = max(1, -(-n // part_rows))
@@ -202,15 +206,16 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, round
             lengths = pdf["length"].to_numpy()
             bins, offsets = best_fit(lengths, size)
             used = int(bins.max()) + 1
-            gap = used - lower_bound(lengths, size)
+            bound = lower_bound(lengths, size)
+            gap = used - bound
             # open to exchange: the emptiest sequence of each task, and with a gap, four for each that could be saved
             open_bins = np.zeros(used, bool)
             if parts > 1:
                 open_bins[np.argsort(np.bincount(bins, lengths), kind="stable")[: 1 + 4 * gap]] = True
-            return pdf.assign(offset=offsets, sequence_id=2 * (((r << 28 | part) << 26) + bins), _open=open_bins[bins])
+            return pdf.assign(offset=offsets, sequence_id=2 * (((r << 28 | part) << 26) + bins), packed_in=r << 28 | part, bound=bound, gap=gap, _open=open_bins[bins])
 
         dealt = items.select(*columns, "_row").withColumn("_part", F.pmod(F.xxhash64("_row", F.lit(r)), F.lit(parts)).cast("int"))
-        return materialize(dealt.groupBy("_part").applyInPandas(one, f"{schema}, offset long, sequence_id long, _open boolean"), "packed")
+        return materialize(dealt.groupBy("_part").applyInPandas(one, f"{schema}, offset long, sequence_id long, packed_in long, bound long, gap long, _open boolean"), "packed")
 
     left = pieces.where(F.col("length") < size)
     n = left.count()
@@ -227,14 +232,15 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, round
             done.append(current.where("NOT _open"))
             current = new
         done.append(current)
-    out = done[0].select(*columns, "sequence_id", "offset")
+    certified = ["sequence_id", "offset", "packed_in", "bound", "gap"]
+    out = done[0].select(*columns, *certified)
     for d in done[1:]:
-        out = out.unionByName(d.select(*columns, "sequence_id", "offset"))
+        out = out.unionByName(d.select(*columns, *certified))
     return out
 
 
 def pack_documents(docs: DataFrame, size: int = SEQUENCE, **kw) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset and the certificate: one row per piece."""
     return pack(tokenize(docs, size), size, **kw)
 
 

@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flag_ids, materialize, shared_dir
+from .common import flag_ids, join_counted, materialize, shared_dir
 
 CHUNK = 1 << 20
 LEAST = 1000
@@ -52,8 +52,9 @@ def decide(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = rows.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload").cast("long")})
     large = rows.where(F.col("page_id").isNotNull() & (F.col("bytes") >= least)).select("page_id", "digest", "bytes")
     large = materialize(large, "page-digests")
-    groups = large.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("low")).where("low < refers_to").drop("low")
-    revisits = large.join(groups, ["digest", "bytes"]).where("page_id < refers_to")
+    groups = large.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("low"), F.count("*").alias("n")).where("low < refers_to").drop("low")
+    # a payload of a third of all pages meets its group by broadcast
+    revisits = join_counted(large, groups, ["digest", "bytes"], "n").where("page_id < refers_to")
     revisits = materialize(revisits.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to").distinct(), "revisits")
     flagged = flag_ids(rows, "page_id", revisits.select("_page"))
     some = flagged.where("_maybe").join(revisits, (F.col("page_id") == F.col("_page")) & (F.col("digest") == F.col("_digest")), "left").drop("_page", "_digest")
@@ -229,7 +230,9 @@ def payloads(table: DataFrame) -> DataFrame:
     ends = materialize(table.where("last").drop("data"), "warc-ends")
     stored = ends.where("record_type = 'response'")
     one = stored.groupBy(F.col("record_id").alias("refers_to_record")).agg(F.first("page_id").alias("refers_to"), F.first("bytes_so_far").alias("payload_bytes"), F.first("digest_so_far").alias("payload_digest"))
-    revisit = ends.where("record_type = 'revisit'").join(one, "refers_to_record")
+    others = ends.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to_record")
+    one = one.join(others.groupBy("refers_to_record").count(), "refers_to_record")
+    revisit = join_counted(others, one, ["refers_to_record"], "count")
     own = stored.select("page_id", F.col("bytes_so_far").alias("payload_bytes"), F.col("digest_so_far").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     return own.unionByName(revisit.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
