@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
-from strandline.llm.common import flag_ids, materialize
+from strandline.llm.common import flag_ids, fresh, materialize
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +20,11 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated line chunks go; a document of nothing else goes with them."""
-    out = line_dedup.dedup_lines(docs).where("n_removed = 0 OR text IS NULL OR length(text) > 0")
+    _, n_removed = line_dedup.result_names(docs)
+    out = line_dedup.dedup_lines(docs).where((F.col(n_removed) == 0) | F.col("text").isNull() | (F.length("text") > 0))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(n_removed) > 0, counted).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
 
@@ -31,9 +33,10 @@ def minhash_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     groups = materialize(minhash_dedup.near_components(docs), "groups")
     gone = groups.where("NOT kept").select("doc_id")
     twice = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    flagged = flag_ids(docs, "doc_id", gone.unionByName(twice))
-    some = flagged.where("_maybe").drop("_maybe").join(gone.distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return flagged.where("NOT _maybe").drop("_maybe").unionByName(some).select(docs.columns)
+    (maybe,) = fresh(docs.columns, "_maybe")
+    flagged = flag_ids(docs, "doc_id", gone.unionByName(twice), maybe)
+    some = flagged.where(F.col(maybe)).join(gone.distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return flagged.where(~F.col(maybe)).unionByName(some).select(docs.columns)
 
 
 def source_mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +45,7 @@ def source_mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def best_fit_packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and the certificate."""
     return packing.pack_documents(docs)
 
 
