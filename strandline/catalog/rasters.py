@@ -156,10 +156,10 @@ WIDE = "SELECT date_trunc('day', ts)::TIMESTAMP AS ts, " + ", ".join(f"max(value
 
 def manifest_upsert(spark, d):
     obs = observations(spark, d).select("scene_id", "quality")
-    return tables.upsert_manifest(obs.where("scene_id % 2 = 0"), obs.where("scene_id % 3 = 0").withColumn("quality", F.lit(-1)))
+    return tables.upsert_manifest(obs.where("scene_id % 3 <> 1"), obs.where("scene_id % 3 <> 0").withColumn("quality", F.lit(-1)))
 
 
-MANIFEST = f"SELECT scene_id, CASE WHEN scene_id % 3 = 0 THEN -1 ELSE quality END AS quality FROM {OBS} WHERE scene_id % 2 = 0 OR scene_id % 3 = 0"
+MANIFEST = f"SELECT scene_id, CASE WHEN scene_id % 3 <> 0 THEN -1 ELSE quality END AS quality FROM {OBS}"
 
 
 def transect_features(spark, d):

@@ -151,10 +151,10 @@ SELECT scene_id, satname FROM s WHERE scene_id NOT IN (SELECT scene_id FROM g)""
 
 def incremental(spark, d):
     obs = observations(spark, d)
-    return sc.not_yet(obs.where("quality % 2 = 0"), obs.where("scene_id % 3 = 0")).select("scene_id")
+    return sc.not_yet(obs.where("quality % 2 = 0"), obs.where("quality % 2 <> 0")).select("scene_id")
 
 
-INCREMENTAL = f"""SELECT scene_id FROM {OBS} a WHERE quality % 2 = 0 AND NOT EXISTS (SELECT 1 FROM {OBS} b WHERE b.scene_id % 3 = 0 AND b.satname = a.satname AND date_trunc('second', b.ts) = date_trunc('second', a.ts))"""
+INCREMENTAL = f"""SELECT scene_id FROM {OBS} a WHERE quality % 2 = 0 AND NOT EXISTS (SELECT 1 FROM {OBS} b WHERE b.quality % 2 <> 0 AND b.satname = a.satname AND date_trunc('second', b.ts) = date_trunc('second', a.ts))"""
 
 
 def merged(spark, d):
@@ -196,9 +196,14 @@ def one_zone(spark, d):
     return sc.one_zone(s, ["site"]).select("scene_id")
 
 
-ZONE = f"""WITH s AS (SELECT scene_id, transect_id AS site, ts, quality % 3 AS epsg FROM {OBS}),
-m AS (SELECT site, epsg FROM (SELECT site, epsg, row_number() OVER (PARTITION BY site ORDER BY count(*) DESC, epsg) AS r FROM s GROUP BY 1, 2) WHERE r = 1)
-SELECT scene_id FROM s JOIN m USING (site) WHERE s.epsg = m.epsg OR NOT EXISTS (SELECT 1 FROM s o WHERE o.site = s.site AND o.epsg = m.epsg AND abs(epoch_us(o.ts) - epoch_us(s.ts)) < 86400000000)"""
+ZONE = f"""WITH RECURSIVE s AS (SELECT scene_id, transect_id AS site, ts, quality % 3 AS epsg FROM {OBS}),
+c AS (SELECT site, epsg, row_number() OVER (PARTITION BY site ORDER BY count(*) DESC, epsg) AS r, count(*) OVER (PARTITION BY site) AS zones FROM s GROUP BY 1, 2),
+m AS (SELECT site, epsg AS main FROM c WHERE r = 1 AND zones > 1),
+several AS (SELECT s.*, main FROM s JOIN m USING (site)),
+nxt AS (SELECT a.site, a.ts, min(b.ts) AS after FROM several a LEFT JOIN several b ON b.site = a.site AND b.ts >= a.ts + INTERVAL 24 HOUR GROUP BY 1, 2),
+seed AS (SELECT site, min(ts) AS ts FROM several GROUP BY 1 UNION ALL SELECT seed.site, nxt.after FROM seed JOIN nxt ON nxt.site = seed.site AND nxt.ts = seed.ts WHERE nxt.after IS NOT NULL),
+near AS (SELECT o.scene_id, o.epsg = main AS own, row_number() OVER (PARTITION BY o.site, seed.ts, o.epsg = main ORDER BY o.ts, o.scene_id) AS r FROM seed JOIN several o ON o.site = seed.site AND o.ts > seed.ts - INTERVAL 24 HOUR AND o.ts < seed.ts + INTERVAL 24 HOUR)
+SELECT scene_id FROM s WHERE scene_id NOT IN (SELECT scene_id FROM near WHERE NOT own OR r > 2)"""
 
 QUERIES = {
     "a3_trend": trend,

@@ -77,10 +77,10 @@ WHERE sqrt((x - x0 - t * (x1 - x0)) ** 2 + (y - y0 - t * (y1 - y0)) ** 2) <= 4""
 
 def nearest(spark, d):
     p = points(spark, d)
-    return rounded(joins.nearest_distance(p.where("pt_id % 4 = 0"), p.where("pt_id % 4 = 1"), ["pt_id"], 4.0), "nearest")
+    return rounded(joins.nearest_distance(p.where("pt_id % 4 = 0"), p.where("pt_id % 4 <> 0"), ["pt_id"], 4.0), "nearest")
 
 
-NEAREST = f"SELECT a.pt_id, round(min(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))), 6) AS nearest FROM {POINTS} a, {POINTS} b WHERE a.pt_id % 4 = 0 AND b.pt_id % 4 = 1 GROUP BY 1"
+NEAREST = f"SELECT a.pt_id, round(min(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))), 6) AS nearest FROM {POINTS} a, {POINTS} b WHERE a.pt_id % 4 = 0 AND b.pt_id % 4 <> 0 GROUP BY 1"
 
 
 def crossings(spark, d):

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .fill import ahead, behind
+from .lineage import cut
+
 
 def error_statistics(pairs: DataFrame, group: list[str], measured: str, truth: str, least: int = 8) -> DataFrame:
     """r2, rmse, mean, std (population), q90 of the absolute error; none under `least` pairs."""
@@ -48,21 +55,40 @@ def best_method_counts(scores: DataFrame) -> DataFrame:
     return best.groupBy("method").agg(F.count("*").alias("n"))
 
 
-def pareto_front(rows: DataFrame, metrics: list[str]) -> DataFrame:
-    """Rows that no other beats strictly in every metric, for two metrics or more.
+def _front(x: np.ndarray) -> np.ndarray:
+    """The rows of x that no other row beats in every column."""
+    kept = []
+    x = x[np.argsort(x.sum(axis=1), kind="stable")]
+    while len(x):
+        first, x = x[0], x[1:]
+        kept.append(first)
+        x = x[~(x > first).all(axis=1)]
+    return np.array(kept)
+
+
+def pareto_front(rows: DataFrame, metrics: list[str], most: int = 200_000) -> DataFrame:
+    """Rows that no other beats strictly in every metric (lower is better); rows with a missing metric stay.
 
-    For two metrics a running minimum over the sorted first one decides, in one
-    pass; more metrics compare with the rows of that order's front only.
+    Each partition's own front is found first, then the fronts' front: what beats a
+    row is beaten by, or is, a row of it. Only that is broadcast, and counted
+    before: a front of over `most` rows is an error.
     """
-    if len(metrics) == 2:
-        a, b = metrics
-        best = rows.groupBy(a).agg(F.min(b).alias("_b"))
-        run = best.withColumn("_run", F.min("_b").over(W.orderBy(a).rowsBetween(W.unboundedPreceding, -1)))
-        return rows.join(run.select(a, "_run"), a).where(F.col("_run").isNull() | (F.col(b) <= F.col("_run"))).drop("_run")
+    doubles = rows.select(*(F.col(m).cast("double").alias(m) for m in metrics)).dropna().distinct()
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        front = np.empty((0, len(metrics)))
+        for pdf in batches:
+            front = _front(np.r_[front, pdf.to_numpy(np.float64)])
+        yield pd.DataFrame(front.reshape(-1, len(metrics)), columns=metrics)
+
+    schema = ", ".join(f"`{m}` double" for m in metrics)
+    front = cut(doubles.mapInPandas(local, schema).coalesce(1).mapInPandas(local, schema))
+    if (n := front.count()) > most:
+        raise ValueError(f"a front of {n} rows is too large to compare with")
     beaten = F.lit(True)
     for m in metrics:
         beaten = beaten & (F.col(f"o.{m}") < F.col(f"r.{m}"))
-    return rows.alias("r").join(rows.select(*metrics).distinct().alias("o"), beaten, "left_anti")
+    return rows.alias("r").join(F.broadcast(front.alias("o")), beaten, "left_anti")
 
 
 def confusion(df: DataFrame, truth: str, predicted: str, classes: list) -> DataFrame:
@@ -103,11 +129,10 @@ def mean_area_distance(a: DataFrame, b: DataFrame, group: list[str]) -> DataFram
     """
     u = a.select(*group, "x", F.col("y").alias("ya"), F.lit(None).cast("double").alias("yb")).unionByName(b.select(*group, "x", F.lit(None).cast("double").alias("ya"), F.col("y").alias("yb")))
     u = u.groupBy(*group, "x").agg(F.avg("ya").alias("ya"), F.avg("yb").alias("yb"))
-    back, ahead = W.partitionBy(*group).orderBy("x").rowsBetween(W.unboundedPreceding, 0), W.partitionBy(*group).orderBy("x").rowsBetween(0, W.unboundedFollowing)
 
     def along(c: str) -> Column:
         at = F.when(F.col(c).isNotNull(), F.struct("x", F.col(c).alias("y")))
-        p, q = F.last(at, True).over(back), F.first(at, True).over(ahead)
+        p, q = behind(at, group, [F.col("x")]), ahead(at, group, [F.col("x").desc()])
         return p["y"] + F.coalesce(F.try_divide(F.col("x") - p["x"], q["x"] - p["x"]), F.lit(0.0)) * (q["y"] - p["y"])
 
     u = u.withColumn("gap", F.abs(along("ya") - along("yb"))).where("gap IS NOT NULL")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geometry import distance, in_frame, segment_distance
+from .fill import ahead, behind
 from .lineage import cut
 
 
@@ -84,8 +85,8 @@ def nearest_distance(left: DataFrame, right: DataFrame, key: list[str], size: fl
         out = d if out is None else out.unionByName(d)
         todo = cut(todo.join(d.select(*key), key, "left_anti"))
         if nothing or todo.isEmpty():
-            break
-    return out
+            return out
+    raise RuntimeError(f"points without a neighbour after {rounds} rounds: begin with larger cells than {size}")
 
 
 def crossings(rays: DataFrame, segments: DataFrame, size: float) -> DataFrame:
@@ -127,10 +128,8 @@ def survey_match(series: DataFrame, survey: DataFrame, most_days: float = 10, le
     b = survey.groupBy("transect_id", "ts").agg(F.min("position").alias("_v")).withColumns({"_kind": F.lit(0), "_t": F.col("ts")})
     a = series.withColumn("_kind", F.lit(1))
     both = a.unionByName(b, allowMissingColumns=True)
-    back = W.partitionBy("transect_id").orderBy("ts", "_kind").rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy("transect_id").orderBy("ts", F.col("_kind").desc()).rowsBetween(0, W.unboundedFollowing)
-    pick = lambda f, w, c: f(c, ignorenulls=True).over(w)
-    both = both.withColumns({"_pt": pick(F.last, back, "_t"), "_pv": pick(F.last, back, "_v"), "_nt": pick(F.first, ahead, "_t"), "_nv": pick(F.first, ahead, "_v")})
+    key, up, down = ["transect_id"], [F.col("ts"), F.col("_kind")], [F.col("ts").desc(), F.col("_kind")]
+    both = both.withColumns({"_pt": behind("_t", key, up), "_pv": behind("_v", key, up), "_nt": ahead("_t", key, down), "_nv": ahead("_v", key, down)})
     days = lambda x, y: (F.unix_micros(F.col(y).cast("timestamp")) - F.unix_micros(F.col(x).cast("timestamp"))) / 86_400_000_000
     out = both.where("_kind = 1").withColumns({"_before": days("_pt", "ts"), "_after": days("ts", "_nt")})
     nearest = F.least("_before", "_after")

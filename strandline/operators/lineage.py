@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df checkpointed: each loop round reads the round before, not its plan again."""
+    """df checkpointed: each loop round reads the round before, not its plan again.
+
+    The folder is spark.checkpoint.dir; where it is missing, a local master gets a
+    temporary one and any other an error.
+    """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandline-"))
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="strandline-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.spectral import nd
-from .raster import KEY, local_std
+from .raster import KEY, focal
 
 #: Class codes.
 OTHER, SAND, WHITEWATER, WATER = 0, 1, 2, 3
@@ -33,11 +33,9 @@ TWENTY = [*TEN, *(f"sd_{n}" for n in TEN)]
 
 def features(pixels: DataFrame) -> DataFrame:
     """KEY and the 20 features: bands, differences, and the local spread of each; missing ones are 1e-9."""
-    base = spectral_features(pixels)
-    out = base.select(*KEY, *TEN)
-    for n in TEN:
-        out = out.join(local_std(base, n).withColumnRenamed("std", f"sd_{n}"), KEY, "left")
-    return out.na.fill(1e-9, TWENTY)
+    base = spectral_features(pixels).select(*KEY, *TEN)
+    spread = focal(base, 1, {f"sd_{n}": (n, "std") for n in TEN})
+    return base.join(spread, KEY, "left").na.fill(1e-9, TWENTY)
 
 
 def assemble(df: DataFrame, names: list[str]) -> DataFrame:

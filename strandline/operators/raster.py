@@ -1,19 +1,25 @@
 """Raster operators. What a pixel needs from itself is a column expression; what it
-needs from neighbours is a join on shifted coordinates; connected objects, contours
-and component analysis of whole scenes are grouped Arrow kernels, a scene or tile each.
+needs from a window around it is computed by numpy over tiles, to which only the
+pixels of a narrow margin are copied; connected objects, contours and component
+analysis are grouped kernels, a scene each.
 
 pixels: scene_id, row, col, and bands or a value.
 """
 
 from __future__ import annotations
 
+import functools
+import warnings
+from collections.abc import Iterator
 from math import ceil, log, sqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 KEY = ["scene_id", "row", "col"]
 
@@ -57,37 +63,91 @@ def mask(pixels: DataFrame, bands: list[str], where: Column) -> DataFrame:
     return pixels.withColumns({b: F.when(where, F.lit(0.0)).otherwise(F.col(b)) for b in bands})
 
 
-def neighbours(pixels: DataFrame, radius: int, columns: list[str]) -> DataFrame:
-    """Each pixel's key with dr, dc and columns of every pixel at most `radius` rows and columns away.
+TILE = 128
 
-    Values go to the pixels around them, then meet by key: one shuffle, whose rows
-    are (2 radius + 1)^2 times the pixels.
-    """
-    step = F.sequence(F.lit(-radius), F.lit(radius))
-    spread = pixels.select(*KEY, *columns).withColumn("dr", F.explode(step)).withColumn("dc", F.explode(step))
-    moved = spread.select("scene_id", (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), (-F.col("dr")).alias("dr"), (-F.col("dc")).alias("dc"), *columns)
-    return moved.join(pixels.select(*KEY), KEY, "left_semi")
+
+def _windows(grid: np.ndarray, radius: int, side: int) -> Iterator[np.ndarray]:
+    """Views of grid (a tile of `side` with its margin), shifted to each place of the window."""
+    for dr in range(2 * radius + 1):
+        for dc in range(2 * radius + 1):
+            yield grid[dr : dr + side, dc : dc + side]
+
+
+def _spread(grid: np.ndarray, radius: int, side: int) -> np.ndarray:
+    n, total, squares = np.zeros((side, side)), np.zeros((side, side)), np.zeros((side, side))
+    for x in _windows(grid, radius, side):
+        there = ~np.isnan(x)
+        v = np.where(there, x, 0.0)
+        n += there
+        total += v
+        squares += v * v
+    with np.errstate(invalid="ignore"):
+        return np.where(np.isnan(grid[radius : radius + side, radius : radius + side]), np.nan, np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0)))
+
+
+def _median(grid: np.ndarray, radius: int, side: int) -> np.ndarray:
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)  # windows without a value
+        return np.nanmedian(np.stack(list(_windows(grid, radius, side))), axis=0)
 
 
-def focal(pixels: DataFrame, radius: int, value: str, how) -> DataFrame:
-    """KEY and an aggregate of the values around, given the values' column."""
-    return neighbours(pixels, radius, [value]).groupBy(*KEY).agg(how(F.col(value)).alias(value))
+#: What a window is reduced to; NaN stands for missing pixels and values.
+KERNELS = {
+    "max": lambda g, r, n: functools.reduce(np.fmax, _windows(g, r, n)),
+    "min": lambda g, r, n: functools.reduce(np.fmin, _windows(g, r, n)),
+    "median": _median,
+    "std": _spread,
+}
+
+
+def focal(pixels: DataFrame, radius: int, wanted: dict[str, tuple[str, str]], tile: int = TILE) -> DataFrame:
+    """KEY and, for each name in wanted, (column, kernel) over the window of `radius` rows and columns around.
+
+    One shuffle, in which a pixel goes to its tile and to the tiles it is at most
+    `radius` from: about 1 + 4 radius / tile copies, whatever the number of columns.
+    A pixel's key is taken to be in the table once.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    near = lambda c: F.explode(F.sequence(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile)))
+    placed = pixels.select(*KEY, *(F.col(c).cast("double").alias(c) for c in columns)).withColumn("_tr", near("row")).withColumn("_tc", near("col"))
+
+    def one(table: pa.Table) -> pa.Table:
+        top, left = table["_tr"][0].as_py() * tile, table["_tc"][0].as_py() * tile
+        row, col = table["row"].to_numpy() - top, table["col"].to_numpy() - left
+        own = (row >= 0) & (row < tile) & (col >= 0) & (col < tile)
+        if not own.any():
+            return empty
+        # a grid as large as what is there
+        r0, c0 = row[own].min(), col[own].min()
+        side = int(max(row[own].max() - r0, col[own].max() - c0)) + 1
+        inside = (row >= r0 - radius) & (row < r0 + side + radius) & (col >= c0 - radius) & (col < c0 + side + radius)
+        out = {k: table[k].filter(own) for k in KEY}
+        grids = {}
+        for c in columns:
+            grids[c] = np.full((side + 2 * radius, side + 2 * radius), np.nan)
+            grids[c][row[inside] - r0 + radius, col[inside] - c0 + radius] = table[c].to_numpy(zero_copy_only=False)[inside]
+        for name, (c, kernel) in wanted.items():
+            found = KERNELS[kernel](grids[c], radius, side)[row[own] - r0, col[own] - c0]
+            out[name] = pa.array(found, pa.float64(), from_pandas=True)
+        return pa.table(out)
+
+    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pixels.select(*KEY).schema.fields), *(f"`{n}` double" for n in wanted)])
+    empty = to_arrow_schema(pixels.select(*KEY, *(F.lit(None).cast("double").alias(n) for n in wanted)).schema).empty_table()
+    return placed.groupBy("scene_id", "_tr", "_tc").applyInArrow(one, kinds)
 
 
 def local_std(pixels: DataFrame, value: str, radius: int = 1) -> DataFrame:
-    """KEY and sqrt(mean(x^2) - mean(x)^2) over the window; edges use the pixels there are; missing centres stay missing."""
-    around = neighbours(pixels.where(F.col(value).isNotNull()), radius, [value])
-    v = F.avg(F.col(value) * F.col(value)) - F.avg(value) * F.avg(value)
-    return around.groupBy(*KEY).agg(F.sqrt(F.greatest(v, F.lit(0.0))).alias("std"))
+    """KEY and sqrt(mean(x^2) - mean(x)^2) over the window; edges use the pixels there are; missing centres are left out."""
+    return focal(pixels.where(F.col(value).isNotNull()), radius, {"std": (value, "std")})
 
 
 def dilate(pixels: DataFrame, flag: str, radius: int) -> DataFrame:
-    return focal(pixels, radius, flag, F.bool_or)
+    return focal(pixels, radius, {flag: (flag, "max")}).withColumn(flag, F.col(flag) > 0)
 
 
 def erode(pixels: DataFrame, flag: str, radius: int) -> DataFrame:
     """Pixels whose whole window is set; outside the image counts as set."""
-    return focal(pixels, radius, flag, F.bool_and)
+    return focal(pixels, radius, {flag: (flag, "min")}).withColumn(flag, F.col(flag) > 0)
 
 
 def opening(pixels: DataFrame, flag: str, radius: int) -> DataFrame:
@@ -95,7 +155,7 @@ def opening(pixels: DataFrame, flag: str, radius: int) -> DataFrame:
 
 
 def median_smooth(pixels: DataFrame, value: str, radius: int = 1) -> DataFrame:
-    return focal(pixels, radius, value, F.median)
+    return focal(pixels, radius, {value: (value, "median")})
 
 
 def gaussian_weights(from_m: float, to_m: float) -> tuple[int, dict[int, float]]:
@@ -190,27 +250,35 @@ def link_contours(segments: DataFrame) -> DataFrame:
     return segments.select(F.col("scene_id").cast("long"), "p", "q").groupBy("scene_id").applyInPandas(one, "scene_id long, contour_id int, pt_idx int, row double, col double")
 
 
+def _objects(on: np.ndarray) -> np.ndarray:
+    """A number for each 4-connected object of a grid (where on), by least labels that spread and jump."""
+    label = np.where(on, np.arange(on.size).reshape(on.shape), on.size)
+    while True:
+        least = label.copy()
+        least[1:] = np.minimum(least[1:], label[:-1])
+        least[:-1] = np.minimum(least[:-1], label[1:])
+        least[:, 1:] = np.minimum(least[:, 1:], label[:, :-1])
+        least[:, :-1] = np.minimum(least[:, :-1], label[:, 1:])
+        flat = np.append(np.where(on, least, on.size).ravel(), on.size)
+        # a label's own pixel may know a lesser one: all its pixels follow
+        np.minimum.at(flat, np.append(label.ravel(), on.size), flat.copy())
+        flat = flat[flat]
+        new = flat[:-1].reshape(on.shape)
+        if (new == label).all():
+            return label
+        label = new
+
+
 def drop_small_objects(pixels: DataFrame, flag: str, least: int) -> DataFrame:
-    """KEY and flag without 4-connected objects of fewer than `least` pixels (a scene a group)."""
+    """KEY and flag without 4-connected objects of fewer than `least` pixels (a scene a group, as a grid)."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        on = {(r, c) for r, c, f in zip(pdf["row"], pdf["col"], pdf[flag], strict=True) if f}
-        keep, seen = set(), set()
-        for p in on:
-            if p in seen:
-                continue
-            stack, found = [p], []
-            seen.add(p)
-            while stack:
-                r, c = stack.pop()
-                found.append((r, c))
-                for q in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
-                    if q in on and q not in seen:
-                        seen.add(q)
-                        stack.append(q)
-            if len(found) >= least:
-                keep.update(found)
-        return pdf.assign(**{flag: [(r, c) in keep for r, c in zip(pdf["row"], pdf["col"], strict=True)]})
+        row, col = pdf["row"].to_numpy() - pdf["row"].min(), pdf["col"].to_numpy() - pdf["col"].min()
+        on = np.zeros((row.max() + 1, col.max() + 1), bool)
+        on[row, col] = pdf[flag].fillna(False).to_numpy(bool)
+        label = _objects(on)
+        size = np.bincount(label[on], minlength=on.size + 1)
+        return pdf.assign(**{flag: on[row, col] & (size[label[row, col]] >= least)})
 
     small = pixels.select(F.col("scene_id").cast("long"), F.col("row").cast("int"), F.col("col").cast("int"), flag)
     return small.groupBy("scene_id").applyInPandas(one, f"scene_id long, row int, col int, {flag} boolean")

@@ -5,6 +5,8 @@ scenes: scene_id, satname, ts (timestamp without zone, UTC), and what a filter n
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -94,18 +96,69 @@ def drop_close(scenes: DataFrame, seconds: int = 300, site: list[str] | None = N
     return scenes.join(gone, "scene_id", "left_anti")
 
 
-def one_zone(scenes: DataFrame, site: list[str], hours: int = 24) -> DataFrame:
-    """Of a site's scenes in several zones: the most frequent zone's (lowest code on ties) near each of its scenes.
+def one_zone(scenes: DataFrame, site: list[str], hours: int = 24, most: int = 2) -> DataFrame:
+    """Of a site's scenes in several zones: its most frequent zone's (lowest code on ties) near each seed, `most` at most.
 
-    A scene of another zone goes where the main zone has one less than `hours` away.
+    The first scene in the order of time is a seed. Of all scenes less than `hours`
+    from a seed, those of other zones go and so do the main zone's after the first
+    `most`; the next seed is the first scene that no seed has covered. Sites of one
+    zone stay as they are. Seeds don't reach over a pause of `hours`, so a group is
+    a site's scenes between two pauses.
     """
     count = scenes.groupBy(*site, "epsg").agg(F.count("*").alias("_n"))
     rank = F.row_number().over(W.partitionBy(*site).orderBy(F.desc("_n"), "epsg"))
-    main = count.withColumn("_r", rank).where("_r = 1").select(*site, F.col("epsg").alias("_main"))
+    main = count.withColumns({"_r": rank, "_zones": F.count("*").over(W.partitionBy(*site))}).where("_r = 1 AND _zones > 1").select(*site, F.col("epsg").alias("_main"))
     tagged = scenes.join(main, site)
-    own = F.when(F.col("epsg") == F.col("_main"), F.col("ts"))
-    back = W.partitionBy(*site).orderBy("ts", "scene_id").rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy(*site).orderBy("ts", "scene_id").rowsBetween(0, W.unboundedFollowing)
-    tagged = tagged.withColumn("_b", F.last(own, True).over(back)).withColumn("_a", F.first(own, True).over(ahead))
-    near = F.expr(f"ts < _b + INTERVAL {hours} HOURS OR _a < ts + INTERVAL {hours} HOURS")
-    return tagged.where((F.col("epsg") == F.col("_main")) | ~F.coalesce(near, F.lit(False))).drop("_main", "_b", "_a")
+    w = W.partitionBy(*site).orderBy("ts", "scene_id")
+    pause = F.expr(f"ts >= _before + INTERVAL {hours} HOURS")
+    tagged = tagged.withColumn("_before", F.lag("ts").over(w)).withColumn("_group", F.sum(F.coalesce(pause.cast("int"), F.lit(0))).over(w)).drop("_before")
+    columns = scenes.columns
+
+    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["ts", "scene_id"], ignore_index=True)
+        ts, own = pdf["ts"].to_numpy("datetime64[us]"), (pdf["epsg"] == pdf["_main"]).to_numpy()
+        span, gone, i = np.timedelta64(hours, "h"), np.zeros(len(pdf), bool), 0
+        while i < len(pdf):
+            lo, hi = np.searchsorted(ts, ts[i] - span, side="right"), np.searchsorted(ts, ts[i] + span)
+            near = np.arange(lo, hi)
+            gone[near[~own[near]]] = True
+            gone[near[own[near]][most:]] = True
+            i = hi
+        return pdf.loc[~gone, columns]
+
+    several = tagged.groupBy(*site, "_group").applyInPandas(thin, scenes.schema)
+    return scenes.join(main, site, "left_anti").select(columns).unionByName(several)
+
+
+def outside_zones(epsg: Column, excluded: list[int]) -> Column:
+    """Scenes whose zone isn't listed."""
+    return ~epsg.isin(*excluded) if excluded else F.lit(True)
+
+
+def with_second_tier(first: DataFrame, second: DataFrame, satellites: tuple[str, ...] = ("L5", "L7", "L8")) -> DataFrame:
+    """The first tier's scenes and, of these satellites, the second tier's."""
+    return first.unionByName(second.where(F.col("satname").isin(*satellites)))
+
+
+def without_artefact(scenes: DataFrame, manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Scenes that aren't in the manifest (scene_id, filename), or whose file isn't there (files: filename)."""
+    made = manifest.join(files, "filename", "left_semi").select("scene_id")
+    return scenes.join(made, "scene_id", "left_anti")
+
+
+def first_that_leaves_any(rows: DataFrame, conditions: list[Column]) -> DataFrame:
+    """Rows that meet the first of the conditions which any row meets; all rows where none is met.
+
+    The conditions are counted in one pass.
+    """
+    counts = rows.agg(*(F.count(F.when(c, 1)).alias(f"n{i}") for i, c in enumerate(conditions))).first()
+    for i, c in enumerate(conditions):
+        if counts[i]:
+            return rows.where(c)
+    return rows
+
+
+def slope_rows(rows: DataFrame, start: str, end: str, satellites: tuple[str, ...] = ("S2",)) -> DataFrame:
+    """Observations for slopes: in the dates, in the tide range and not of these satellites; else in the dates; else all."""
+    dated = F.col("ts").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    return first_that_leaves_any(rows, [dated & F.col("in_range") & ~F.col("satname").isin(*satellites), dated])

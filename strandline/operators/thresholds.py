@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .fill import ahead, behind
+
 
 def histogram(df: DataFrame, group: list[str], value: str, bins: int = 256) -> DataFrame:
     """group, bin, n, centre: equal bins between the group's least and greatest value."""
@@ -76,9 +78,8 @@ def match_histogram(source: DataFrame, template: DataFrame, group: list[str], va
     t = quantiles(template).withColumn("_kind", F.lit(0))
     both = s.unionByName(t)
     tq, tv = F.when(F.col("_kind") == 0, F.col("_q")), F.when(F.col("_kind") == 0, F.col("_v"))
-    back = W.partitionBy(*group).orderBy("_q", "_kind", "_v").rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy(*group).orderBy("_q", F.col("_kind").desc(), "_v").rowsBetween(0, W.unboundedFollowing)
-    both = both.withColumns({"_q0": F.last(tq, True).over(back), "_v0": F.last(tv, True).over(back), "_q1": F.first(tq, True).over(ahead), "_v1": F.first(tv, True).over(ahead)})
+    up, down = [F.col("_q"), F.col("_kind"), F.col("_v")], [F.col("_q").desc(), F.col("_kind"), F.col("_v").desc()]
+    both = both.withColumns({"_q0": behind(tq, group, up), "_v0": behind(tv, group, up), "_q1": ahead(tq, group, down), "_v1": ahead(tv, group, down)})
     share = F.coalesce(F.try_divide(F.col("_q") - F.col("_q0"), F.col("_q1") - F.col("_q0")), F.lit(0.0))
     matched = F.coalesce(F.col("_v0") + share * (F.col("_v1") - F.col("_v0")), "_v0", "_v1")
     return both.where("_kind = 1").select(*group, F.col("_v").alias(value), matched.alias("matched"))

@@ -12,22 +12,32 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.missing import or_default
+from .fill import ahead
 
 
-def next_value(left: DataFrame, right: DataFrame, by: list[str], value: str, out: str | None = None) -> DataFrame:
+def next_value(left: DataFrame, right: DataFrame, by: list[str], value: str, out: str | None = None, days: int = 30) -> DataFrame:
     """left plus the value of the first row of right strictly after its ts (NULL past the end).
 
-    Both sides are one sorted stream per key (a union and a window, no range join).
-    Of repeated timestamps on the right the first row by value counts.
+    Of repeated timestamps on the right the first row by value counts. Both sides
+    are sorted streams of a key's `days` each, so that a long series isn't one
+    task; past a stream's last value comes the first one of the next stream that
+    has any, carried back over a row a stream.
     """
     out = out or value
-    columns = left.columns
-    a = left.withColumns({"_kind": F.lit(0), "_v": F.lit(None).cast(right.schema[value].dataType)})
-    b = right.select(*by, "ts", F.col(value).alias("_v")).groupBy(*by, "ts").agg(F.min("_v").alias("_v")).withColumn("_kind", F.lit(1))
-    # at one time, right rows come first: a left row never meets its own instant
-    w = W.partitionBy(*by).orderBy(F.col("ts"), F.col("_kind").desc()).rowsBetween(1, W.unboundedFollowing)
-    both = a.unionByName(b, allowMissingColumns=True)
-    return both.withColumn(out, F.first("_v", ignorenulls=True).over(w)).where("_kind = 0").select(*columns, out)
+    columns, width = left.columns, days * 86_400
+    stream = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / width)
+    one = right.where(F.col("ts").isNotNull()).groupBy(*by, "ts").agg(F.min(value).alias("_v")).withColumns({"_kind": F.lit(1), "_stream": stream})
+    rows = left.withColumns({"_kind": F.lit(0), "_v": F.lit(None).cast(right.schema[value].dataType), "_stream": stream})
+    key = [*by, "_stream"]
+    # backwards; at one time left rows come first, as they never meet their own instant
+    order = [F.col("ts").desc(), F.col("_kind")]
+    both = rows.unionByName(one, allowMissingColumns=True).withColumn("_here", ahead("_v", key, order, own=False))
+    heads = one.groupBy(*key).agg(F.min_by("_v", F.when(F.col("_v").isNotNull(), F.col("ts"))).alias("_first"))
+    every = rows.select(*key, F.col("_v").alias("_first")).unionByName(heads)
+    streams = every.groupBy(*key).agg(F.max("_first").alias("_first"))
+    later = streams.withColumn("_later", ahead("_first", by, [F.col("_stream").desc()], own=False)).drop("_first")
+    joined = both.where("_kind = 0").join(later, key, "left")
+    return joined.withColumn(out, F.coalesce("_here", "_later")).select(*columns, out)
 
 
 def tide_bounds(tides: DataFrame, low: float = 5, high: float = 95) -> DataFrame:
@@ -38,7 +48,7 @@ def tide_bounds(tides: DataFrame, low: float = 5, high: float = 95) -> DataFrame
 def within_bounds(matched: DataFrame, tides: DataFrame, low: float = 5, high: float = 95) -> DataFrame:
     """matched plus in_range: its tide lies between the percentiles, both ends included."""
     b = tide_bounds(tides, low, high)
-    return matched.join(F.broadcast(b), "site", "left").withColumn("in_range", F.col("tide").between(F.col("tide_low"), F.col("tide_high"))).drop("tide_low", "tide_high")
+    return matched.join(b, "site", "left").withColumn("in_range", F.col("tide").between(F.col("tide_low"), F.col("tide_high"))).drop("tide_low", "tide_high")
 
 
 def correct(chainage: Column, tide: Column, slope: Column, reference: float = 0.0, default_slope: float = 0.1) -> Column:
@@ -54,7 +64,7 @@ def correct_series(series: DataFrame, tides: DataFrame, slope: float = 0.1, refe
     matched = next_value(series, tides, ["site"], "tide")
     ranged = within_bounds(matched, tides, low, high)
     mean = tides.groupBy("site").agg((F.avg("tide") if centre else F.lit(0.0)).alias("_mean"))
-    out = ranged.join(F.broadcast(mean), "site", "left")
+    out = ranged.join(mean, "site", "left")
     corrected = correct(F.col("chainage"), F.col("tide") - F.col("_mean"), F.lit(slope), reference)
     return out.withColumn("corrected", F.when(F.col("in_range"), corrected)).drop("_mean")
 
