@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .catalog import rasters, series, space, tides
+from .catalog import rasters, series, shapes, space, tides
 
-_PARTS = [series, space, tides, rasters]
+_PARTS = [series, space, tides, rasters, shapes]
 QUERIES: dict = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
 SQL: dict = {k: v for part in _PARTS for k, v in part.SQL.items()}
