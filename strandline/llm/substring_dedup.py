@@ -1,23 +1,27 @@
 """Repeated passages by paragraph MinHash banding.
 
-Paragraphs are lines of `min_words` words at least. Their MinHash signatures over
-distinct 5-word shingles (A-Z lower-cased) are banded for recall: 16 bands of 3
-find a pair at similarity 0.8 with a probability of 1 - (1 - 0.8^3)^16 > 0.99998.
-Equal paragraphs are collapsed first; colliding ones are gathered in candidate
-clusters, compared there by exact Jaccard similarity of whole shingle sets, and
-clustered by connected components (large clusters are dealt in pairs of blocks).
+Paragraphs are lines of `min_words` words at least, and shorter lines joined: a
+run of them up to the next blank or long line, cut after a line whose hash says
+so once it has `min_words` words. Their MinHash signatures over distinct 5-word
+shingles (A-Z lower-cased) are banded for recall: 16 bands of 3 find a pair at
+similarity 0.8 with a probability of 1 - (1 - 0.8^3)^16 > 0.99998. Equal
+paragraphs are collapsed first; colliding ones are judged by whole signatures
+(4.5 standard deviations of slack), clusters of what is left are compared by exact
+Jaccard similarity of whole shingle sets, and the links' connected components are
+the groups of which one stays (large clusters are dealt in pairs of blocks).
 
 A passage need not be a paragraph: it may begin and end inside longer lines. So a
 document's runs of `min_words` words that begin at content-defined anchors (the
-least 5-word hash of any 12 in a row) are compared for equality too. Whatever
-over 50 words two documents share holds such a run, at each of its places;
-equality is that of two independent 64-bit hashes of its words.
+least 5-word hash of any 12 in a row) are looked up too: those whose 64-bit hash
+two documents hold are read again and compared by a 128-bit digest of their
+words. Whatever over 50 words two documents share holds such a run, at each of
+its places. These finds are told apart by `method`.
 
-Of each cluster the first document (least doc_id) keeps its passage. The result
-has a row per passage to remove from another document: doc_id, first_word,
-n_words (places in the document's words, overlapping finds joined), kept_in (the
-least doc_id of the clusters joined) and similar (false where all finds are
-equal texts).
+Of each group the first document (least doc_id) keeps its passage. The result has
+a row per passage to remove from another document: doc_id, first_word, n_words
+(places in the document's words; finds that overlap, of one method and kept in
+one document, are joined), kept_in (the document that keeps it), method
+(paragraph or run) and similar (false where all finds are equal texts).
 
 Defined cases. Null, empty or short texts: nothing found. Null doc_id: takes no
 part. Repeated rows with one doc_id: read as one document. A passage that repeats
@@ -36,69 +40,96 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WordHash, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
+from .common import WordHash, join_counted, lower_words_of, materialize, mix64, only_ids, window_hashes, word_hashes
 from .graph import connected_components
-from .minhash_dedup import SHINGLE, _Forest, shingle_ids
+from .minhash_dedup import SHINGLE, Near, _Forest, block_pairs, candidate_links, shingle_ids
 
 MIN_WORDS = 40
 BANDS, BAND = 16, 3
 ANCHOR = 12
+CUT = 3
 _rng = np.random.default_rng(77)
 _MUL = (_rng.integers(0, 2**32, BANDS * BAND, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _ADD = _rng.integers(0, 2**32, BANDS * BAND, dtype=np.uint64).astype(np.uint32)[:, None]
-_ONE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_ONE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def minhash_bands(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Band hashes (int64, a row a set) of sets that begin at starts in an array of uint64 shingle hashes."""
+def signatures(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """MinHash registers (uint32, a row a set) of sets that begin at starts in an array of uint64 shingle hashes."""
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    least = np.minimum.reduceat(x * _MUL + _ADD, starts, axis=1)
-    r = least.T.reshape(-1, BANDS, BAND).astype(np.uint64)
-    z = np.zeros((len(starts), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+    return np.minimum.reduceat(x * _MUL + _ADD, starts, axis=1).T
+
+
+def minhash_bands(signature: np.ndarray) -> np.ndarray:
+    """Band hashes (int64, a row a set)."""
+    r = signature.reshape(-1, BANDS, BAND).astype(np.uint64)
+    z = np.zeros((len(r), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(BAND):
         z = mix64(z * np.uint64(0x9E3779B97F4A7C15) + r[:, :, i])
     return z.view(np.int64)
 
 
-def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word, words and two hashes of the runs of min_words words at anchors, at every place.
+def near_signatures(percent: int) -> Near:
+    """May paragraphs of these registers (the low 16 bits) reach the similarity?"""
+    p = percent / 100
+    least = p - 4.5 * np.sqrt(p * (1 - p) / (BANDS * BAND))
+    return lambda a, n, b, m: (a == b).mean(axis=1) >= least
+
+
+def anchored_runs(h: np.ndarray, s: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, words and hash of the runs of min_words words at anchors, at every place.
 
     Places of one text that overlap or touch are joined (words over min_words).
 
     h: word hashes, s: hashes of each SHINGLE words. The runs are hashed at the
-    anchors alone, twice, with other multipliers and other word hashes.
+    anchors alone.
     """
     if len(h) < min_words:
-        return (np.empty(0, np.int64),) * 4
+        return (np.empty(0, np.int64),) * 3
     w = min(ANCHOR, len(s))
     anchors = np.unique(np.lib.stride_tricks.sliding_window_view(s, w).argmin(axis=1) + np.arange(len(s) - w + 1))
     anchors = anchors[anchors <= len(h) - min_words]
-
-    def at_anchors(g: np.ndarray, multiplier: np.uint64) -> np.ndarray:
-        z = np.zeros(len(anchors), np.uint64)
-        for i in range(min_words):
-            z = z * multiplier + g[anchors + i]
-        return mix64(z).view(np.int64)
-
-    one, two = at_anchors(h, _ONE), at_anchors(mix64(h * _OTHER + np.uint64(1)), _OTHER)
-    order = np.lexsort((anchors, two, one))
-    at, one, two = anchors[order].astype(np.int64), one[order], two[order]
-    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (np.diff(at) > min_words)][: len(at)]
+    z = np.zeros(len(anchors), np.uint64)
+    for i in range(min_words):
+        z = z * _ONE + h[anchors + i]
+    one = mix64(z).view(np.int64)
+    order = np.lexsort((anchors, one))
+    at, one = anchors[order].astype(np.int64), one[order]
+    new = np.r_[True, (one[1:] != one[:-1]) | (np.diff(at) > min_words)][: len(at)]
     first, last = np.flatnonzero(new), np.flatnonzero(np.r_[new[1:], True][: len(at)])
-    return at[first], at[last] - at[first] + min_words, one[first], two[first]
+    return at[first], at[last] - at[first] + min_words, one[first]
+
+
+def paragraphs(lines: list[list[bytes]], min_words: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first line, lines, first word, words) of every paragraph; lines as words."""
+    at = first = begun = 0
+    for k, words in enumerate(lines):
+        n = len(words)
+        if n >= min_words or not n:
+            if at - begun >= min_words:
+                yield first, k - first, begun, at - begun
+            if n:
+                yield k, 1, at, n
+            first, begun = k + 1, at + n
+        elif at + n - begun >= min_words and hashlib.blake2b(b" ".join(words), digest_size=1).digest()[0] % CUT == 0:
+            yield first, k + 1 - first, begun, at + n - begun
+            first, begun = k + 1, at + n
+        at += n
+    if at - begun >= min_words:
+        yield first, len(lines) - first, begun, at - begun
 
 
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
 
 
-UNITS = "doc_id long, line int, first_word long, n_words long, one long, two long, text_key binary, bands array<long>"
-_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+UNITS = "doc_id long, line int, lines int, first_word long, n_words long, one long, text_key binary, regs binary, bands array<long>"
+_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
 _NAMES = [c.split(" ")[0] for c in UNITS.split(", ")]
 
 
 def units(docs: DataFrame, min_words: int) -> DataFrame:
-    """Paragraphs (line, text_key, bands) and anchored runs (line null; one, two) of every document, in one pass."""
+    """Paragraphs (line, lines, text_key, regs, bands) and anchored runs (line null; one) of every document, in one pass."""
 
     def table(columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), k) if c is None else pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
@@ -106,38 +137,42 @@ def units(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         for batch in batches:
-            lines: list[list] = [[] for _ in range(5)]
-            shingles, sizes, bands, waiting = [], [], [], 0
-            runs: list[list[np.ndarray]] = [[], [], [], [], []]
+            rows: list[list] = [[] for _ in range(6)]
+            shingles, sizes, regs, bands, waiting = [], [], [], [], 0
+            runs: list[list[np.ndarray]] = [[], [], [], []]
+
+            def sign() -> None:
+                found = signatures(np.concatenate(shingles), np.r_[0, np.cumsum(sizes)[:-1]])  # noqa: B023
+                bands.extend(minhash_bands(found))  # noqa: B023
+                regs.extend(r.tobytes() for r in found.astype(np.uint16))  # noqa: B023
+
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 parts = [lower_words_of(x) for x in text.as_py().split(b"\n")]
-                h = word_hashes([w for p in parts for w in p], cache)
-                if len(h) < min_words:
+                words = [w for p in parts for w in p]
+                if len(words) < min_words:
                     continue
+                h = word_hashes(words, cache)
                 s = window_hashes(h, SHINGLE)
                 found = anchored_runs(h, s, min_words)
                 for c, v in zip(runs, (np.full(len(found[0]), doc, np.int64), *found), strict=True):
                     c.append(v)
-                at = 0
-                for k, words in enumerate(parts):
-                    if len(words) >= min_words:
-                        shingles.append(s[at : at + len(words) - SHINGLE + 1])
-                        sizes.append(len(shingles[-1]))
-                        waiting += sizes[-1]
-                        key = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                        for c, v in zip(lines, (doc, k, at, len(words), key), strict=True):
-                            c.append(v)
-                    at += len(words)
+                for line, lines, at, n in paragraphs(parts, min_words):
+                    shingles.append(s[at : at + n - SHINGLE + 1])
+                    sizes.append(len(shingles[-1]))
+                    waiting += sizes[-1]
+                    key = hashlib.blake2b(b" ".join(words[at : at + n]), digest_size=16).digest()
+                    for c, v in zip(rows, (doc, line, lines, at, n, key), strict=True):
+                        c.append(v)
                 if waiting > 20_000:
-                    bands.extend(minhash_bands(np.concatenate(shingles), np.r_[0, np.cumsum(sizes)[:-1]]))
+                    sign()
                     shingles, sizes, waiting = [], [], 0
             if waiting:
-                bands.extend(minhash_bands(np.concatenate(shingles), np.r_[0, np.cumsum(sizes)[:-1]]))
-            if lines[0]:
-                yield table([*lines[:4], None, None, lines[4], bands])
+                sign()
+            if rows[0]:
+                yield table([*rows[:5], None, rows[5], regs, bands])
             if runs[0]:
-                doc, first, n, one, two = (np.concatenate(c) for c in runs)
-                yield table([doc, None, first, n, one, two, None, None])
+                doc, first, n, one = (np.concatenate(c) for c in runs)
+                yield table([doc, None, None, first, n, one, None, None, None])
             pa.default_memory_pool().release_unused()
 
     return _documents(docs).mapInArrow(run, UNITS)
@@ -151,13 +186,12 @@ def _links(members: pa.Table, percent: int) -> list[tuple[int, int]]:
     both = side.min() != side.max()
     bands = members.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[order]
     texts = members.column("text").to_pylist()
-    pdf = [texts[i] for i in order]
-    sets = shingle_ids(pdf)
+    sets = shingle_ids([texts[i] for i in order])
     sizes = np.array([len(s) for s in sets])
     marks = np.zeros(int(max(s[-1] for s in sets)) + 1, np.int64)
-    forest, links = _Forest(len(pdf)), []
-    for i in range(len(pdf) - 1):
-        later = np.arange(i + 1, len(pdf))
+    forest, links = _Forest(len(sets)), []
+    for i in range(len(sets) - 1):
+        later = np.arange(i + 1, len(sets))
         if both:
             later = later[side[later] != side[i]]
         later = later[(bands[later] == bands[i]).any(axis=1)]
@@ -182,57 +216,81 @@ def numbered_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return materialize(units(docs, min_words).withColumn("id", F.monotonically_increasing_id()), "units")
 
 
+def _paragraph_texts(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """id, text of paragraphs (id, doc_id, line, lines): each document's are cut from it at once."""
+    wanted = placed.groupBy("doc_id").agg(F.collect_list(F.struct("id", "line", "lines")).alias("wanted"))
+    texts = only_ids(_documents(docs), "doc_id", wanted.select("doc_id")).join(wanted, "doc_id")
+    cut = F.transform("wanted", lambda p: F.struct(p["id"].alias("id"), F.array_join(F.slice("x", p["line"] + 1, p["lines"]), "\n").cast("binary").alias("text")))
+    # of rows that repeat a doc_id, the first that has these lines
+    return texts.withColumn("x", F.split("text", "\n", -1)).select(F.explode(cut).alias("p")).select("p.*").dropDuplicates(["id"])
+
+
 def similar_paragraphs(docs: DataFrame, found: DataFrame, percent: int = 80, block: int = 512) -> DataFrame:
     """doc_id, first_word, n_words, cluster, text_key of the paragraphs (of units) in clusters of two at least."""
-    own = found.where("line IS NOT NULL").select("id", "doc_id", "line", "first_word", "n_words", "text_key", "bands")
-    keys = own.groupBy("text_key").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    reps = materialize(own.select("id", "doc_id", "line", "bands").join(keys.select("id"), "id", "left_semi"), "paragraph-texts")
-    banded = reps.select("id", F.explode("bands").alias("band"))
-    pivots = banded.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last").select("band", "pivot")
-    stars = only_ids(banded, "band", pivots).join(pivots, "band").where("id != pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v"))
-    clusters = materialize(connected_components(stars), "paragraph-clusters")
-    blocks = clusters.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = clusters.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = only_ids(reps, "id", clusters.select("id")).join(placed, "id")
-    texts = only_ids(_documents(docs), "doc_id", placed.select("doc_id")).select(F.col("doc_id").alias("_doc"), F.posexplode(F.split("text", "\n", -1)).alias("_line", "text"))
-    members = placed.join(texts, (F.col("doc_id") == F.col("_doc")) & (F.col("line") == F.col("_line"))).dropDuplicates(["id"])
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "block").alias("a"), F.greatest(o, "block").alias("b")))
-    members = members.select("id", F.col("text").cast("binary").alias("text"), "bands", "block", "label", F.explode(pairs).alias("p"))
+    own = found.where("line IS NOT NULL").drop("one")
+    keys = materialize(own.groupBy("text_key").agg(F.min("id").alias("id"), F.count("*").alias("n")), "paragraph-keys")
+    reps = materialize(own.select("id", "doc_id", "line", "lines", "regs", "bands").join(keys.select("id"), "id", "left_semi"), "paragraph-texts")
+    links = candidate_links(reps.select(F.col("id").alias("doc_id"), F.lit(0).alias("n_shingles"), "regs", "bands"), near_signatures(percent))
+    clusters = materialize(connected_components(links), "paragraph-clusters")
+    sizes = clusters.groupBy("label").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = join_counted(clusters, sizes, ["label"], "n").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = materialize(only_ids(reps.drop("regs"), "id", clusters.select("id")).join(placed, "id"), "paragraphs-placed")
+    members = placed.join(_paragraph_texts(docs, placed), "id").withColumn("p", F.explode(block_pairs("blocks", "block")))
 
     def compare(members: pa.Table) -> pa.Table:
         links = _links(members, percent)
         return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
     links = members.select("id", "text", "bands", "block", "label", "p.a", "p.b").groupBy("label", "a", "b").applyInArrow(compare, "u long, v long")
-    labels = connected_components(links)
-    named = keys.join(labels, "id", "left").select("text_key", F.coalesce("label", "id").alias("cluster"), (F.col("label").isNotNull() | (F.col("n") > 1)).alias("shared")).where("shared")
-    return own.select("doc_id", "first_word", "n_words", "text_key").join(named.drop("shared"), "text_key")
+    named = keys.join(connected_components(links), "id", "left").where("label IS NOT NULL OR n > 1").select("text_key", F.coalesce("label", "id").alias("cluster"), "n")
+    return join_counted(own.select("doc_id", "first_word", "n_words", "text_key"), named, ["text_key"], "n")
 
 
-def equal_runs(found: DataFrame) -> DataFrame:
-    """doc_id, first_word, n_words, one, two of the runs (of units) whose first hash two documents hold at least."""
-    runs = found.where("line IS NULL").select("doc_id", "first_word", "n_words", "one", "two")
+def equal_runs(docs: DataFrame, found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, first_word, n_words, digest of the runs (of units) whose hash two documents hold at least, read again from their texts."""
+    runs = found.where("line IS NULL").select("doc_id", "first_word", "n_words", "one")
     repeated = runs.groupBy("one").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("one")
-    return materialize(only_ids(runs, "one", repeated), "runs")
+    some = only_ids(runs, "one", repeated)
+    wanted = materialize(some.groupBy("doc_id").agg(F.collect_set(F.struct("first_word", "n_words")).alias("runs")), "runs-wanted")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for doc, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
+                words = lower_words_of(text.as_py())
+                first, n = (runs.values.field(k).to_numpy() for k in (0, 1))
+                for f, m in zip(first.tolist(), n.tolist(), strict=True):
+                    if f + m <= len(words):
+                        for c, v in zip(out, (doc, f, m, hashlib.blake2b(b" ".join(words[f : f + min_words]), digest_size=16).digest()), strict=True):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "first_word", "n_words", "digest"])
+            pa.default_memory_pool().release_unused()
+
+    texts = only_ids(_documents(docs), "doc_id", wanted.select("doc_id")).join(wanted, "doc_id").select("doc_id", "text", "runs")
+    return materialize(texts.mapInArrow(read, "doc_id long, first_word long, n_words long, digest binary"), "runs")
+
+
+def _later(finds: DataFrame, group: str, *more) -> DataFrame:
+    """finds of all but the first document of each group that two documents hold, with kept_in."""
+    firsts = finds.groupBy(group).agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"), F.count("*").alias("n"), *more).where("kept_in < last").drop("last")
+    return join_counted(finds, firsts, [group], "n").where("doc_id != kept_in")
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = 80, block: int = 512) -> DataFrame:
-    """doc_id, first_word, n_words, kept_in, similar: see the module."""
+    """doc_id, first_word, n_words, kept_in, method, similar: see the module."""
     found = numbered_units(docs, min_words)
     near = materialize(similar_paragraphs(docs, found, percent, block), "similar-paragraphs")
-    firsts = near.groupBy("cluster").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"), (F.min("text_key") != F.max("text_key")).alias("similar")).where("kept_in < last")
-    alike = near.join(firsts, "cluster").where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", "similar")
-    same = equal_runs(found)
-    owners = same.groupBy("one", "two").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last")).where("kept_in < last").drop("last")
-    equal = same.join(owners, ["one", "two"]).where("doc_id != kept_in").select("doc_id", "first_word", "n_words", "kept_in", F.lit(False).alias("similar"))
-    spans = alike.unionByName(equal).distinct()
-    by_doc = W.partitionBy("doc_id").orderBy("first_word", "n_words", "kept_in", "similar")
-    reach = F.max(F.col("first_word") + F.col("n_words")).over(by_doc.rowsBetween(W.unboundedPreceding, -1))
+    columns = ["doc_id", "first_word", "n_words", "kept_in", "method", "similar"]
+    alike = _later(near, "cluster", (F.min("text_key") != F.max("text_key")).alias("similar")).withColumn("method", F.lit("paragraph"))
+    equal = _later(equal_runs(docs, found, min_words), "digest").withColumns({"method": F.lit("run"), "similar": F.lit(False)})
+    spans = alike.select(columns).unionByName(equal.select(columns)).distinct()
+    by_keeper = W.partitionBy("doc_id", "kept_in", "method").orderBy("first_word", "n_words", "similar")
+    reach = F.max(F.col("first_word") + F.col("n_words")).over(by_keeper.rowsBetween(W.unboundedPreceding, -1))
     new = F.when(reach.isNull() | (F.col("first_word") > reach), 1).otherwise(0)
-    spans = spans.withColumn("_new", new).withColumn("_island", F.sum("_new").over(by_doc.rowsBetween(W.unboundedPreceding, 0)))
+    spans = spans.withColumn("_new", new).withColumn("_island", F.sum("_new").over(by_keeper.rowsBetween(W.unboundedPreceding, 0)))
     end = F.max(F.col("first_word") + F.col("n_words"))
-    out = spans.groupBy("doc_id", "_island").agg(F.min("first_word").alias("first_word"), (end - F.min("first_word")).alias("n_words"), F.min("kept_in").alias("kept_in"), F.max("similar").alias("similar"))
-    return out.drop("_island")
+    out = spans.groupBy("doc_id", "kept_in", "method", "_island").agg(F.min("first_word").alias("first_word"), (end - F.min("first_word")).alias("n_words"), F.max("similar").alias("similar"))
+    return out.select(columns)
 
 
 def op10_substring_dedup(spark, sf_dir):

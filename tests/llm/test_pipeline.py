@@ -44,5 +44,22 @@ def test_stages_against_brute_force(spark, sf):
 
 def test_run_is_the_stages(spark, sf):
     out = cp.run(spark, sf)
-    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "packed_in", "bound", "gap"]
     assert check_layout(out.collect(), 1024) > 0
+    for r in out.where("packed_in IS NOT NULL").groupBy("packed_in").agg({"bound": "max", "gap": "max"}).collect():
+        assert r["max(bound)"] > 0 and r["max(gap)"] >= 0
+
+
+def test_empty_clashing_and_very_long(spark, sf):
+    names = ["slot", "place", "epoch", "block", "_row", "_rank", "n_removed", "n_chunks", "_doc", "_gone", "_maybe", "_code", "code", "kept", "length", "offset", "sequence_id", "piece"]
+    kinds = ", ".join(["doc_id long", "text string", "lang string", "source string", "n_chars long", *(f"`{n}` string" for n in names)])
+    prose = " ".join(f"word{i % 977} of{i % 31} the{i % 7} text" for i in range(60_000))
+    rows = [(1, prose, "en", "a", len(prose), *names), (2, "some plain words of a text " * 4 + "and\nthen a second line of it", "en", None, 1, *names), (3, None, None, "a", None, *names)]
+    for data in ([], rows):
+        docs = spark.createDataFrame(data, kinds)
+        for name, stage in cp.STAGES:
+            out = materialize(stage(spark, docs, sf), f"odd-{name}")
+            if name != "best_fit_packing":
+                assert out.columns == docs.columns and all(r[n] == n for r in out.collect() for n in names)
+                docs = out
+        assert {r.doc_id for r in out.collect()} == ({1, 2} & {r[0] for r in data})
