@@ -185,6 +185,11 @@ def features20(spark, d):
     return ml.features(t).groupBy("scene_id").agg(F.count("*").alias("n"), *(F.round(F.avg(c), 6).alias(c) for c in ("nd_ng", "sd_b")))
 
 
+FEATURES = f"""WITH p AS (SELECT scene_id, row, col, abs(value) + 0.01::DOUBLE AS b, abs(value + 0.02::DOUBLE) + 0.01::DOUBLE AS g, abs(value + 0.06::DOUBLE) + 0.01::DOUBLE AS nir FROM {TILES}),
+s AS (SELECT a.scene_id, a.row, a.col, sqrt(greatest(avg(b.b * b.b) - avg(b.b) ** 2, 0)) AS sd {_AROUND.format(t="p", r=1)})
+SELECT scene_id, count(*) AS n, round(avg((nir - g) / (nir + g)), 6) AS nd_ng, round(avg(sd), 6) AS sd_b FROM p JOIN s USING (scene_id, row, col) GROUP BY 1"""
+
+
 def clusters(spark, d):
     return ml.kmeans(observations(spark, d).select("scene_id", "chainage", F.col("quality").cast("double").alias("tide")), ["chainage", "tide"]).groupBy("prediction").agg(F.count("*").alias("n"))
 
@@ -201,6 +206,7 @@ QUERIES = {
     "l1_m3_classified": classified, "m1_features20": features20, "m10_clusters": clusters, "m6_noise_clusters": noise_clusters,
 }
 SQL = {
+    "m1_features20": FEATURES,
     "r13_local_std": STD, "r27_median_smooth": MEDIAN, "r12_opening": OPENING, "r16_contour_segments": SEGMENTS, "r15_resample": RESAMPLE, "r25_degrade": DEGRADE, "r6_edge_padding": PADDING,
     "r10_stretch": STRETCH, "r3_f10_cloud_cover": COVER, "s38_r23_mosaic": MOSAIC, "s4_kml_round_trip": KML, "s5_page_titles": TITLES, "s26_wide_series": WIDE, "s35_manifest_upsert": MANIFEST, "u6_even_sample": SAMPLE,
 }

@@ -7,6 +7,8 @@ from math import pi, sqrt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .geometry import UTM_EPSG
+
 #: GRS80 axis and flattening, UTM scale and false easting.
 AXIS, FLATTENING, SCALE, EASTING = 6_378_137.0, 1 / 298.257222101, 0.9996, 500_000.0
 _N = FLATTENING / (2 - FLATTENING)
@@ -67,3 +69,45 @@ def from_utm(x: Column, y: Column, zone: Column) -> tuple[Column, Column]:
         phi = F.asin(F.tanh(goal + _E * _atanh(_E * F.sin(phi))))
     lam = F.atan2(F.sinh(q), F.cos(p))
     return F.degrees(lam) + zone * 6 - 183, phi * (180 / pi)
+
+
+#: Codes of plain degrees and of the web map's projection.
+DEGREES, WEB = (4326, 4269, 4258), 3857
+
+
+def zone_of(epsg: int) -> tuple[int, bool]:
+    """UTM zone of a code (WGS 84, NAD 83, ETRS 89, or the national ones of UTM_EPSG), and whether it is a southern one."""
+    for first, last, south in ((32601, 32660, False), (32701, 32760, True), (26901, 26923, False), (25828, 25838, False)):
+        if first <= epsg <= last:
+            return epsg % 100, south
+    for zone, code in UTM_EPSG.items():
+        if code == epsg:
+            return zone, False
+    raise ValueError(f"no projection for EPSG {epsg}")
+
+
+def to_degrees(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
+    """Longitude and latitude of coordinates under a code."""
+    if epsg in DEGREES:
+        return x, y
+    if epsg == WEB:
+        return F.degrees(x / AXIS), F.degrees(2 * F.atan(F.exp(y / AXIS)) - pi / 2)
+    zone, south = zone_of(epsg)
+    return from_utm(x, y - 10_000_000 if south else y, F.lit(zone))
+
+
+def from_degrees(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
+    if epsg in DEGREES:
+        return lon, lat
+    if epsg == WEB:
+        return AXIS * F.radians(lon), AXIS * F.log(F.tan(pi / 4 + F.radians(lat) / 2))
+    zone, south = zone_of(epsg)
+    x, y = to_utm(lon, lat, F.lit(zone))
+    return x, y + 10_000_000 if south else y
+
+
+def reproject(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
+    """Coordinates under one code as those under another: degrees, the web map, and UTM zones (datums taken as one)."""
+    if source == target:
+        return x, y
+    return from_degrees(*to_degrees(x, y, source), target)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.boxes import box_of, clipped
+from ..functions.projection import reproject
+
 POINT = "array<struct<x:double,y:double>>"
 GEOJSON = "type string, crs struct<properties:struct<name:string>>, features array<struct<type:string, properties:map<string,string>, geometry:struct<type:string, coordinates:string>>>"
 
@@ -119,3 +122,27 @@ def transect_features(transects: DataFrame, names: list[str] | None = None) -> D
 def write_features(features: DataFrame, path: str) -> None:
     """A GeoJSON sequence: a feature a line, in part files, so that no task holds them all."""
     features.select("value").write.mode("overwrite").text(path)
+
+
+def reprojected(points: DataFrame, source: int, target: int, x: str = "x", y: str = "y") -> DataFrame:
+    """points with x and y under another EPSG code."""
+    u, v = reproject(F.col(x), F.col(y), source, target)
+    return points.withColumns({x: u, y: v})
+
+
+def read_point(spark: SparkSession, path: str) -> DataFrame:
+    """x, y of a file's first Point feature."""
+    f = read_geojson(spark, path).where("kind = 'Point'").orderBy("place").limit(1)
+    return f.select(F.from_json(F.col("coordinates"), "array<double>").alias("c")).select(F.col("c")[0].alias("x"), F.col("c")[1].alias("y"))
+
+
+def clip_lines(segments: DataFrame, x_min: float, y_min: float, x_max: float, y_max: float) -> DataFrame:
+    """Segments (x0, y0, x1, y1, and others) cut to a rectangle; those outside go."""
+    part = clipped(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), box_of(*map(F.lit, (x_min, y_min, x_max, y_max))))
+    out = segments.withColumn("_part", part).where("_part IS NOT NULL")
+    return out.withColumns({c: F.col("_part")[c] for c in ("x0", "y0", "x1", "y1")}).drop("_part")
+
+
+def line_features(segments: DataFrame) -> DataFrame:
+    """One LineString feature a segment: a clipped reference line for write_features."""
+    return segments.select(feature("LineString", F.array(F.array("x0", "y0"), F.array("x1", "y1")), {}).alias("value"))
