@@ -91,6 +91,17 @@ def kmeans(df: DataFrame, names: list[str], k: int = 2, seed: int = 0) -> DataFr
     return KMeans(k=k, seed=seed).fit(v).transform(v).drop("features")
 
 
+def _one_gaussian(df: DataFrame, names: list[str]) -> float:
+    """Log likelihood of one normal distribution with the rows' own mean and covariance."""
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    r = df.agg(F.count("*").alias("n"), *(F.covar_pop(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs))).first()
+    c = np.zeros((len(names), len(names)))
+    for k, (a, b) in enumerate(pairs):
+        i, j = names.index(a), names.index(b)
+        c[i, j] = c[j, i] = r[f"c{k}"]
+    return -0.5 * r.n * (len(names) * (np.log(2 * np.pi) + 1) + np.linalg.slogdet(c)[1])
+
+
 def best_mixture(df: DataFrame, names: list[str], most: int = 2, seed: int = 0) -> tuple[int, dict[int, float]]:
     """Number of Gaussian components (1 to most) with the least BIC, and each BIC."""
     v = assemble(df, names).cache()
@@ -98,7 +109,8 @@ def best_mixture(df: DataFrame, names: list[str], most: int = 2, seed: int = 0)
     bic = {}
     for k in range(1, most + 1):
         free = k * (d + d * (d + 1) / 2) + k - 1
-        bic[k] = float(free * np.log(n) - 2 * GaussianMixture(k=k, seed=seed).fit(v).summary.logLikelihood)
+        fit = _one_gaussian(df, names) if k == 1 else GaussianMixture(k=k, seed=seed).fit(v).summary.logLikelihood
+        bic[k] = float(free * np.log(n) - 2 * fit)
     v.unpersist()
     return min(bic, key=bic.get), bic
 
