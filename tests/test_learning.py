@@ -89,7 +89,7 @@ def test_transect_features_are_lines(spark, sf):
 
 def test_shared_slope(spark):
     rng = np.random.default_rng(8)
-    rows = [("t", float(x), 0.4 * x + b + rng.normal(0, 0.05)) for x in np.linspace(-1, 1, 60) for b in (-1.0, 1.0)]
+    rows = [("t", float(x), float(0.4 * x + b + rng.normal(0, 0.05))) for x in np.linspace(-1, 1, 60) for b in (-1.0, 1.0)]
     r = research.shared_slope_lines(spark.createDataFrame(rows, "transect_id string, x double, y double"), ["transect_id"], "x", "y").first()
     assert abs(r.slope - 0.4) < 0.05 and abs(r.biases[0] + 1) < 0.1 and abs(r.biases[1] - 1) < 0.1 and r.loss < 0.02
 
