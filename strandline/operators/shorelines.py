@@ -61,9 +61,9 @@ def to_shorelines(lines: DataFrame, scenes: DataFrame, obstacles: DataFrame, lea
     turned = contour_normals(lines.withColumnsRenamed({"row": "y", "col": "x"})).withColumnsRenamed({"x": "col", "y": "row"})
     g = {k: F.col(k) for k in ("xtr", "xscale", "xshear", "ytr", "yshear", "yscale")}
     x, y = pixel_to_world(F.col("row"), F.col("col"), g)
-    world = turned.join(F.broadcast(scenes), "scene_id").withColumns({"x": x, "y": y})
+    world = turned.join(scenes, "scene_id").withColumns({"x": x, "y": y})
     least = least_length if isinstance(least_length, Column) else F.lit(least_length)
-    long = contour_lengths(world).join(F.broadcast(scenes), "scene_id").where(F.col("length") >= least).select("scene_id", "contour_id")
+    long = contour_lengths(world).join(scenes, "scene_id").where(F.col("length") >= least).select("scene_id", "contour_id")
     kept = world.join(long, ["scene_id", "contour_id"], "left_semi").select("scene_id", "contour_id", "pt_idx", "x", "y", "nx", "ny")
     return away_from(kept, obstacles, clear_of, ["scene_id"])
 
@@ -72,7 +72,7 @@ def extract(pixels: DataFrame, scenes: DataFrame, least_length: float = 500.0, c
     """Thresholds, contours and shorelines of all scenes; clouds are the obstacles."""
     g = {k: F.col(k) for k in ("xtr", "xscale", "xshear", "ytr", "yshear", "yscale")}
     x, y = pixel_to_world(F.col("row"), F.col("col"), g)
-    clouds = pixels.where("cloud").join(F.broadcast(scenes), "scene_id").select("scene_id", x.alias("x"), y.alias("y"))
+    clouds = pixels.where("cloud").join(scenes, "scene_id").select("scene_id", x.alias("x"), y.alias("y"))
     return to_shorelines(contours(pixels, scene_thresholds(pixels)), scenes, clouds, least_length, clear_of)
 
 

@@ -32,7 +32,7 @@ def intersect(f: Frames, s: Settings) -> Frames:
     near = joins.transect_points(f["transects"], points)
     ux, uy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     length = F.sqrt(ux * ux + uy * uy)
-    near = near.join(F.broadcast(f["transects"]), "transect_id").withColumn("along_normal", (F.col("nx") * ux + F.col("ny") * uy) / length)
+    near = near.join(f["transects"], "transect_id").withColumn("along_normal", (F.col("nx") * ux + F.col("ny") * uy) / length)
     pos = selection.positions(near).join(f["scenes_kept"].select("scene_id", "ts", "satname", "threshold"), "scene_id")
     return {"positions": pos, "rejections": series.rejection_counts(pos)}
 
