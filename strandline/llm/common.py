@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -57,6 +58,20 @@ def fresh(columns: Iterable[str], *names: str) -> list[str]:
     return out
 
 
+_made: list[str] | None = None
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Collects the folders that materialize() writes meanwhile, for a caller that knows when they can go."""
+    global _made
+    before, _made = _made, []
+    try:
+        yield _made
+    finally:
+        _made = before
+
+
 BATCH_ROWS = 1_000
 
 
@@ -76,6 +91,8 @@ def materialize_at(df: DataFrame, name: str, batch_rows: int | None = BATCH_ROWS
     """materialize(), and the folder, for callers that know when nothing reads it any more."""
     spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     path, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(key)
+    if _made is not None:
+        _made.append(path)
     small = batch_rows and before == "10000"
     if small:
         spark.conf.set(key, str(batch_rows))
