@@ -1,23 +1,50 @@
 """Five stages from documents to packed training sequences.
 
-Each stage reads what the one before it wrote. The first four return the columns
-of documents; the last returns a row per packed piece.
+Each stage reads what the one before it wrote, as Parquet; so what a stage kept in
+shared storage while it worked goes when the next one begins. The first four
+return the columns of documents; the last returns a row per packed piece.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
-from strandline.llm.common import flag_ids, fresh, materialize
+from strandline.llm.common import flag_ids, fresh, materialize, remove, scratch
+
+_KEPT: dict[str, list[str]] = {}  # by application: folders of the stage before
+
+
+def _stage(last: bool = False):
+    """A stage that first removes what the one before kept; what the last one keeps stays for its reader."""
+
+    def wrap(stage):
+        @functools.wraps(stage)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            application = spark.sparkContext.applicationId
+            for folder in _KEPT.pop(application, []):
+                remove(spark, folder)
+            with scratch() as made:
+                out = stage(spark, docs, sf_dir)
+            if not last:
+                _KEPT[application] = list(made)
+            return out
+
+        return run_stage
+
+    return wrap
 
 
+@_stage()
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules reject go."""
     return quality_rules.keep_documents(docs)
 
 
+@_stage()
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated line chunks go; a document of nothing else goes with them."""
     _, n_removed = line_dedup.result_names(docs)
@@ -28,6 +55,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out.select(docs.columns)
 
 
+@_stage()
 def minhash_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, repeated rows included."""
     groups = materialize(minhash_dedup.near_components(docs), "groups")
@@ -39,11 +67,13 @@ def minhash_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return flagged.where(~F.col(maybe)).unionByName(some).select(docs.columns)
 
 
+@_stage()
 def source_mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the schedule; sources under their weight begin again."""
     return mixing.mix_documents(docs)
 
 
+@_stage(last=True)
 def best_fit_packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and the certificate."""
     return packing.pack_documents(docs)
