@@ -12,7 +12,8 @@ residual tells that the streams differ.
 Where a space or a line feed follows another character than white space, both
 tokenizers start a token, so a group ends there too: texts are read in such
 stretches, and a stretch's tokens, groups and links are remembered as a whole,
-up to a bounded memory. Long texts are read by some thousands of stretches at a
+up to a bounded memory; a document's new ones go through tokenizers and transducer
+together. Long texts are read by some thousands of stretches at a
 time. Each document keeps its links summed by id pair. How often a pair is linked
 in the corpus, and whether that is its B id's highest, are sums over all
 documents; they come back to the documents by join_counted: frequent pairs, whose
@@ -25,6 +26,7 @@ counts. Extra columns are ignored, whatever their names. Empty table: empty resu
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import re
@@ -44,6 +46,7 @@ _STRETCH = re.compile(f"[ \n{_OTHER}]*[^ \n{_OTHER}]*(?:[{_OTHER}][ \n{_OTHER}]*
 PIECES = 1 << 16  # stretches read at a time, and pairs in a written batch
 FREQUENT = 20_000  # pairs with more than one in so many of all (document, pair) rows are broadcast
 A_IDS = 1 << 32
+LATIN_END = "\u0250"
 
 
 def byte_letters() -> dict[str, int]:
@@ -83,46 +86,70 @@ class Transducer:
         memo[key] = out
         return out
 
+    def groups(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int], list[tuple[int, int]]]]:
+        """A ids, B ids and links (A id, B id) of each group, in order; ValueError where the streams spell different bytes."""
+        streams, at, (a_bytes, _), steps = (a, b), [0, 0], self.spelling, self.steps
+        while at[0] < len(a):
+            token = a[at[0]]
+            at[0] += 1
+            lead, residual, group, links = 0, a_bytes[token], ([token], []), []
+            while residual:
+                behind, leader = 1 - lead, group[lead][-1]
+                if at[behind] == len(streams[behind]):
+                    raise ValueError("one side ends before the other")
+                token = streams[behind][at[behind]]
+                at[behind] += 1
+                group[behind].append(token)
+                links.append((token, leader) if lead else (leader, token))
+                known = steps[lead].get((residual, token))
+                after = known or self.step(lead, residual, token)
+                if after is None:
+                    raise ValueError("the streams spell different bytes")
+                lead, residual = after
+            yield *group, links
+        if at[1] < len(b):
+            raise ValueError("one side ends before the other")
+
     def __call__(self, a: list[int], b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]] | None:
         """Groups (A ids, B ids) and links (A id, B id), or None where the streams don't spell the same bytes."""
-        streams, at, groups, links = (a, b), [0, 0], [], []
-        lead, residual, group = 0, b"", ([], [])
-        while True:
-            if not residual:
-                if group[0]:
-                    groups.append(group)
-                    group = ([], [])
-                if at[0] == len(a):
-                    return (groups, links) if at[1] == len(b) else None
-                lead, residual = 0, self.spelling[0][a[at[0]]]
-                group[0].append(a[at[0]])
-                at[0] += 1
-                continue
-            behind = 1 - lead
-            if at[behind] == len(streams[behind]):
-                return None
-            token = streams[behind][at[behind]]
-            leader = group[lead][-1]
-            links.append((token, leader) if lead else (leader, token))
-            group[behind].append(token)
-            at[behind] += 1
-            after = self.step(lead, residual, token)
-            if after is None:
-                return None
-            lead, residual = after
+        try:
+            found = list(self.groups(a, b))
+        except ValueError:
+            return None
+        return [(x, y) for x, y, _ in found], [link for _, _, links in found for link in links]
+
+
+class _Table:
+    """Rows of integers that come one after another, in an array that grows."""
+
+    def __init__(self, width: int):
+        self.rows, self.n = np.empty((1024, width), np.int64), 0
+
+    def extend(self, rows: list) -> None:
+        if not rows:
+            return
+        while self.n + len(rows) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
 
 
 class Aligner:
     """Stretches of text to what their alignment gives, remembered."""
 
-    CHARS = 8_000_000
+    CHARS = 4_000_000
 
-    def __init__(self, json_path: str, model_path: str):
+    def __init__(self, json_path: str, ranks_path: str, model_path: str):
+        import public_tokenizers
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(json_path)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.b = SentencePieceProcessor(model_file=model_path)
         letters = byte_letters()
         with open(json_path, encoding="utf-8") as f:
@@ -137,73 +164,116 @@ class Aligner:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.sizes: list[tuple[int, int, int]] = []  # A tokens, B tokens, groups; -1 where the bytes differ
-        self.links: list[np.ndarray] = []
+        self.sizes = _Table(5)  # A tokens, B tokens, groups (-1 where the bytes differ), where the links begin, and how many
+        self.links = _Table(1)
         self.written: list[str] = []
         self.chars = 0
 
-    def ids(self, stretch: str) -> tuple[list[int], list[int]]:
-        """A's and B's ids of a stretch that begins with a space or a line feed."""
+    def ids(self, text: str) -> tuple[list[int], list[int]]:
+        """A's and B's ids of text that begins with a space or a line feed."""
+        # the same vocabulary as ranks is faster; both read letters, digits and white space of the first Latin blocks alike
+        a = self.ordinary(text) if max(text) < LATIN_END else self.a.encode(text, add_special_tokens=False).ids
         # B puts a space before what it reads; that and a line feed are a piece each, whatever follows
-        return self.a.encode(stretch, add_special_tokens=False).ids, self.b.encode("\n" + stretch)[2:]
-
-    def learn(self, stretch: str) -> int:
-        n = self.number[stretch] = len(self.sizes)
-        self.chars += len(stretch)
-        a, b = self.ids(stretch)
-        found = self.transducer(a, b)
-        if found is None:
-            self.sizes.append((-1, -1, -1))
-            self.links.append(np.empty(0, np.int64))
-            self.written.append("")
-        else:
-            groups, links = found
-            self.sizes.append((len(a), len(b), len(groups)))
-            self.links.append(np.array([y * A_IDS + x for x, y in links], np.int64))
-            self.written.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        return n
+        return a, self.b.encode("\n" + text)[2:]
+
+    def learn(self, stretches: list[str]) -> None:
+        """Align new stretches, joined: tokens and groups end where a stretch does, unless white space ends it."""
+        together = [s for s in stretches if not s[-1].isspace()]
+        alone = [s for s in stretches if s[-1].isspace()]
+        if together and not self._learn(together):
+            alone = stretches
+        for s in alone:
+            if not self._learn([s]):
+                self._keep([s], [(-1, -1, -1, 0, 0)], [""], [])
+
+    def _learn(self, stretches: list[str]) -> bool:
+        a_bytes, (a, b) = self.transducer.spelling[0], self.ids("".join(stretches))
+        ends = iter(stretches)
+        sizes, written, links = [], [], []
+        left, n_a, n_b, n_groups, own, texts = 0, 0, 0, 0, [], []
+        try:
+            for x, y, pairs in self.transducer.groups(a, b):
+                if not left:
+                    left = len(next(ends).encode())
+                left -= len(a_bytes[x[0]]) if len(x) == 1 else sum(len(a_bytes[t]) for t in x)
+                n_a, n_b, n_groups = n_a + len(x), n_b + len(y), n_groups + 1
+                own += [q * A_IDS + p for p, q in pairs]
+                texts.append(f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else f"{','.join(map(str, x))}|{','.join(map(str, y))}")
+                if left < 0:
+                    return False
+                if not left:
+                    sizes.append((n_a, n_b, n_groups, self.links.n + len(links), len(own)))
+                    links += own
+                    written.append(";".join(texts))
+                    n_a, n_b, n_groups, own, texts = 0, 0, 0, [], []
+        except (ValueError, StopIteration):
+            return False
+        if left or len(sizes) < len(stretches):
+            return False
+        self._keep(stretches, sizes, written, links)
+        return True
+
+    def _keep(self, stretches: list[str], sizes: list[tuple], written: list[str], links: list[int]) -> None:
+        self.number.update(zip(stretches, range(self.sizes.n, self.sizes.n + len(stretches)), strict=True))
+        self.sizes.extend(sizes)
+        self.links.extend([(x,) for x in links])
+        self.written += written
+        self.chars += sum(map(len, stretches))
+
+    def _stretches(self, text: str) -> Iterator[list[str]]:
+        if len(text) < PIECES:
+            yield _STRETCH.findall(text)[:-1]  # the last one is the empty rest
+            return
+        found = _STRETCH.finditer(text)
+        while some := [m.group() for m in islice(found, PIECES)]:
+            yield some if some[-1] else some[:-1]
 
     def __call__(self, text: str) -> tuple[tuple[int, int, int], str, np.ndarray, np.ndarray] | None:
         """(A tokens, B tokens, groups), digest of the groups, and id pairs with their numbers of links."""
-        found, total, digest = _STRETCH.finditer(" " + text), np.zeros(3, np.int64), hashlib.sha256()
+        total, digest = np.zeros(3, np.int64), hashlib.sha256()
         pairs, numbers = np.empty(0, np.int64), np.empty(0, np.int64)
-        first = True
-        while stretches := [s for s in (m.group() for m in islice(found, PIECES)) if s]:
+        between = ""
+        for stretches in self._stretches(" " + text):
+            if not stretches:
+                continue
             if self.chars > self.CHARS:
                 self.forget()
-            known = self.number
-            own = np.array([known[s] if s in known else self.learn(s) for s in stretches])
-            each, times = np.unique(own, return_counts=True)
-            sizes = np.array([self.sizes[i] for i in each.tolist()])
-            if (sizes < 0).any():
+            own = list(map(self.number.get, stretches))
+            if None in own:
+                self.learn(list(dict.fromkeys(s for s, n in zip(stretches, own, strict=True) if n is None)))
+                own = list(map(self.number.__getitem__, stretches))
+            sizes = self.sizes.rows[own]
+            if sizes[:, 0].min() < 0:
                 return None
-            total += times @ sizes
-            digest.update((("" if first else ";") + ";".join(map(self.written.__getitem__, own.tolist()))).encode())
-            first = False
-            links = [self.links[i] for i in each.tolist()]
-            all_pairs = np.concatenate([pairs, *links])
-            all_numbers = np.concatenate([numbers, np.repeat(times, list(map(len, links)))])
-            pairs, back = np.unique(all_pairs, return_inverse=True)
-            numbers = np.bincount(back, all_numbers, len(pairs)).astype(np.int64)
+            total += sizes[:, :3].sum(axis=0)
+            digest.update((between + ";".join(map(self.written.__getitem__, own))).encode())
+            between = ";"
+            starts, many = sizes[:, 3], sizes[:, 4]
+            links = self.links.rows[np.repeat(starts - np.cumsum(many) + many, many) + np.arange(many.sum()), 0]
+            found, times = np.unique(links, return_counts=True)
+            if len(pairs):
+                found, back = np.unique(np.concatenate([pairs, found]), return_inverse=True)
+                times = np.bincount(back, np.concatenate([numbers, times]), len(found)).astype(np.int64)
+            pairs, numbers = found, times
         return tuple(total.tolist()), digest.hexdigest(), pairs, numbers
 
 
 @lru_cache(1)
-def aligner(json_path: str | None = None, model_path: str | None = None) -> Aligner:
+def aligner(json_path: str | None = None, ranks_path: str | None = None, model_path: str | None = None) -> Aligner:
     """One a Python worker. The files are of the public tokenizers package unless given."""
     import public_tokenizers
 
-    return Aligner(json_path or public_tokenizers.path("byte_bpe_50k.json"), model_path or public_tokenizers.path("piece_bpe_32k.model"))
+    return Aligner(json_path or public_tokenizers.path("byte_bpe_50k.json"), ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), model_path or public_tokenizers.path("piece_bpe_32k.model"))
 
 
 _SCHEMA = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, numbers array<long>"
 
 
-def align_documents(docs: DataFrame, json_path: str | None = None, model_path: str | None = None) -> DataFrame:
+def align_documents(docs: DataFrame, json_path: str | None = None, ranks_path: str | None = None, model_path: str | None = None) -> DataFrame:
     """A row per document: row (a number of its own), the counts and digest, and pairs (B id * 2^32 + A id) with their numbers of links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = aligner(json_path, model_path)
+        align = aligner(json_path, ranks_path, model_path)
 
         def batch_of(rows: list[tuple], pairs: list[np.ndarray], numbers: list[np.ndarray]) -> pa.RecordBatch:
             plain = [pa.array(c, pa.string() if i == 6 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))]
@@ -240,9 +310,9 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return counts.join(highest, "b").select("pair", "total", (F.col("total") == F.col("highest")).alias("best"), "held")
 
 
-def align(docs: DataFrame, json_path: str | None = None, model_path: str | None = None, frequent: int = FREQUENT) -> DataFrame:
+def align(docs: DataFrame, json_path: str | None = None, ranks_path: str | None = None, model_path: str | None = None, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every row."""
-    aligned = materialize(align_documents(docs, json_path, model_path), "aligned")
+    aligned = materialize(align_documents(docs, json_path, ranks_path, model_path), "aligned")
     links = aligned.selectExpr("row", "inline(arrays_zip(pairs, numbers))").toDF("row", "pair", "number")
     met = join_counted(links, pair_counts(aligned), ["pair"], "held", heavy=frequent)
     sums = met.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("number")).otherwise(0)).alias("n_best"), F.sum(F.col("number") * F.col("total")).alias("count_sum"))

@@ -58,6 +58,7 @@ def check(text):
         assert found is None
         return
     (a, b, g), digest, pairs, numbers = found
+    assert int(numbers.sum()) == a + b - g
     assert (a, b, g, digest) == (want[0], want[1], want[2], want[4])
     assert {(p % ta.A_IDS, p // ta.A_IDS): n for p, n in zip(pairs.tolist(), numbers.tolist(), strict=True)} == dict(want[3])
 
