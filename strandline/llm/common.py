@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import xxhash
@@ -58,18 +59,17 @@ def fresh(columns: Iterable[str], *names: str) -> list[str]:
     return out
 
 
-_made: list[str] | None = None
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 @contextmanager
 def scratch() -> Iterator[list[str]]:
-    """Collects the folders that materialize() writes meanwhile, for a caller that knows when they can go."""
-    global _made
-    before, _made = _made, []
+    """Collects the folders that materialize() writes meanwhile in this thread, for a caller that knows when they can go."""
+    token = _MADE.set([])
     try:
-        yield _made
+        yield _MADE.get()
     finally:
-        _made = before
+        _MADE.reset(token)
 
 
 BATCH_ROWS = 1_000
@@ -91,8 +91,8 @@ def materialize_at(df: DataFrame, name: str, batch_rows: int | None = BATCH_ROWS
     """materialize(), and the folder, for callers that know when nothing reads it any more."""
     spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     path, before = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(key)
-    if _made is not None:
-        _made.append(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     small = batch_rows and before == "10000"
     if small:
         spark.conf.set(key, str(batch_rows))

@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import WordHash, fresh, materialize, window_hashes, word_hashes, words_of
+from .common import WordHash, materialize, window_hashes, word_hashes, words_of
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_distinct", "n_marks", "n_lettered"]
 WINDOW = 8
@@ -158,6 +157,12 @@ def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in stats.T), pa.array(vote_codes(stats))], ["doc_id", *STATS, "code"])
 
 
+def _codes_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cache = _FlaggedHash()
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(vote_codes(_table(batch.column(0), cache)))], ["code"])
+
+
 def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id, STATS and the vote pattern of every row."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats_batches, "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", code long")
@@ -188,10 +193,11 @@ def score_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 def keep_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that stay, with all their columns, whatever their names.
 
-    Statistics are computed once: the rows are written with their patterns, and
-    what stays is read from there.
+    The texts are read twice, once to count the vote patterns and once to keep or
+    drop each row where it lies, so none of them is written or moved on the way.
     """
-    (code,) = fresh(docs.columns, "_code")
+    own = docs.select("text").mapInArrow(_codes_batches, "code long")
+    good = {c for c, p in fit_documents(own).items() if p >= threshold}  # PATTERNS at most
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,17 +205,11 @@ def keep_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         for batch in batches:
             stats = _table(batch.column(at), cache)
             words, repeats = stats[:, 0], stats[:, STATS.index("n_repeat_words")]
-            failed = (words < 20) | (100 * repeats > 30 * words)
-            # the base rules go with the pattern's sign
-            codes = np.where(failed, ~vote_codes(stats), vote_codes(stats))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes)], [*batch.schema.names, code])
+            passed = (words >= 20) & (100 * repeats <= 30 * words)
+            yield batch.filter(pa.array(passed & np.fromiter((c in good for c in vote_codes(stats).tolist()), bool, len(stats))))
             pa.default_memory_pool().release_unused()
 
-    coded = materialize(docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(code, LongType())])), "quality-codes")
-    pattern = F.when(F.col(code) < 0, F.bitwise_not(code)).otherwise(F.col(code))
-    good = [c for c, p in fit_documents(coded.select(pattern.alias(code)), code).items() if p >= threshold]
-    model = docs.sparkSession.createDataFrame([(c,) for c in good], f"`{code}` long")  # PATTERNS rows at most
-    return coded.join(F.broadcast(model), code, "left_semi").select(docs.columns)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op4_quality_rules(spark, sf_dir):

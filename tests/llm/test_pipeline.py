@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import public_tokenizers
@@ -51,6 +52,26 @@ def test_run_is_the_stages(spark, sf):
         assert r["max(bound)"] > 0 and r["max(gap)"] >= 0
 
 
+def test_stages_chained_and_run_twice(spark, sf):
+    """Nothing is written between stages, stages are called again before the first result is read, and runs overlap."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stages = dict(cp.STAGES)
+    key = lambda df: Counter(map(tuple, df.collect()))
+    kept = stages["quality_rules"](spark, docs, sf)
+    a = stages["line_dedup"](spark, kept, sf)
+    b = stages["line_dedup"](spark, stages["quality_rules"](spark, docs, sf), sf)
+    c = stages["minhash_dedup"](spark, a, sf)
+    assert key(a) == key(b) and len(key(c)) > 0
+    assert key(c) == key(stages["minhash_dedup"](spark, materialize(b, "t-chain"), sf))
+    first = cp.run(spark, sf)
+    second = cp.run(spark, sf)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    with ThreadPoolExecutor(2) as pool:
+        third, fourth = pool.map(lambda _: cp.run(spark, sf), range(2))
+    rows = [key(x.select(columns)) for x in (first, second, third, fourth)]
+    assert rows[0] == rows[1] == rows[2] == rows[3] and sum(rows[0].values()) > 0
+
+
 def test_empty_clashing_and_very_long(spark, sf):
     names = ["slot", "place", "epoch", "block", "_row", "_rank", "n_removed", "n_chunks", "_doc", "_gone", "_maybe", "_code", "code", "kept", "length", "offset", "sequence_id", "piece"]
     base = spark.read.parquet(f"{sf}/documents.parquet")
