@@ -1,52 +1,39 @@
 """Five stages from documents to packed training sequences.
 
-Each stage reads what the one before it wrote, as Parquet; so what a stage kept in
-shared storage while it worked goes when the next one begins. The first four
-return the columns of documents; the last returns a row per packed piece.
+A stage is a function of the documents that the one before returned, read or not
+yet read; it removes nothing, so stages can be chained, repeated and run side by
+side. run() writes each stage's result as Parquet, and removes what a stage kept
+in shared storage while it worked, and the result before, once that is done. The
+first four return the columns of documents; the last a row per packed piece.
+
+In every stage: extra columns stay whatever their names (but for the last, which
+leaves them out), and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import line_dedup, minhash_dedup, mixing, packing, quality_rules
-from strandline.llm.common import flag_ids, fresh, materialize, remove, scratch
-
-_KEPT: dict[str, list[str]] = {}  # by application: folders of the stage before
-
-
-def _stage(last: bool = False):
-    """A stage that first removes what the one before kept; what the last one keeps stays for its reader."""
-
-    def wrap(stage):
-        @functools.wraps(stage)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            application = spark.sparkContext.applicationId
-            for folder in _KEPT.pop(application, []):
-                remove(spark, folder)
-            with scratch() as made:
-                out = stage(spark, docs, sf_dir)
-            if not last:
-                _KEPT[application] = list(made)
-            return out
-
-        return run_stage
+from strandline.llm.common import flag_ids, fresh, materialize, materialize_at, remove, scratch
 
-    return wrap
 
-
-@_stage()
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed rules reject go."""
+    """Documents that the weighed rules reject go.
+
+    Null and empty texts fail the base rules and go; repeated rows and null ids
+    are judged like others; long texts are judged as a whole.
+    """
     return quality_rules.keep_documents(docs)
 
 
-@_stage()
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated line chunks go; a document of nothing else goes with them."""
+    """Repeated line chunks go; a document of nothing else goes with them.
+
+    Null and empty texts stay as they are. Of repeated rows the first place keeps
+    its chunks. n_chars is counted anew where a text changed.
+    """
     _, n_removed = line_dedup.result_names(docs)
     out = line_dedup.dedup_lines(docs).where((F.col(n_removed) == 0) | F.col("text").isNull() | (F.length("text") > 0))
     if "n_chars" in docs.columns:
@@ -55,9 +42,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out.select(docs.columns)
 
 
-@_stage()
 def minhash_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, repeated rows included."""
+    """One document of each group of near-duplicates stays, the one of the least id.
+
+    Of rows with one doc_id one stays. Rows without doc_id, and texts without
+    words, are in no group and stay.
+    """
     groups = materialize(minhash_dedup.near_components(docs), "groups")
     gone = groups.where("NOT kept").select("doc_id")
     twice = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
@@ -67,15 +57,21 @@ def minhash_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return flagged.where(~F.col(maybe)).unionByName(some).select(docs.columns)
 
 
-@_stage()
 def source_mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of the schedule; sources under their weight begin again."""
+    """Documents in the order of the schedule; sources under their weight begin again, so their rows repeat.
+
+    A null source is a source; null ids, repeated rows and null, empty or long
+    texts are documents like others.
+    """
     return mixing.mix_documents(docs)
 
 
-@_stage(last=True)
 def best_fit_packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and the certificate."""
+    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset and the certificate.
+
+    A null or empty text is the end id alone; long texts are cut into pieces;
+    null ids and repeated rows are packed like others.
+    """
     return packing.pack_documents(docs)
 
 
@@ -92,7 +88,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as made:
+            docs, folder = materialize_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        for done in (set(made) | {before}) - {folder, None}:
+            remove(spark, done)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
