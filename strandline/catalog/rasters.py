@@ -43,7 +43,33 @@ OPENING = 'SELECT a.scene_id, a.row, a.col, bool_or(b.f) AS "on" ' + _AROUND.for
 
 
 def small_objects(spark, d):
-    return raster.drop_small_objects(tiles(spark, d).withColumn("on", F.col("value") > 0.1), "on", 4)
+    # tiles of 3: objects go over borders
+    return raster.drop_small_objects(tiles(spark, d).withColumn("on", F.col("value") > 0.1), "on", 4, tile=3)
+
+
+def diagonal_objects(spark, d):
+    found = raster.objects(tiles(spark, d).withColumn("on", F.col("value") > 0.12), "on", True, 3)
+    return found.select("scene_id", "row", "col", "size", (F.shiftright("object", 32)).cast("int").alias("first_row"))
+
+
+_REACH = """WITH RECURSIVE p AS (SELECT scene_id, row, col FROM {t} WHERE value > {level}::DOUBLE),
+reach AS (
+  SELECT scene_id, row, col, row AS r, col AS c FROM p
+  UNION SELECT w.scene_id, w.row, w.col, p.row, p.col FROM reach w JOIN p ON p.scene_id = w.scene_id AND {near}),
+s AS (SELECT scene_id, row, col, count(*) AS size, min(r) AS first_row FROM reach GROUP BY 1, 2, 3)"""
+SMALL = _REACH.format(t=TILES, level=0.1, near="abs(p.row - w.r) + abs(p.col - w.c) = 1") + f"""
+SELECT scene_id, row, col, coalesce(size >= 4, false) AS "on" FROM {TILES} LEFT JOIN s USING (scene_id, row, col)"""
+DIAGONAL = _REACH.format(t=TILES, level=0.12, near="abs(p.row - w.r) <= 1 AND abs(p.col - w.c) <= 1") + """
+SELECT scene_id, row, col, size, first_row FROM s"""
+
+
+def open_square(spark, d):
+    return raster.open_square(tiles(spark, d).withColumn("on", F.col("value") > -0.12), "on", 2)
+
+
+_FITS = "(SELECT a.scene_id, a.row, a.col, bool_and(b.value > -0.12::DOUBLE) AS f FROM {t} a JOIN {t} b ON a.scene_id = b.scene_id AND a.row - b.row BETWEEN 0 AND 1 AND a.col - b.col BETWEEN 0 AND 1 GROUP BY 1, 2, 3)"
+OPEN_SQUARE = f"""SELECT a.scene_id, a.row, a.col, bool_or(b.f) AS "on" FROM {TILES} a JOIN {_FITS.format(t=TILES)} b
+  ON a.scene_id = b.scene_id AND b.row - a.row BETWEEN 0 AND 1 AND b.col - a.col BETWEEN 0 AND 1 GROUP BY 1, 2, 3"""
 
 
 def contour_segments(spark, d):
@@ -200,12 +226,13 @@ def noise_clusters(spark, d):
 
 
 QUERIES = {
-    "r13_local_std": local_std, "r27_median_smooth": median_smooth, "r12_opening": opening, "r3_small_objects": small_objects, "r16_contour_segments": contour_segments, "r16_linked_contours": linked_contours,
+    "r13_local_std": local_std, "r27_median_smooth": median_smooth, "r12_opening": opening, "r3_small_objects": small_objects, "r3_diagonal_objects": diagonal_objects, "r4_open_square": open_square, "r16_contour_segments": contour_segments, "r16_linked_contours": linked_contours,
     "r15_resample": resample, "r25_degrade": degrade, "r6_edge_padding": edge_padding, "r10_stretch": stretch, "r3_f10_cloud_cover": qa_cover, "s38_r23_mosaic": mosaic, "r8_pansharpen": pansharpen,
     "s4_kml_round_trip": kml_round_trip, "s5_page_titles": page_titles, "s26_wide_series": wide_series, "s35_manifest_upsert": manifest_upsert, "s30_transect_features": transect_features, "u6_even_sample": even_sample,
     "l1_m3_classified": classified, "m1_features20": features20, "m10_clusters": clusters, "m6_noise_clusters": noise_clusters,
 }
 SQL = {
+    "r3_small_objects": SMALL, "r3_diagonal_objects": DIAGONAL, "r4_open_square": OPEN_SQUARE,
     "m1_features20": FEATURES,
     "r13_local_std": STD, "r27_median_smooth": MEDIAN, "r12_opening": OPENING, "r16_contour_segments": SEGMENTS, "r15_resample": RESAMPLE, "r25_degrade": DEGRADE, "r6_edge_padding": PADDING,
     "r10_stretch": STRETCH, "r3_f10_cloud_cover": COVER, "s38_r23_mosaic": MOSAIC, "s4_kml_round_trip": KML, "s5_page_titles": TITLES, "s26_wide_series": WIDE, "s35_manifest_upsert": MANIFEST, "u6_even_sample": SAMPLE,

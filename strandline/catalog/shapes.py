@@ -114,11 +114,11 @@ PIXEL_LINES = f"SELECT scene_id, row, round(value, 6) + 0.0::DOUBLE AS value FRO
 def centroids(spark, d):
     e = read(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
     xy = e.groupBy("vec_id", F.floor(F.col("i") / 2).cast("int").alias("idx")).agg(F.max(F.when(F.col("i") % 2 == 0, F.col("v").cast("double") * 100)).alias("x"), F.max(F.when(F.col("i") % 2 == 1, F.col("v").cast("double") * 100)).alias("y"))
-    out = outlines.centroids(xy.where("idx < 6"), ["vec_id"]).where("area > 1")
+    out = outlines.centroids(xy, ["vec_id"]).where("area > 1")
     return rounded(out.withColumn("x", outlines.east_of_greenwich(F.col("x"))), "x", "y", "area", digits=4)
 
 
-CENTROIDS = """WITH v AS (SELECT vec_id, k, embedding[2 * k + 1]::DOUBLE * 100 AS x, embedding[2 * k + 2]::DOUBLE * 100 AS y, embedding[2 * ((k + 1) % 6) + 1]::DOUBLE * 100 AS x2, embedding[2 * ((k + 1) % 6) + 2]::DOUBLE * 100 AS y2 FROM embeddings, range(6) r(k)),
+CENTROIDS = """WITH v AS (SELECT vec_id, k, embedding[2 * k + 1]::DOUBLE * 100 AS x, embedding[2 * k + 2]::DOUBLE * 100 AS y, embedding[2 * ((k + 1) % 32) + 1]::DOUBLE * 100 AS x2, embedding[2 * ((k + 1) % 32) + 2]::DOUBLE * 100 AS y2 FROM embeddings, range(32) r(k)),
 s AS (SELECT vec_id, sum(x * y2 - x2 * y) AS a, sum((x + x2) * (x * y2 - x2 * y)) AS sx, sum((y + y2) * (x * y2 - x2 * y)) AS sy FROM v GROUP BY 1)
 SELECT vec_id, round(sx / (3 * a) + CASE WHEN sx / (3 * a) < 0 THEN 360 ELSE 0 END, 4) + 0.0::DOUBLE AS x, round(sy / (3 * a), 4) + 0.0::DOUBLE AS y, round(abs(a) / 2, 4) AS area FROM s WHERE abs(a) / 2 > 1"""
 
@@ -134,14 +134,16 @@ SELECT ref_id, pt_id, rank::INTEGER AS rank, round(distance, 6) AS distance FROM
 
 
 def runs_and_zones(spark, d):
-    t = tiles(spark, d).where("row = 0").select("scene_id", F.col("col").alias("idx"), "value")
+    t = tiles(spark, d).select("scene_id", (8 * F.col("row") + F.col("col")).alias("idx"), "value")
     near = outlines.run_along(t, t.select("scene_id", F.col("idx").alias("ref_idx")), ["scene_id"], 2).groupBy("scene_id", "ref_idx").agg(F.count("*").alias("n"))
     zones = outlines.zones_of_points(t, ["scene_id"], "value", -0.1).select("scene_id", F.col("idx").alias("ref_idx"), "zone")
     return zones.join(near, ["scene_id", "ref_idx"])
 
 
-RUNS = f"""WITH t AS (SELECT scene_id, col AS idx, value FROM {TILES} WHERE row = 0)
-SELECT scene_id, idx AS ref_idx, sum(CASE WHEN value < -0.1 THEN 1 ELSE 0 END) OVER (PARTITION BY scene_id ORDER BY idx)::BIGINT AS zone, (least(idx + 2, 7) - greatest(idx - 2, 0))::BIGINT AS n FROM t WHERE least(idx + 2, 7) > greatest(idx - 2, 0)"""
+RUNS = f"""WITH t AS (SELECT scene_id, 8 * row + col AS idx, value < -0.1 AS low FROM {TILES}),
+b AS (SELECT scene_id, idx, low AND NOT coalesce(lead(low) OVER (PARTITION BY scene_id ORDER BY idx), false) AS begins FROM t)
+SELECT scene_id, idx AS ref_idx, sum(begins::INTEGER) OVER (PARTITION BY scene_id ORDER BY idx)::BIGINT AS zone,
+  (least(idx + 2, 63) - greatest(idx - 2, 0))::BIGINT AS n FROM b WHERE least(idx + 2, 63) > greatest(idx - 2, 0)"""
 
 
 def cloud_range(spark, d):

@@ -220,6 +220,24 @@ def local_minimum(spark, d):
     return rounded(thresholds.local_minimum(_indexed(spark, d), ["scene_id"], "mndwi", 24), "threshold")
 
 
+def _minimum_sql(frame: str, group: str, value: str, bins: int) -> str:
+    return f"""WITH o AS MATERIALIZED ({_otsu_sql(frame, group, value, bins).replace("round(min_by(c, (-var, bin)), 6) + 0.0::DOUBLE", "min_by(c, (-var, bin))")}),
+v AS (SELECT {group}, {value} AS v FROM {frame}), s AS (SELECT {group}, min(v) AS lo, (max(v) - min(v)) / {bins} AS w FROM v GROUP BY {group}),
+h AS (SELECT {group}, least(floor(coalesce((v - lo) / nullif(w, 0), 0)), {bins - 1})::INTEGER AS bin, count(*) AS n FROM v JOIN s USING ({group}) GROUP BY ALL),
+f AS (SELECT {group}, bin, coalesce(n, 0) AS n, lo + (bin + 0.5::DOUBLE) * w AS c FROM (
+  SELECT {group}, lo, w, unnest(range(0, last + 1))::INTEGER AS bin FROM s JOIN (SELECT {group}, max(bin) AS last FROM h GROUP BY {group}) USING ({group})) LEFT JOIN h USING ({group}, bin)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY {group} ORDER BY bin) AS run FROM (SELECT *, CASE WHEN lag(n) OVER (PARTITION BY {group} ORDER BY bin) = n THEN 0 ELSE 1 END AS new FROM f)),
+q AS (SELECT {group}, run, (min(bin) + max(bin)) // 2 AS bin, any_value(n) AS n FROM r GROUP BY {group}, run),
+p AS (SELECT * FROM (SELECT *, lag(n) OVER (PARTITION BY {group} ORDER BY run) AS b, lead(n) OVER (PARTITION BY {group} ORDER BY run) AS a FROM q) WHERE n > b AND n > a),
+k AS (SELECT {group}, arg_max(c, (f.n, -f.bin)) FILTER (c < threshold) AS l, arg_max(c, (f.n, -f.bin)) FILTER (c >= threshold) AS r FROM p JOIN f USING ({group}, bin) JOIN o USING ({group}) GROUP BY {group}),
+e AS (SELECT {group}, threshold, coalesce(l, threshold) AS l, coalesce(r, threshold) AS r FROM o LEFT JOIN k USING ({group})),
+m AS (SELECT {group}, arg_min(c, (n, bin)) AS c FROM f JOIN e USING ({group}) WHERE c > l AND c < r GROUP BY {group})
+SELECT {group}, round(coalesce(c, threshold), 6) + 0.0::DOUBLE AS threshold FROM e LEFT JOIN m USING ({group})"""
+
+
+MINIMUM = _minimum_sql(f"(SELECT scene_id, {_INDEX['mndwi']} AS m FROM {PIXELS} WHERE NOT cloud)", "scene_id", "m", 24)
+
+
 def ensemble_vote(spark, d):
     names = ["mndwi", "ndwi", "awei_ns"]
     t = lambda df, group, value: df.groupBy(*group).agg(F.avg(value).alias("threshold"))
@@ -291,5 +309,5 @@ SQL = {
     "j1_transect_points": JOIN, "l2_a2_positions": POSITIONS, "l3_class_selection": CLASSES, "j4_f22_away_from": AWAY, "j3_g16_near_line": NEAR_LINE,
     "j5_nearest_distance": NEAREST, "j7_g13_crossings": CROSSINGS, "j9_raster_lookup": LOOKUP, "g1_g2_affine": AFFINE, "g5_utm": UTM, "g9_densify": DENSIFY,
     "g14_contour_normals": NORMALS, "f21_contour_lengths": LENGTHS, "g18_collider": COLLIDER, "i2_i14_indices": INDICES, "r11_land_water": LAND,
-    "it1_otsu": OTSU, "i15_ensemble_mean": MEAN, "i16_ensemble_vote": VOTE, "r7_match_histogram": MATCH, "il4_ks_statistic": KS, "iu_unmix": UNMIX, "a18_index_histogram": HISTOGRAM,
+    "it1_otsu": OTSU, "it4_local_minimum": MINIMUM, "i15_ensemble_mean": MEAN, "i16_ensemble_vote": VOTE, "r7_match_histogram": MATCH, "il4_ks_statistic": KS, "iu_unmix": UNMIX, "a18_index_histogram": HISTOGRAM,
 }

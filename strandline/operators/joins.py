@@ -67,28 +67,41 @@ def near_segments(points: DataFrame, segments: DataFrame, d: float) -> DataFrame
     return p.alias("p").join(s.alias("s"), (F.col("p._cx") == F.col("s._cx")) & (F.col("p._cy") == F.col("s._cy")) & inside, "left_semi").drop("_cx", "_cy")
 
 
-def nearest_distance(left: DataFrame, right: DataFrame, key: list[str], size: float, rounds: int = 12) -> DataFrame:
-    """key and the distance to the nearest row of right, by growing grid cells; no row where right is empty.
+def nearest(left: DataFrame, right: DataFrame, key: list[str], right_id: str, size: float, group: list[str] | None = None, k: int = 1, rounds: int = 12) -> DataFrame:
+    """group, key, rank, right_id, distance: each left row's k nearest right rows of its group, ties to the lesser right_id.
 
-    A round joins the 3 x 3 cells around each point; what has its nearest within
-    the cell size is settled, the rest goes on with cells four times as large.
+    Fewer where the group has fewer; no row where it has none. A round joins the
+    3 x 3 cells around each left point, an equality on group and cell; what has its
+    k-th within the cell size has all that could be nearer, and is settled. The rest
+    goes on with cells four times as large.
     """
-    p = left.select(*key, "x", "y")
-    todo, out = cut(p), None
-    nothing = right.isEmpty()
+    group = group or []
+    n = right.groupBy(*group).agg(F.count("*").alias("_n")) if group else right.agg(F.count("*").alias("_n"))
+    todo = left.select(*group, *key, "x", "y")
+    todo = cut((todo.join(n, group) if group else todo.crossJoin(F.broadcast(n))).where("_n > 0").withColumn("_want", F.least(F.lit(k), F.col("_n"))))
+    own = right.select(*group, F.col(right_id).alias("_id"), F.col("x").alias("_rx"), F.col("y").alias("_ry"))
+    w, out = W.partitionBy(*group, *key).orderBy("distance", "_id"), None
     for r in range(rounds):
         s = size * 4**r
-        right_cells = _around(right.select("x", "y"), s).select("_cx", "_cy", F.col("x").alias("_rx"), F.col("y").alias("_ry"))
-        placed = todo.withColumn("_cx", cell(F.col("x"), s)).withColumn("_cy", cell(F.col("y"), s))
-        d = placed.join(right_cells, ["_cx", "_cy"]).groupBy(*key).agg(F.min(distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))).alias("nearest")).where(F.col("nearest") <= s)
-        d = cut(d)
-        out = d if out is None else out.unionByName(d)
-        todo = cut(todo.join(d.select(*key), key, "left_anti"))
-        if nothing or todo.isEmpty():
+        placed = own.withColumns({"_cx": cell(F.col("_rx"), s), "_cy": cell(F.col("_ry"), s)})
+        met = _around(todo, s).join(placed, [*group, "_cx", "_cy"])
+        near = met.withColumn("distance", distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))).where(F.col("distance") <= s)
+        ranked = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("_want"))
+        full = ranked.withColumn("_have", F.count("*").over(W.partitionBy(*group, *key))).where("_have = _want")
+        settled = cut(full.select(*group, *key, "rank", F.col("_id").alias(right_id), "distance"))
+        out = settled if out is None else out.unionByName(settled)
+        todo = cut(todo.join(settled.where("rank = 1").select(*group, *key), [*group, *key], "left_anti"))
+        if todo.isEmpty():
             return out
     raise RuntimeError(f"points without a neighbour after {rounds} rounds: begin with larger cells than {size}")
 
 
+def nearest_distance(left: DataFrame, right: DataFrame, key: list[str], size: float, rounds: int = 12) -> DataFrame:
+    """key and the distance to the nearest row of right, by growing grid cells; no row where right is empty."""
+    own = right.select("x", "y", F.lit(0).alias("_right"))
+    return nearest(left, own, key, "_right", size, rounds=rounds).select(*key, F.col("distance").alias("nearest"))
+
+
 def crossings(rays: DataFrame, segments: DataFrame, size: float) -> DataFrame:
     """Where rays (ray_id, x0, y0, x1, y1) cross segments: ray_id, x, y, along (distance from the ray's origin)."""
     def spread(df: DataFrame, names: list[str]) -> DataFrame:

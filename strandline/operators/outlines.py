@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.boxes import contains
 from ..functions.geometry import distance
-from .joins import transect_points
+from .joins import nearest, transect_points
 
 
 def centroids(vertices: DataFrame, key: list[str]) -> DataFrame:
@@ -53,18 +53,21 @@ def run_along(points: DataFrame, refs: DataFrame, line: list[str], n: int) -> Da
     return near.join(p, [*line, "idx"]).where(F.col("idx") < F.least(F.col("ref_idx") + n, F.col("_size") - 1)).drop("_size")
 
 
-def nearest_k(refs: DataFrame, points: DataFrame, group: list[str], k: int) -> DataFrame:
-    """The k nearest points (pt_id, x, y) of each reference point (ref_id, x, y) of its group, ties to the lesser pt_id."""
-    p = points.select(*group, "pt_id", F.col("x").alias("_px"), F.col("y").alias("_py"))
-    d = refs.join(p, group).withColumn("distance", distance(F.col("x"), F.col("y"), F.col("_px"), F.col("_py")))
-    w = W.partitionBy("ref_id").orderBy("distance", "pt_id")
-    return d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*group, "ref_id", "pt_id", "rank", "distance")
+def nearest_k(refs: DataFrame, points: DataFrame, group: list[str], k: int, size: float = 4.0) -> DataFrame:
+    """The k nearest points (pt_id, x, y) of each reference point (ref_id, x, y) of its group, ties to the lesser pt_id.
+
+    By growing cells: see joins.nearest.
+    """
+    return nearest(refs, points, ["ref_id"], "pt_id", size, group, k).select(*group, "ref_id", "pt_id", "rank", "distance")
 
 
 def zones_of_points(points: DataFrame, line: list[str], p_value: str, least: float) -> DataFrame:
-    """points (line, idx) plus zone: a new one begins where the p value is under `least`."""
-    w = W.partitionBy(*line).orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
-    return points.withColumn("zone", F.sum(F.when(F.col(p_value) < least, 1).otherwise(0)).over(w))
+    """points (line, idx) plus zone: a new one begins where the p value is under `least`, but not where the next point begins one too."""
+    w = W.partitionBy(*line).orderBy("idx")
+    begins = lambda p: F.coalesce(p < least, F.lit(False))
+    alone = begins(F.col(p_value)) & ~begins(F.lead(p_value).over(w))
+    p = points.withColumn("_begins", alone.cast("int"))
+    return p.withColumn("zone", F.sum("_begins").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_begins")
 
 
 def cloud_range(transects: DataFrame, clouds: DataFrame, along: float, past: float, least: float, resolution: float = 15.0) -> DataFrame:

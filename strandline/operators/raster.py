@@ -1,7 +1,7 @@
 """Raster operators. What a pixel needs from itself is a column expression; what it
 needs from a window around it is computed by numpy over tiles, to which only the
-pixels of a narrow margin are copied; connected objects, contours and component
-analysis are grouped kernels, a scene each.
+pixels of a narrow margin are copied. Connected objects are found in tiles and
+united over their borders; component analysis is a grouped kernel, a scene each.
 
 pixels: scene_id, row, col, and bands or a value.
 """
@@ -21,6 +21,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .components import connected
+from .lineage import cut
+from .thresholds import finite
+
 KEY = ["scene_id", "row", "col"]
 
 
@@ -182,43 +186,63 @@ def degrade(pixels: DataFrame, value: str, from_m: float, to_m: float) -> DataFr
     return along(along(pixels.select(*KEY, value), "row"), "col")
 
 
+def cells(pixels: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """by, r0, c0 and the corner values a, b, c, d (clockwise from the first) of each cell of four pixels with values.
+
+    One shuffle: each pixel is a corner of four cells, and corners that lie
+    together are put together before it.
+    """
+    by = by or ["scene_id"]
+    v = finite(pixels, value).select(*by, "row", "col", F.col(value).cast("double").alias("_v"))
+    corners = [(0, 0, "a"), (0, 1, "b"), (1, 1, "c"), (1, 0, "d")]
+    place = lambda dr, dc, name: F.struct((F.col("row") - dr).alias("r0"), (F.col("col") - dc).alias("c0"), F.lit(name).alias("corner"))
+    spread = v.select(*by, "_v", F.explode(F.array(*(place(*x) for x in corners))).alias("_p")).select(*by, "_p.*", "_v")
+    met = spread.groupBy(*by, "r0", "c0").agg(*(F.max(F.when(F.col("corner") == n, F.col("_v"))).alias(n) for _, _, n in corners))
+    return met.where("a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND d IS NOT NULL")
+
+
 def resample(pixels: DataFrame, value: str, factor: float) -> DataFrame:
     """Bilinear values on a grid of 1 / factor pixels: rows (scene_id, row, col) of the finer grid inside the image."""
-    corner = lambda dr, dc: pixels.select("scene_id", (F.col("row") - dr).alias("r0"), (F.col("col") - dc).alias("c0"), F.col(value).alias(f"v{dr}{dc}"))
-    cells = corner(0, 0)
-    for dr, dc in ((0, 1), (1, 0), (1, 1)):
-        cells = cells.join(corner(dr, dc), ["scene_id", "r0", "c0"])
     inside = lambda c: F.explode(F.sequence(F.ceil(F.col(c) * factor).cast("int"), F.ceil((F.col(c) + 1) * factor).cast("int") - 1))
-    g = cells.withColumn("row", inside("r0")).withColumn("col", inside("c0"))
-    a, b = F.col("row") / factor - F.col("r0"), F.col("col") / factor - F.col("c0")
-    out = (1 - a) * ((1 - b) * F.col("v00") + b * F.col("v01")) + a * ((1 - b) * F.col("v10") + b * F.col("v11"))
+    g = cells(pixels, value).withColumn("row", inside("r0")).withColumn("col", inside("c0"))
+    u, v = F.col("row") / factor - F.col("r0"), F.col("col") / factor - F.col("c0")
+    out = (1 - u) * ((1 - v) * F.col("a") + v * F.col("b")) + u * ((1 - v) * F.col("d") + v * F.col("c"))
     return g.select(*KEY, out.alias(value))
 
 
-def contour_segments(pixels: DataFrame, value: str, level: float) -> DataFrame:
-    """Marching squares: scene_id, r0, c0 (the cell) and both ends (row, col) of each line piece at the level.
+def cell_pieces(c: DataFrame, level: Column, keep: list[str]) -> DataFrame:
+    """Marching squares: keep, r0, c0 and both ends (row, col) of each line piece of cells (see cells()) at a level.
 
-    A cell with a missing corner gives none. Saddles are parted by the mean of
-    their corners.
+    Saddles are parted by the mean of their corners.
     """
-    corner = lambda dr, dc, name: pixels.where(F.col(value).isNotNull()).select("scene_id", (F.col("row") - dr).alias("r0"), (F.col("col") - dc).alias("c0"), F.col(value).cast("double").alias(name))
-    c = corner(0, 0, "a").join(corner(0, 1, "b"), ["scene_id", "r0", "c0"]).join(corner(1, 1, "c"), ["scene_id", "r0", "c0"]).join(corner(1, 0, "d"), ["scene_id", "r0", "c0"])
     code = sum((F.when(F.col(n) > level, 1 << k).otherwise(0) for k, n in enumerate("bcd", 1)), F.when(F.col("a") > level, 1).otherwise(0))
-    c = c.withColumn("code", code).where("code NOT IN (0, 15)")
-    cut = lambda p, q: (F.lit(level) - F.col(p)) / (F.col(q) - F.col(p))
+    c = c.withColumns({"_level": level, "code": code}).where("code NOT IN (0, 15)")
+    part = lambda p, q: (F.col("_level") - F.col(p)) / (F.col(q) - F.col(p))
     r, k = F.col("r0"), F.col("c0")
     point = lambda x, y: F.struct(x.cast("double").alias("row"), y.cast("double").alias("col"))
-    top, right = point(r, k + cut("a", "b")), point(r + cut("b", "c"), k + 1)
-    bottom, left = point(r + 1, k + cut("d", "c")), point(r + cut("a", "d"), k)
+    top, right = point(r, k + part("a", "b")), point(r + part("b", "c"), k + 1)
+    bottom, left = point(r + 1, k + part("d", "c")), point(r + part("a", "d"), k)
     piece = lambda p, q: F.struct(p.alias("p"), q.alias("q"))
-    high = (F.col("a") + F.col("b") + F.col("c") + F.col("d")) / 4 > level
+    high = (F.col("a") + F.col("b") + F.col("c") + F.col("d")) / 4 > F.col("_level")
     one = {(1, 14): (left, top), (2, 13): (top, right), (4, 11): (right, bottom), (8, 7): (bottom, left), (3, 12): (left, right), (6, 9): (top, bottom)}
     pieces = F.array().cast(c.select(F.array(piece(top, left)).alias("x")).schema["x"].dataType)
     for codes, (p, q) in one.items():
         pieces = F.when(F.col("code").isin(*codes), F.array(piece(p, q))).otherwise(pieces)
     joined, parted = F.array(piece(left, bottom), piece(top, right)), F.array(piece(left, top), piece(right, bottom))
     pieces = F.when(F.col("code") == 5, F.when(high, joined).otherwise(parted)).when(F.col("code") == 10, F.when(high, parted).otherwise(joined)).otherwise(pieces)
-    return c.select("scene_id", "r0", "c0", F.explode(pieces).alias("s")).select("scene_id", "r0", "c0", "s.p", "s.q")
+    return c.select(*keep, "r0", "c0", F.explode(pieces).alias("s")).select(*keep, "r0", "c0", "s.p", "s.q")
+
+
+def contour_segments(pixels: DataFrame, value: str, level: float, by: list[str] | None = None) -> DataFrame:
+    """by, r0, c0 (the cell) and both ends (row, col) of each line piece at the level; a cell with a missing corner gives none."""
+    by = by or ["scene_id"]
+    return cell_pieces(cells(pixels, value, by), F.lit(float(level)), by)
+
+
+def contour_points(pieces: DataFrame, by: list[str]) -> DataFrame:
+    """by, row, col: the distinct ends of line pieces, to 9 digits."""
+    ends = pieces.select(*by, F.explode(F.array("p", "q")).alias("e"))
+    return ends.select(*by, F.round("e.row", 9).alias("row"), F.round("e.col", 9).alias("col")).distinct()
 
 
 def link_contours(segments: DataFrame) -> DataFrame:
@@ -250,15 +274,12 @@ def link_contours(segments: DataFrame) -> DataFrame:
     return segments.select(F.col("scene_id").cast("long"), "p", "q").groupBy("scene_id").applyInPandas(one, "scene_id long, contour_id int, pt_idx int, row double, col double")
 
 
-def _objects(on: np.ndarray) -> np.ndarray:
-    """A number for each 4-connected object of a grid (where on), by least labels that spread and jump."""
+def _objects(on: np.ndarray, diagonal: bool = False) -> np.ndarray:
+    """A number for each connected object of a grid (where on), by least labels that spread and jump: the object's first pixel."""
     label = np.where(on, np.arange(on.size).reshape(on.shape), on.size)
     while True:
-        least = label.copy()
-        least[1:] = np.minimum(least[1:], label[:-1])
-        least[:-1] = np.minimum(least[:-1], label[1:])
-        least[:, 1:] = np.minimum(least[:, 1:], label[:, :-1])
-        least[:, :-1] = np.minimum(least[:, :-1], label[:, 1:])
+        wide = np.pad(label, 1, constant_values=on.size)
+        least = functools.reduce(np.minimum, (wide[1 + r : 1 + r + on.shape[0], 1 + c : 1 + c + on.shape[1]] for r in (-1, 0, 1) for c in (-1, 0, 1) if diagonal or not (r and c)))
         flat = np.append(np.where(on, least, on.size).ravel(), on.size)
         # a label's own pixel may know a lesser one: all its pixels follow
         np.minimum.at(flat, np.append(label.ravel(), on.size), flat.copy())
@@ -269,19 +290,81 @@ def _objects(on: np.ndarray) -> np.ndarray:
         label = new
 
 
-def drop_small_objects(pixels: DataFrame, flag: str, least: int) -> DataFrame:
-    """KEY and flag without 4-connected objects of fewer than `least` pixels (a scene a group, as a grid)."""
+def tile_objects(pixels: DataFrame, flag: str, diagonal: bool = False, tile: int = TILE) -> DataFrame:
+    """KEY, flag and part: the object of its tile that a set pixel belongs to (row * 2^32 + col of the object's first pixel there); NULL elsewhere.
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        row, col = pdf["row"].to_numpy() - pdf["row"].min(), pdf["col"].to_numpy() - pdf["col"].min()
-        on = np.zeros((row.max() + 1, col.max() + 1), bool)
-        on[row, col] = pdf[flag].fillna(False).to_numpy(bool)
-        label = _objects(on)
-        size = np.bincount(label[on], minlength=on.size + 1)
-        return pdf.assign(**{flag: on[row, col] & (size[label[row, col]] >= least)})
-
-    small = pixels.select(F.col("scene_id").cast("long"), F.col("row").cast("int"), F.col("col").cast("int"), flag)
-    return small.groupBy("scene_id").applyInPandas(one, f"scene_id long, row int, col int, {flag} boolean")
+    A group is a tile of `tile` rows and columns, however large the scene.
+    """
+    placed = pixels.select(*KEY, F.coalesce(F.col(flag), F.lit(False)).alias(flag)).withColumns({"_tr": F.floor(F.col("row") / tile), "_tc": F.floor(F.col("col") / tile)})
+    schema = placed.select(*KEY, flag, F.lit(None).cast("long").alias("part")).schema
+
+    def one(table: pa.Table) -> pa.Table:
+        row, col = table["row"].to_numpy().astype(np.int64), table["col"].to_numpy().astype(np.int64)
+        top, left = row.min(), col.min()
+        on = np.zeros((row.max() - top + 1, col.max() - left + 1), bool)
+        on[row - top, col - left] = table[flag].to_numpy(zero_copy_only=False)
+        first_row, first_col = np.divmod(_objects(on, diagonal)[row - top, col - left], on.shape[1])
+        part = pa.array((first_row + top) << 32 | (first_col + left), mask=~on[row - top, col - left])
+        return pa.table({**{k: table[k] for k in [*KEY, flag]}, "part": part})
+
+    return placed.groupBy("scene_id", "_tr", "_tc").applyInArrow(one, schema)
+
+
+def object_parts(parts: DataFrame, diagonal: bool = False, tile: int = TILE) -> DataFrame:
+    """scene_id, part, object, size: which object of the scene each tile's part belongs to (its least part), and the object's pixels.
+
+    Only pixels on the borders of tiles are joined, with their neighbours across.
+    """
+    p = parts.where("part IS NOT NULL")
+    sizes = p.groupBy("scene_id", "part").agg(F.count("*").alias("_n"))
+    ends = (0, tile - 1)
+    at_row, at_col = F.pmod(F.col("row"), F.lit(tile)).isin(*ends), F.pmod(F.col("col"), F.lit(tile)).isin(*ends)
+    border = p.where(at_row | at_col).select("scene_id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "part")
+    steps = [(-1, 0), (0, -1), *([(-1, -1), (-1, 1)] if diagonal else [])]
+    to = F.explode(F.array(*(F.struct((F.col("row") + r).alias("row"), (F.col("col") + c).alias("col")) for r, c in steps))).alias("_to")
+    asked = border.select("scene_id", F.col("part").alias("a"), to).select("scene_id", "a", "_to.*")
+    links = asked.join(border.withColumnRenamed("part", "b"), ["scene_id", "row", "col"]).where("a != b").select("scene_id", "a", "b").distinct()
+    roots = connected(links, ["scene_id"]).select("scene_id", F.col("node").alias("part"), "root")
+    named = sizes.join(roots, ["scene_id", "part"], "left").select("scene_id", "part", F.coalesce("root", "part").alias("object"), "_n")
+    whole = named.groupBy("scene_id", "object").agg(F.sum("_n").alias("size"))
+    return named.join(whole, ["scene_id", "object"]).select("scene_id", "part", "object", "size")
+
+
+def objects(pixels: DataFrame, flag: str, diagonal: bool = False, tile: int = TILE) -> DataFrame:
+    """KEY, object, size of each set pixel: 4-connected objects of a scene, or 8-connected ones.
+
+    Objects are found in tiles, and parts that meet over a border are united by
+    components of the borders' links, so a scene may be of any size.
+    """
+    parts = cut(tile_objects(pixels, flag, diagonal, tile))
+    return parts.where("part IS NOT NULL").join(object_parts(parts, diagonal, tile), ["scene_id", "part"]).select(*KEY, "object", "size")
+
+
+def drop_small_objects(pixels: DataFrame, flag: str, least: int, diagonal: bool = False, tile: int = TILE) -> DataFrame:
+    """KEY and flag without objects of fewer than `least` pixels; a missing flag isn't set."""
+    parts = cut(tile_objects(pixels, flag, diagonal, tile))
+    large = object_parts(parts, diagonal, tile).where(F.col("size") >= least).select("scene_id", "part", F.lit(True).alias("_large"))
+    return parts.join(large, ["scene_id", "part"], "left").select(*KEY, F.coalesce("_large", F.lit(False)).alias(flag))
+
+
+def _opened(grid: np.ndarray, radius: int, side: int, size: int) -> np.ndarray:
+    """Opening by a square of `size`; beyond the image counts as set, but no square is anchored there."""
+    before = size // 2
+    there, on = ~np.isnan(grid), np.isnan(grid) | (grid > 0)
+    padded = np.pad(on, size, constant_values=True)
+    n = len(grid)
+    fits = there & functools.reduce(np.logical_and, (padded[size - before + r : size - before + r + n, size - before + c : size - before + c + n] for r in range(size) for c in range(size)))
+    held = np.pad(fits, size)
+    found = functools.reduce(np.logical_or, (held[size + before - r : size + before - r + n, size + before - c : size + before - c + n] for r in range(size) for c in range(size)))
+    return found[radius : radius + side, radius : radius + side].astype(float)
+
+
+def open_square(pixels: DataFrame, flag: str, size: int) -> DataFrame:
+    """KEY and flag after opening by a square of `size` rows and columns, even ones too."""
+    return focal(pixels, size - 1, {flag: (flag, f"open{size}")}).withColumn(flag, F.col(flag) > 0)
+
+
+KERNELS |= {f"open{n}": functools.partial(_opened, size=n) for n in range(2, 12)}
 
 
 def pansharpen(pixels: DataFrame, bands: list[str], pan: str = "pan", most_cloud: float = 0.95) -> DataFrame:

@@ -17,12 +17,40 @@ SIX = [*FIVE, "swir2"]
 S2_SCALE = 10_000.0
 
 
-def masked(pixels: DataFrame, satname: str, bands: list[str], qa: str = "qa", probability: str | None = None, most: float = 40.0) -> DataFrame:
-    """pixels plus cloud and nodata: clouds by the quality band (and by a cloud probability over `most`), nodata counted as cloud; bands NULL at nodata."""
-    cloud = F.coalesce(raster.qa_cloud(F.col(qa).cast("long"), F.lit(satname)), F.lit(False))
+#: The smallest cloud by the quality band, in pixels, and the same with the opening of a doubtful band; squares of the openings.
+SMALLEST_CLOUD, SMALLEST_DOUBTFUL = 40, 100
+DOUBTFUL_SQUARE, PROBABLE_SQUARE = 8, 6
+
+
+def quality_clouds(pixels: DataFrame, satname: str, qa: str = "qa", doubtful: bool = False) -> DataFrame:
+    """scene_id, row, col, cloud by the quality band, without small objects, which are beach or surf.
+
+    doubtful: where the band takes sand for cloud, each of its values is opened by
+    a square and cleaned of larger objects by itself.
+    """
+    flagged = pixels.select(*raster.KEY, F.col(qa).cast("long").alias("_qa"), F.coalesce(raster.qa_cloud(F.col(qa).cast("long"), F.lit(satname)), F.lit(False)).alias("cloud"))
+    if not doubtful:
+        return raster.drop_small_objects(flagged, "cloud", SMALLEST_CLOUD)
+    # a value of a scene is a layer of its own, with all of the scene's pixels
+    values = flagged.where("cloud").select("scene_id", F.col("_qa").alias("_value")).distinct()
+    layer = F.struct("scene_id", "_value")
+    layers = flagged.join(values, "scene_id").select(layer.alias("scene_id"), "row", "col", (F.col("_qa") == F.col("_value")).alias("cloud"))
+    clean = raster.drop_small_objects(raster.open_square(layers, "cloud", DOUBTFUL_SQUARE), "cloud", SMALLEST_DOUBTFUL)
+    kept = clean.where("cloud").select(F.col("scene_id.scene_id").alias("scene_id"), "row", "col", F.lit(True).alias("_kept")).distinct()
+    return flagged.join(kept, raster.KEY, "left").select(*raster.KEY, F.coalesce("_kept", F.lit(False)).alias("cloud"))
+
+
+def masked(pixels: DataFrame, satname: str, bands: list[str], qa: str = "qa", probability: str | None = None, most: float = 40.0, doubtful: bool = False) -> DataFrame:
+    """pixels (scene_id, row, col, bands, qa) plus cloud and nodata; bands NULL at nodata.
+
+    Clouds are those of the quality band without small objects, and those of a
+    cloud probability over `most`, opened by a square; nodata counts as cloud.
+    """
+    cloud = quality_clouds(pixels, satname, qa, doubtful)
     if probability:
-        cloud = cloud | F.coalesce(F.col(probability) > most, F.lit(False))
-    out = pixels.withColumn("nodata", raster.nodata(bands)).withColumn("cloud", cloud | F.col("nodata"))
+        likely = pixels.select(*raster.KEY, F.coalesce(F.col(probability) > most, F.lit(False)).alias("_likely"))
+        cloud = cloud.join(raster.open_square(likely, "_likely", PROBABLE_SQUARE), raster.KEY).select(*raster.KEY, (F.col("cloud") | F.col("_likely")).alias("cloud"))
+    out = pixels.drop("cloud", "nodata").join(cloud, raster.KEY).withColumn("nodata", raster.nodata(bands)).withColumn("cloud", F.col("cloud") | F.col("nodata"))
     return out.withColumns({b: F.when(~F.col("nodata"), F.col(b)) for b in bands})
 
 

@@ -77,11 +77,12 @@ def test_preprocess(spark, tmp_path):
     bands = rng.integers(500, 4000, (12, 14, 6)).astype(np.uint16)
     bands[:, :, 5] = 0
     bands[0, :, :5] = 0  # nodata
-    bands[5, 3, 5] = 1024  # cloud
+    bands[4:11, 0:6, 5] = 1024  # cloud
+    bands[2, 12, 5] = 1024  # too small for one
     (tmp_path / "s.tif").write_bytes(tiff(bands))
     pixels, scenes = preprocess.load(spark, str(tmp_path), "S2")
     got = {(r.row, r.col): r for r in pixels.collect()}
-    assert got[5, 3].cloud and not got[5, 3].nodata and got[0, 4].nodata and got[0, 4].cloud and got[0, 4].g is None
+    assert not got[2, 12].cloud and got[5, 3].cloud and not got[5, 3].nodata and got[0, 4].nodata and got[0, 4].cloud and got[0, 4].g is None
     assert abs(got[7, 7].nir - bands[7, 7, 3] / 10_000) < 1e-12 and not got[7, 7].cloud
     line = spark.createDataFrame([(500_000.0, 3_999_945.0, 500_140.0, 3_999_945.0)], "x0 double, y0 double, x1 double, y1 double")
     near = {(r.row, r.col) for r in preprocess.buffered(pixels, scenes, line, 11.0).where("in_buffer").collect()}
