@@ -25,13 +25,14 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--from", dest="first", choices=names)
     run.add_argument("--slope", type=float, default=0.1)
     run.add_argument("--reference", type=float, default=0.0)
+    run.add_argument("--search-slopes", action="store_true", help="find each transect's slope instead of taking --slope")
     args = parser.parse_args(argv)
     if args.command == "stages":
         print("\n".join(names))
         return
     spark = SparkSession.builder.appName(f"strandline {args.site}").getOrCreate()
     frames = {t: spark.read.parquet(f"{args.tables}/{t}.parquet") for t in TABLES}
-    site.run(spark, frames, Settings(sitename=args.site, output_epsg=args.epsg, beach_slope=args.slope, reference_elevation=args.reference), args.output, args.first)
+    site.run(spark, frames, Settings(sitename=args.site, output_epsg=args.epsg, beach_slope=args.slope, reference_elevation=args.reference, extra={"slope_search": args.search_slopes}), args.output, args.first)
 
 
 if __name__ == "__main__":

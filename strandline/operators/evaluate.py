@@ -113,11 +113,11 @@ def level_position(profiles: DataFrame, level: float = 0.7) -> DataFrame:
 
 
 def trend_records(corrected: DataFrame, trends: DataFrame, slopes: DataFrame, transects: DataFrame) -> DataFrame:
-    """One record a transect: trend, its error, slope, images used and total, share the tide filter removed, geometry."""
+    """One record a transect: trend, its error, slope (and its interval where given), images used and total, share the tide filter removed, geometry."""
     n = corrected.groupBy("transect_id").agg(F.count("corrected").alias("images_used"), F.count("*").alias("total_images"), F.count(F.when(F.col("chainage").isNotNull() & ~F.coalesce("in_range", F.lit(False)), 1)).alias("removed"), F.count("chainage").alias("_had"))
     geometry = F.concat_ws("", F.lit("LINESTRING ("), F.concat_ws(", ", F.concat_ws(" ", "x0", "y0"), F.concat_ws(" ", "x1", "y1")), F.lit(")"))
     out = transects.select("transect_id", geometry.alias("geometry_wkt")).join(n, "transect_id", "left")
-    out = out.join(trends.select("transect_id", "trend", "unexplained_var", "trend_std"), "transect_id", "left").join(slopes.select("transect_id", "slope"), "transect_id", "left")
+    out = out.join(trends.select("transect_id", "trend", "unexplained_var", "trend_std"), "transect_id", "left").join(slopes.select("transect_id", "slope", *(c for c in ("ci_lo", "ci_hi") if c in slopes.columns)), "transect_id", "left")
     return out.withColumn("tide_filter_removed_pct", F.try_divide(100.0 * F.col("removed"), F.col("_had"))).drop("removed", "_had")
 
 

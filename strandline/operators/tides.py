@@ -56,17 +56,23 @@ def correct(chainage: Column, tide: Column, slope: Column, reference: float = 0.
     return chainage + (tide - reference) / or_default(slope, default_slope)
 
 
-def correct_series(series: DataFrame, tides: DataFrame, slope: float = 0.1, reference: float = 0.0, low: float = 5, high: float = 95, centre: bool = True) -> DataFrame:
+def correct_series(series: DataFrame, tides: DataFrame, slope: float = 0.1, reference: float = 0.0, low: float = 5, high: float = 95, centre: bool = True, slopes: DataFrame | None = None) -> DataFrame:
     """Tide correction from a tide table: match, filter on raw levels, centre on the table's mean, correct.
 
+    slopes: transect_id, slope; transects without one take `slope`.
+
     Adds tide, in_range and corrected (NULL outside the percentiles).
     """
     matched = next_value(series, tides, ["site"], "tide")
     ranged = within_bounds(matched, tides, low, high)
     mean = tides.groupBy("site").agg((F.avg("tide") if centre else F.lit(0.0)).alias("_mean"))
     out = ranged.join(mean, "site", "left")
-    corrected = correct(F.col("chainage"), F.col("tide") - F.col("_mean"), F.lit(slope), reference)
-    return out.withColumn("corrected", F.when(F.col("in_range"), corrected)).drop("_mean")
+    own = F.lit(slope)
+    if slopes is not None:
+        out = out.join(slopes.select("transect_id", F.col("slope").alias("_slope")), "transect_id", "left")
+        own = F.coalesce("_slope", F.lit(slope))
+    corrected = correct(F.col("chainage"), F.col("tide") - F.col("_mean"), own, reference)
+    return out.withColumn("corrected", F.when(F.col("in_range"), corrected)).drop("_mean", "_slope")
 
 
 def filter_statistics(corrected: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, joins, scenes, selection, series, tides
+from ..operators import evaluate, joins, scenes, selection, series, slopes, tides
+from ..operators.lineage import cut
 from ..sources.tables import Settings
 
 Frames = dict[str, DataFrame]
@@ -37,12 +38,53 @@ def intersect(f: Frames, s: Settings) -> Frames:
     return {"positions": pos, "rejections": series.rejection_counts(pos)}
 
 
+def searches_slopes(s: Settings) -> bool:
+    """Slopes are searched with model tides, or where the settings ask for it; a tide table alone goes with the site's slope."""
+    return bool(s.extra.get("slope_search", s.tide_mode == "fes"))
+
+
+def estimate_slopes(f: Frames, s: Settings) -> Frames:
+    """A beach slope for each transect, with its interval, and the site's tidal band.
+
+    Observations of the settled period and within the tide filter, without noisy
+    missions, are used (with the fallbacks of slope_rows). The band lies around the
+    highest peak in the spectrum of the tides at the images' dates; the slope is
+    the one whose correction leaves least energy there. Where the search isn't
+    asked for, or finds nothing for a transect, the site's slope stands.
+    """
+    spark, given = f["transects"].sparkSession, f["transects"].select("transect_id")
+    site = F.lit(s.sitename).alias("site")
+    constant = given.select("transect_id", F.lit(s.beach_slope).alias("slope"), *(F.lit(None).cast("double").alias(c) for c in ("ci_lo", "ci_hi")), F.lit(True).alias("is_default"))
+    no_band = spark.createDataFrame([], "site string, f double, low double, high double")
+    if not searches_slopes(s):
+        return {"slopes": constant, "tidal_band": no_band}
+    table = f["tides"].drop("site").select("*", site)
+    matched = tides.within_bounds(tides.next_value(f["positions"].select("*", site), table, ["site"], "tide"), table, s.lower_percentile, s.upper_percentile)
+    period = s.extra.get("slope_period", ("2020-01-01", "2025-01-01"))
+    used = cut(scenes.slope_rows(matched, *period, tuple(s.extra.get("slope_without", ("S2",)))))
+    dated = used.where("tide IS NOT NULL").groupBy("site", "scene_id").agg(F.first("ts").alias("ts"), F.first("tide").alias("tide"))
+    days = dated.agg((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 86_400_000_000).first()[0]
+    grid = slopes.frequency_grid(days, s.extra.get("slope_least_days", 8)) if days else []
+    if not grid:
+        return {"slopes": constant, "tidal_band": no_band}
+    step = grid[1] - grid[0] if len(grid) > 1 else 0.0
+    frequencies = spark.range(len(grid)).select((F.lit(grid[0]) + F.col("id") * step).alias("f"))
+    power = slopes.spectrum(dated, ["site"], "tide", frequencies)
+    band = slopes.tidal_peak(power, ["site"], margin=max(1e-8, 1.5 * step))
+    wide = frequencies.join(F.broadcast(band.select("low", "high")), (F.col("f") >= F.col("low")) & (F.col("f") <= F.col("high")))  # a row a site
+    weighed = wide.select("f", F.lit(step).alias("weight"))
+    low, high, by = s.extra.get("slope_grid", (0.01, 0.2, 0.005))
+    found = slopes.best_slope(slopes.band_energy(used, weighed, slopes.slope_grid(low, high, by)), default=s.beach_slope)
+    both = given.join(found, "transect_id", "left")
+    kept = both.select("transect_id", F.coalesce("slope", F.lit(s.beach_slope)).alias("slope"), "ci_lo", "ci_hi", F.coalesce("is_default", F.lit(True)).alias("is_default"))
+    return {"slopes": kept, "tidal_band": band}
+
+
 def correct(f: Frames, s: Settings) -> Frames:
-    """Tide-corrected positions and the slopes used."""
+    """Positions corrected for the tide by each transect's slope."""
     site = f["positions"].withColumn("site", F.lit(s.sitename))
     table = f["tides"].withColumn("site", F.lit(s.sitename))
-    fixed = tides.correct_series(site, table, s.beach_slope, s.reference_elevation, s.lower_percentile, s.upper_percentile)
-    return {"corrected": fixed, "slopes": f["transects"].select("transect_id", F.lit(s.beach_slope).alias("slope"))}
+    return {"corrected": tides.correct_series(site, table, s.beach_slope, s.reference_elevation, s.lower_percentile, s.upper_percentile, slopes=f["slopes"])}
 
 
 def summarise(f: Frames, s: Settings) -> Frames:
@@ -54,7 +96,7 @@ def summarise(f: Frames, s: Settings) -> Frames:
     return {"series": good, "seasonal": series.seasonal_average(good), "monthly": series.monthly_average(good), "trends": records}
 
 
-STAGES: list[tuple[str, Callable[[Frames, Settings], Frames]]] = [("clean", clean), ("intersect", intersect), ("correct", correct), ("summarise", summarise)]
+STAGES: list[tuple[str, Callable[[Frames, Settings], Frames]]] = [("clean", clean), ("intersect", intersect), ("slopes", estimate_slopes), ("correct", correct), ("summarise", summarise)]
 
 
 def run(spark: SparkSession, frames: Frames, settings: Settings, folder: str, first: str | None = None, stages=STAGES) -> Frames:

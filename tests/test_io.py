@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,36 @@ def test_site_pipeline_finds_the_trend(spark, tmp_path):
     assert abs(again["trends"].first().trend - r.trend) < 1e-9
     with pytest.raises(ValueError):
         site.run(spark, frames, settings, str(tmp_path / "run"), first="nowhere")
+
+
+def test_site_pipeline_finds_two_slopes(spark, tmp_path):
+    """Positions that the tide moves by 1 / slope: the search finds both slopes, and the corrected series don't follow the tide."""
+    start, rng = dt.datetime(2021, 1, 1), np.random.default_rng(8)
+    tide = lambda hours: 0.9 * np.cos(2 * np.pi * hours / 12.4206) + 0.3 * np.cos(2 * np.pi * hours / 12 + 1)
+    tide_rows = [("x", start + dt.timedelta(hours=h / 2), float(tide(h / 2))) for h in range(2 * 24 * 1370)]
+    true, scenes, points = {1: 0.05, 2: 0.12}, [], []
+    for k in range(170):
+        hours = k * 8 * 24 + 10.0 + 0.5 * int(rng.integers(0, 2))
+        ts = start + dt.timedelta(hours=hours)
+        scenes.append((k, "L8", ts - dt.timedelta(minutes=1), 0.0, "PASSED", None, -0.2, 5, 900.0))
+        for t, slope in true.items():
+            x = 150 - float(tide(hours)) / slope + float(rng.normal(0, 1))
+            points += [(k, x + d / 10, 1000.0 * t + d) for d in (-2, -1, 0, 1, 2)]
+    transects = [(t, 0.0, 1000.0 * t, 400.0, 1000.0 * t) for t in true]
+    frames = {
+        "scenes": spark.createDataFrame(scenes, "scene_id long, satname string, ts timestamp_ntz, cloud_cover double, acc_georef_flag string, acc_georef_m double, threshold double, n_points int, sl_length double"),
+        "points": spark.createDataFrame(points, "scene_id long, x double, y double").withColumns({"nx": F.lit(1.0), "ny": F.lit(0.0)}),
+        "transects": spark.createDataFrame(transects, "transect_id long, x0 double, y0 double, x1 double, y1 double"),
+        "tides": spark.createDataFrame(tide_rows, "site string, ts timestamp_ntz, tide double"),
+    }
+    settings = tables.Settings(sitename="x", output_epsg=32610, extra={"slope_search": True})
+    out = site.run(spark, frames, settings, str(tmp_path / "run"))
+    found = {r.transect_id: r for r in out["slopes"].collect()}
+    for t, slope in true.items():
+        assert abs(found[t].slope - slope) <= 0.1 * slope + 0.005 and found[t].ci_lo <= found[t].slope <= found[t].ci_hi and not found[t].is_default
+    spread = {r.transect_id: r.s for r in out["corrected"].groupBy("transect_id").agg(F.stddev("corrected").alias("s")).collect()}
+    assert all(s < 3 for s in spread.values())
+    assert {r.transect_id: (r.ci_lo, r.ci_hi) for r in out["trends"].collect()} == {t: (r.ci_lo, r.ci_hi) for t, r in found.items()}
+    table = tables.Settings(sitename="x", output_epsg=32610, tide_csv_path="t.csv", beach_slope=0.07)
+    plain = site.estimate_slopes(frames, table)["slopes"].collect()
+    assert {(r.transect_id, r.slope, r.is_default) for r in plain} == {(1, 0.07, True), (2, 0.07, True)}

@@ -119,6 +119,6 @@ def test_point_and_clipped_features(spark, tmp_path):
 
 def test_command_line(capsys):
     cli.main(["stages"])
-    assert capsys.readouterr().out.split() == ["clean", "intersect", "correct", "summarise"]
+    assert capsys.readouterr().out.split() == ["clean", "intersect", "slopes", "correct", "summarise"]
     with pytest.raises(SystemExit):
         cli.main(["run"])
