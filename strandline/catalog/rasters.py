@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import ml, raster
@@ -90,8 +91,28 @@ SELECT scene_id, count(*) AS n, round(sum(l), 5) AS length FROM s GROUP BY 1"""
 
 
 def linked_contours(spark, d):
-    lines = raster.link_contours(raster.contour_segments(tiles(spark, d), "value", 0.02))
-    return lines.groupBy("scene_id").agg(F.countDistinct("contour_id").alias("lines"), F.count("*").alias("points"))
+    # tiles of 3 cells: lines go over borders
+    lines = raster.link_contours(raster.contour_segments(tiles(spark, d), "value", 0.02), tile=3)
+    w = Window.partitionBy("scene_id", "contour_id").orderBy("pt_idx")
+    step = F.sqrt(F.pow(F.col("row") - F.lag("row").over(w), 2) + F.pow(F.col("col") - F.lag("col").over(w), 2))
+    one = lines.withColumn("step", step).groupBy("scene_id", "contour_id").agg(F.count("*").alias("points"), F.sum("step").alias("length"), F.min("row").alias("top"))
+    return rounded(one.drop("contour_id"), "length", "top", digits=4)
+
+
+_ENDS = {"l": ("r + ly", "k::DOUBLE"), "t": ("r::DOUBLE", "k + tx"), "r": ("r + ry", "(k + 1)::DOUBLE"), "b": ("(r + 1)::DOUBLE", "k + bx")}
+_PAIRS = [("l", "t", "code IN (1, 14) OR (code = 5 AND NOT hi) OR (code = 10 AND hi)"), ("t", "r", "code IN (2, 13) OR (code = 5 AND hi) OR (code = 10 AND NOT hi)")]
+_PAIRS += [("r", "b", "code IN (4, 11) OR (code = 5 AND NOT hi) OR (code = 10 AND hi)"), ("b", "l", "code IN (8, 7) OR (code = 5 AND hi) OR (code = 10 AND NOT hi)")]
+_PAIRS += [("l", "r", "code IN (3, 12)"), ("t", "b", "code IN (6, 9)")]
+_PIECES = " UNION ALL ".join(f"SELECT scene_id, round({_ENDS[a][0]}, 9) AS y0, round({_ENDS[a][1]}, 9) AS x0, round({_ENDS[b][0]}, 9) AS y1, round({_ENDS[b][1]}, 9) AS x1 FROM p WHERE {w}" for a, b, w in _PAIRS)
+# pieces that share a point are of one line; a line has a point more than pieces
+LINKED = SEGMENTS[: SEGMENTS.index("\ns AS (")].replace("WITH t", "WITH RECURSIVE t", 1) + f"""
+g AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY y0, x0, y1, x1) AS id FROM ({_PIECES})),
+e AS MATERIALIZED (SELECT scene_id, id, y0 AS y, x0 AS x FROM g UNION ALL SELECT scene_id, id, y1, x1 FROM g),
+n AS MATERIALIZED (SELECT DISTINCT a.scene_id, a.id AS u, b.id AS v FROM e a JOIN e b USING (scene_id, y, x) WHERE a.id <> b.id),
+reach AS (SELECT scene_id, id, id AS v FROM g UNION SELECT w.scene_id, w.id, n.v FROM reach w JOIN n ON n.scene_id = w.scene_id AND n.u = w.v),
+m AS (SELECT scene_id, id, min(v) AS line FROM reach GROUP BY 1, 2)
+SELECT scene_id, count(*) + 1 AS points, round(sum(sqrt((y0 - y1) ** 2 + (x0 - x1) ** 2)), 4) AS length, round(min(least(y0, y1)), 4) + 0.0::DOUBLE AS top
+FROM g JOIN m USING (scene_id, id) GROUP BY scene_id, line"""
 
 
 def resample(spark, d):
@@ -232,6 +253,7 @@ QUERIES = {
     "l1_m3_classified": classified, "m1_features20": features20, "m10_clusters": clusters, "m6_noise_clusters": noise_clusters,
 }
 SQL = {
+    "r16_linked_contours": LINKED,
     "r3_small_objects": SMALL, "r3_diagonal_objects": DIAGONAL, "r4_open_square": OPEN_SQUARE,
     "m1_features20": FEATURES,
     "r13_local_std": STD, "r27_median_smooth": MEDIAN, "r12_opening": OPENING, "r16_contour_segments": SEGMENTS, "r15_resample": RESAMPLE, "r25_degrade": DEGRADE, "r6_edge_padding": PADDING,

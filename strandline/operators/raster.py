@@ -245,33 +245,100 @@ def contour_points(pieces: DataFrame, by: list[str]) -> DataFrame:
     return ends.select(*by, F.round("e.row", 9).alias("row"), F.round("e.col", 9).alias("col")).distinct()
 
 
-def link_contours(segments: DataFrame) -> DataFrame:
-    """scene_id, contour_id, pt_idx, row, col: line pieces of a scene joined end to end (a scene a group)."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        ends: dict[tuple, list[int]] = {}
-        pts = [((round(p["row"], 9), round(p["col"], 9)), (round(q["row"], 9), round(q["col"], 9))) for p, q in zip(pdf["p"], pdf["q"], strict=True)]
-        pts = sorted({tuple(sorted(s)) for s in pts if s[0] != s[1]})
-        for i, s in enumerate(pts):
-            for e in s:
-                ends.setdefault(e, []).append(i)
-        used, rows, line = set(), [], 0
-        starts = [e for e in sorted(ends) if len(ends[e]) == 1] + sorted(ends)
-        for start in starts:
-            chain, here = [start], start
-            while nxt := [i for i in ends[here] if i not in used]:
-                used.add(nxt[0])
-                a, b = pts[nxt[0]]
+def _chains(segments: list[tuple]) -> list[list[tuple]]:
+    """Points of the lines that segments (pairs of points) make, cut where other than two meet; loops repeat their first point."""
+    ends: dict[tuple, list[int]] = {}
+    for i, s in enumerate(segments):
+        for e in s:
+            ends.setdefault(e, []).append(i)
+    used, out = set(), []
+    for start in [e for e in sorted(ends) if len(ends[e]) != 2] + sorted(ends):
+        for first in ends[start]:
+            chain, here, segment = [start], start, first
+            while segment not in used:
+                used.add(segment)
+                a, b = segments[segment]
                 here = b if a == here else a
                 chain.append(here)
+                if len(ends[here]) != 2 or here == start:
+                    break
+                segment = next((i for i in ends[here] if i not in used), segment)
             if len(chain) > 1:
-                rows += [(line, k, *p) for k, p in enumerate(chain)]
-                line += 1
-        out = pd.DataFrame(rows, columns=["contour_id", "pt_idx", "row", "col"])
-        out.insert(0, "scene_id", pdf["scene_id"].iloc[0])
-        return out.astype({"scene_id": "int64", "contour_id": "int32", "pt_idx": "int32", "row": "float64", "col": "float64"})
+                out.append(chain)
+    return out
+
+
+def contour_chains(segments: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
+    """by, chain, idx, row, col: the lines inside each tile of cells (a group each); points to 9 digits."""
+    s = segments.select(*by, F.floor(F.col("r0") / tile).alias("_tr"), F.floor(F.col("c0") / tile).alias("_tc"), *(F.round(F.col(c), 9).alias(f"_{c[0]}{c[2]}") for c in ("p.row", "p.col", "q.row", "q.col")))
+    schema = s.select(*by, F.lit(0).cast("long").alias("chain"), F.lit(0).alias("idx"), F.col("_pr").alias("row"), F.col("_pc").alias("col")).schema
+
+    def one(table: pa.Table) -> pa.Table:
+        ends = [table[c].to_pylist() for c in ("_pr", "_pc", "_qr", "_qc")]
+        pieces = sorted({tuple(sorted(((a, b), (c, d)))) for a, b, c, d in zip(*ends, strict=True) if (a, b) != (c, d)})
+        base = (table["_tr"][0].as_py() % (1 << 20) << 20 | table["_tc"][0].as_py() % (1 << 20)) << 20
+        rows = [(base + k, i, *p) for k, chain in enumerate(_chains(pieces)) for i, p in enumerate(chain)]
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64())
+        own = {b: pa.array([table[b][0].as_py()] * len(rows), table.schema.field(b).type) for b in by}
+        return pa.table(own | {n: pa.array(c, k) for n, c, k in zip(("chain", "idx", "row", "col"), columns, kinds, strict=True)})
 
-    return segments.select(F.col("scene_id").cast("long"), "p", "q").groupBy("scene_id").applyInPandas(one, "scene_id long, contour_id int, pt_idx int, row double, col double")
+    return s.groupBy(*by, "_tr", "_tc").applyInArrow(one, schema)
+
+
+def _ranked(preds: DataFrame, by: list[str], rounds: int = 40) -> DataFrame:
+    """by, node, head, off of lists: preds gives each node's predecessor (itself for the first) and its length; by pointer doubling.
+
+    After k rounds a node knows the lengths of 2^k predecessors, so rounds go with
+    the logarithm of the longest list.
+    """
+    now = cut(preds)
+    for _ in range(rounds):
+        after = now.select(*by, F.col("node").alias("head"), F.col("head").alias("_head"), F.col("off").alias("_off"))
+        new = cut(now.join(after, [*by, "head"]).select(*by, "node", F.col("head").alias("_was"), F.col("_head").alias("head"), (F.col("off") + F.col("_off")).alias("off")))
+        now = new.drop("_was")
+        if new.where("_was != head").isEmpty():
+            return now
+    raise RuntimeError(f"lists did not settle in {rounds} rounds")
+
+
+def link_contours(segments: DataFrame, by: list[str] | None = None, tile: int = TILE) -> DataFrame:
+    """by, contour_id, pt_idx, row, col: line pieces of a scene joined end to end; closed lines repeat their first point.
+
+    Lines are built in tiles, and tiles' lines with a common end are put in order by
+    list ranking: each line, read in either direction, points to the one before it,
+    and pointers are doubled until all know the first one and the points up to them.
+    Rings are cut at their least line. A line ends where other than two pieces meet.
+    No group is larger than a tile, whatever the scene. Of its two directions a
+    contour takes that from the lesser end.
+    """
+    by = by or ["scene_id"]
+    chains = cut(contour_chains(segments, by, tile))
+    end = lambda agg: agg(F.struct("row", "col"), "idx")
+    lines = cut(chains.groupBy(*by, "chain").agg(F.max("idx").cast("long").alias("segs"), end(F.min_by).alias("e0"), end(F.max_by).alias("e1")))
+    ends = lines.where("e0 != e1").select(*by, F.posexplode(F.array(*(F.struct("chain", F.col(e).alias("at")) for e in ("e0", "e1")))).alias("end", "x"))
+    met = ends.groupBy(*by, "x.at").agg(F.count("*").alias("n"), F.min(F.struct("x.chain", "end")).alias("u"), F.max(F.struct("x.chain", "end")).alias("v"))
+    pairs = cut(met.where("n = 2 AND u.chain != v.chain").select(*by, F.col("u.chain").alias("a"), F.col("u.end").alias("x"), F.col("v.chain").alias("b"), F.col("v.end").alias("y")))
+    roots = cut(connected(pairs, by).withColumnRenamed("node", "chain"))
+    # a component with as many links as lines is a ring
+    links = pairs.join(roots.withColumnRenamed("chain", "a"), [*by, "a"])
+    rings = links.groupBy(*by, "root").agg(F.count("*").alias("_l")).join(roots.groupBy(*by, "root").agg(F.count("*").alias("_n")), [*by, "root"]).where("_l = _n").select(*by, "root", F.lit(True).alias("ring"))
+    opened = links.join(rings, [*by, "root"], "left").where("NOT coalesce(ring, false) OR NOT ((a = root AND x = 0) OR (b = root AND y = 0))")
+    # node 2 * chain + d: the line read from its end d; before it comes a line read towards its joined end
+    to = lambda c, e, d, f: F.struct((2 * F.col(c) + F.col(e)).alias("node"), (2 * F.col(d) + 1 - F.col(f)).alias("head"), F.col(d).alias("_chain"))
+    preds = opened.select(*by, F.explode(F.array(to("a", "x", "b", "y"), to("b", "y", "a", "x"))).alias("p")).select(*by, "p.*")
+    preds = preds.join(lines.select(*by, F.col("chain").alias("_chain"), F.col("segs").alias("off")), [*by, "_chain"]).drop("_chain")
+    nodes = lines.select(*by, "chain", "segs", F.posexplode(F.array("e0", "e1")).alias("d", "at")).withColumn("node", 2 * F.col("chain") + F.col("d"))
+    placed = nodes.join(preds, [*by, "node"], "left").withColumns({"head": F.coalesce("head", "node"), "off": F.coalesce("off", F.lit(0).cast("long"))})
+    ranked = _ranked(placed.select(*by, "node", "head", "off"), by)
+    whole = nodes.join(ranked, [*by, "node"]).join(roots, [*by, "chain"], "left").withColumn("root", F.coalesce("root", "chain"))
+    first = whole.where("node = head").groupBy(*by, "root").agg(F.min(F.struct("at", "node")).alias("_s")).select(*by, F.col("_s.node").alias("head"), F.col("_s.at").alias("_at"))
+    # a row a contour
+    w = W.partitionBy(*by).orderBy("_at", "head")
+    first = first.withColumn("contour_id", (F.row_number().over(w) - 1).cast("int")).drop("_at")
+    kept = whole.join(first, [*by, "head"]).select(*by, "chain", "segs", "d", "off", "contour_id")
+    out = chains.join(kept, [*by, "chain"]).withColumn("_pos", F.when(F.col("d") == 0, F.col("idx")).otherwise(F.col("segs") - F.col("idx")))
+    return out.where("_pos > 0 OR off = 0").select(*by, "contour_id", (F.col("off") + F.col("_pos")).cast("int").alias("pt_idx"), "row", "col")
 
 
 def _objects(on: np.ndarray, diagonal: bool = False) -> np.ndarray:

@@ -146,3 +146,35 @@ def test_zones_and_sweep_of_two_shores(spark):
     best = zones.optimal_threshold(px.where("row < 20"), line.where("idx < 20"), 50).first()
     assert abs(best.level - 0.3) < 0.01 and best.error < 0.5
     assert zones.optimal_threshold(px.where("false"), line, 50).count() == 0
+
+
+def test_lines_over_borders(spark):
+    """A hill's ring, a spiral and straight lines: each is one line in order, whatever the tiles."""
+    r, c = np.mgrid[0:31, 0:31].astype(float)
+    ring = np.hypot(r - 15.2, c - 14.7)
+    angle, radius = np.arctan2(r - 15, c - 15), np.hypot(r - 15, c - 15)
+    spiral = np.sin(radius * 1.1 - angle)
+    bands = c - 0.1 * r + 0.05
+    for tile in (4, 128):
+        for k, (grid, level) in enumerate(((ring, 9.3), (spiral, 0.05), (bands, 11.0))):
+            pieces = raster.contour_segments(frame(spark, grid, name="v"), "v", level)
+            made = {tuple(sorted(((round(s.p.row, 9), round(s.p.col, 9)), (round(s.q.row, 9), round(s.q.col, 9))))) for s in pieces.collect()}
+            lines = {}
+            for x in sorted(raster.link_contours(pieces, tile=tile).collect(), key=lambda x: (x.contour_id, x.pt_idx)):
+                lines.setdefault(x.contour_id, []).append(x)
+            walked = []
+            for line in lines.values():
+                assert [x.pt_idx for x in line] == list(range(len(line)))
+                points = [(x.row, x.col) for x in line]
+                walked += [tuple(sorted(p)) for p in zip(points, points[1:], strict=False)]
+            assert len(walked) == len(made) and set(walked) == made
+            heads = [((line[0].row, line[0].col), (line[-1].row, line[-1].col)) for line in lines.values()]
+            closed = [a == b for a, b in heads]
+            assert all(a <= b for a, b in heads)
+            free = [p for h, shut in zip(heads, closed, strict=True) if not shut for p in h]
+            assert len(free) == len(set(free))  # no two lines could be joined
+            if k == 0:
+                assert closed == [True]
+            if k == 2:
+                assert closed == [False] and len(made) > 30
+    assert raster.link_contours(pieces.where("false")).count() == 0
