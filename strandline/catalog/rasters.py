@@ -126,6 +126,27 @@ FROM g JOIN t a ON a.scene_id = s AND a.row = floor(y) AND a.col = floor(x) JOIN
 JOIN t c ON c.scene_id = s AND c.row = floor(y) + 1 AND c.col = floor(x) JOIN t e ON e.scene_id = s AND e.row = floor(y) + 1 AND e.col = floor(x) + 1 GROUP BY 1"""
 
 
+_FROM = {"xtr": 100.0, "xscale": 1.0, "xshear": 0.0, "ytr": 50.0, "yshear": 0.0, "yscale": -1.0}
+_TO = {"xtr": 99.8, "xscale": 0.75, "xshear": 0.1, "ytr": 50.2, "yshear": 0.05, "yscale": -0.8}
+
+
+def warp(spark, d):
+    t = tiles(spark, d).withColumn("value", F.when(F.col("value") > -0.2, F.col("value")))
+    scenes = t.select("scene_id").distinct()
+    source = scenes.withColumns({k: F.lit(v) for k, v in _FROM.items()})
+    target = scenes.withColumns({k: F.lit(v) for k, v in _TO.items()} | {"height": F.lit(9), "width": F.lit(10)})
+    return rounded(raster.warp(t, "value", source, target), "value")
+
+
+# target centres in source pixels; the source has no shear
+_SX = f"({_TO['xtr']}::DOUBLE + {_TO['xscale']}::DOUBLE * (k + 0.5) + {_TO['xshear']}::DOUBLE * (r + 0.5) - {_FROM['xtr']}) / {_FROM['xscale']} - 0.5"
+_SY = f"({_TO['ytr']}::DOUBLE + {_TO['yshear']}::DOUBLE * (k + 0.5) + {_TO['yscale']}::DOUBLE * (r + 0.5) - {_FROM['ytr']}) / {_FROM['yscale']} - 0.5"
+WARP = f"""WITH t AS (SELECT * FROM {TILES} WHERE value > -0.2::DOUBLE),
+g AS (SELECT s, r, k, {_SY} AS y, {_SX} AS x FROM (SELECT DISTINCT vec_id AS s FROM embeddings), range(9) a(r), range(10) b(k)),
+m AS (SELECT s, r, k, (1 - abs(y - row)) * (1 - abs(x - col)) AS w, value, row = floor(y + 0.5) AND col = floor(x + 0.5) AS near FROM g JOIN t ON scene_id = s AND row IN (floor(y), floor(y) + 1) AND col IN (floor(x), floor(x) + 1))
+SELECT s AS scene_id, r::INTEGER AS row, k::INTEGER AS col, round(sum(w * value) / sum(w), 6) + 0.0::DOUBLE AS value FROM m GROUP BY 1, 2, 3 HAVING bool_or(near)"""
+
+
 def degrade(spark, d):
     return rounded(raster.degrade(tiles(spark, d), "value", 10, 20), "value")
 
@@ -248,11 +269,12 @@ def noise_clusters(spark, d):
 
 QUERIES = {
     "r13_local_std": local_std, "r27_median_smooth": median_smooth, "r12_opening": opening, "r3_small_objects": small_objects, "r3_diagonal_objects": diagonal_objects, "r4_open_square": open_square, "r16_contour_segments": contour_segments, "r16_linked_contours": linked_contours,
-    "r15_resample": resample, "r25_degrade": degrade, "r6_edge_padding": edge_padding, "r10_stretch": stretch, "r3_f10_cloud_cover": qa_cover, "s38_r23_mosaic": mosaic, "r8_pansharpen": pansharpen,
+    "r15_resample": resample, "r15_warp": warp, "r25_degrade": degrade, "r6_edge_padding": edge_padding, "r10_stretch": stretch, "r3_f10_cloud_cover": qa_cover, "s38_r23_mosaic": mosaic, "r8_pansharpen": pansharpen,
     "s4_kml_round_trip": kml_round_trip, "s5_page_titles": page_titles, "s26_wide_series": wide_series, "s35_manifest_upsert": manifest_upsert, "s30_transect_features": transect_features, "u6_even_sample": even_sample,
     "l1_m3_classified": classified, "m1_features20": features20, "m10_clusters": clusters, "m6_noise_clusters": noise_clusters,
 }
 SQL = {
+    "r15_warp": WARP,
     "r16_linked_contours": LINKED,
     "r3_small_objects": SMALL, "r3_diagonal_objects": DIAGONAL, "r4_open_square": OPEN_SQUARE,
     "m1_features20": FEATURES,

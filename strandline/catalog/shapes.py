@@ -240,6 +240,33 @@ SELECT scene_id, round(signal, 6) AS signal, round(sqrt(greatest(regr_intercept(
 FROM g JOIN m USING (scene_id) GROUP BY scene_id, signal"""
 
 
+def gaussian_noise(spark, d):
+    """All tiles of a label as one image each: a label's tiles lie below one another."""
+    t = tiles(spark, d).withColumns({"row": F.col("scene_id") * 8 + F.col("row"), "scene_id": F.col("scene_id") % 7})
+    fitted = research.gaussian_model(research.semivariogram(t, "value", 7), 20)
+    return rounded(fitted.withColumn("noise", F.sqrt("nugget")).drop("misfit"), "reach", "sill", "nugget", "noise", digits=4)
+
+
+def _fit_sql(source: str, grid: str) -> str:
+    return f"""(SELECT scene_id, arg_min(r, (round(misfit, 12), r)) AS r, arg_min(sill, (round(misfit, 12), r)) AS sill, arg_min(nugget, (round(misfit, 12), r)) AS nugget, any_value(step) AS step FROM (
+  SELECT *, sgg - 2 * sill * seg - 2 * nugget * sg + sill * sill * see + 2 * sill * nugget * se + n * nugget * nugget AS misfit FROM (
+    SELECT *, CASE WHEN c IS NULL OR c < 0 THEN 0 WHEN b < 0 THEN greatest(seg / see, 0) ELSE c END AS sill, CASE WHEN c IS NULL OR c < 0 THEN sg / n WHEN b < 0 THEN 0 ELSE b END AS nugget FROM (
+      SELECT *, (sg - c * se) / n AS b FROM (
+        SELECT *, (n * seg - se * sg) / nullif(n * see - se * se, 0) AS c FROM (
+          SELECT scene_id, r, step, count(*) AS n, sum(e) AS se, sum(gamma) AS sg, sum(e * e) AS see, sum(e * gamma) AS seg, sum(gamma * gamma) AS sgg
+          FROM (SELECT scene_id, r, step, gamma, 1 - exp(-((2 * lag / r) ** 2)) AS e FROM {source} JOIN {grid} USING (scene_id)) GROUP BY 1, 2, 3))))) GROUP BY 1)"""
+
+
+_STACKED = f"(SELECT scene_id % 7 AS scene_id, scene_id * 8 + row AS row, col, value FROM {TILES})"
+GAUSSIAN = f"""WITH t AS MATERIALIZED {_STACKED}, g AS MATERIALIZED (
+  SELECT a.scene_id, (b.col - a.col)::DOUBLE AS lag, avg(sqrt(abs(a.value - b.value))) ** 4 / (0.457::DOUBLE + 0.494::DOUBLE / count(*) + 0.045::DOUBLE / (count(*)::DOUBLE * count(*))) / 2 AS gamma
+  FROM t a JOIN t b ON a.scene_id = b.scene_id AND a.row = b.row AND b.col BETWEEN a.col + 1 AND a.col + 7 GROUP BY 1, 2),
+s AS (SELECT scene_id, max(lag) AS top FROM g GROUP BY 1),
+k AS MATERIALIZED (SELECT scene_id, top / 20 AS step, n * top / 20 AS r FROM s, range(1, 21) x(n)), f AS MATERIALIZED {_fit_sql("g", "k")},
+l AS MATERIALIZED (SELECT scene_id, step, r + n * step / 20 AS r FROM f JOIN s USING (scene_id), range(-19, 20) x(n) WHERE r + n * step / 20 > 0 AND r + n * step / 20 <= top), h AS {_fit_sql("g", "l")}
+SELECT scene_id, round(r, 4) AS reach, round(sill, 4) + 0.0::DOUBLE AS sill, round(nugget, 4) + 0.0::DOUBLE AS nugget, round(sqrt(nugget), 4) + 0.0::DOUBLE AS noise FROM h"""
+
+
 def metric_gates(spark, d):
     p = points(spark, d).withColumn("similarity", F.abs("x") / 20)
     out = p.where(~research.outlying(F.col("y"), -15, 15)).groupBy("scene_id").agg(F.count("*").alias("n"), F.count(research.floored(F.col("similarity"))).alias("alike"))
@@ -277,11 +304,11 @@ QUERIES = {
     "g6_clip_lines": clip_lines, "g8_g23_snap_boxes": snap_boxes, "g20_query_circles": circles, "g22_image_bounds": image_bounds, "g23_overlaps": overlaps, "g26_not_contained": not_contained,
     "f14_inside_image": inside_image, "g27_pixel_lines": pixel_lines, "g28_centroids": centroids, "g25_nearest_three": nearest_three, "g25_w11_runs_and_zones": runs_and_zones, "j17_cloud_range": cloud_range,
     "f25_usable_pixels": usable_pixels, "f5_f6_f13_scene_choice": scene_choice, "f12_f17_f19_slope_rows": slope_rows, "t17_fft_spectrum": fft_spectrum, "t18_seasonal": seasonal, "m12_residuals": residuals,
-    "r26_signal_to_noise": signal_to_noise, "f26_f28_metric_gates": metric_gates, "u4_w13_common_rows": common_rows, "c24_utc_times": utc_times, "j16_image_geometries": image_geometries,
+    "r26_signal_to_noise": signal_to_noise, "r26_gaussian_noise": gaussian_noise, "f26_f28_metric_gates": metric_gates, "u4_w13_common_rows": common_rows, "c24_utc_times": utc_times, "j16_image_geometries": image_geometries,
 }
 SQL = {
     "g6_clip_lines": CLIP, "g8_g23_snap_boxes": SNAP, "g20_query_circles": CIRCLES, "g22_image_bounds": BOUNDS, "g23_overlaps": OVERLAPS, "g26_not_contained": NOT_CONTAINED,
     "f14_inside_image": INSIDE, "g27_pixel_lines": PIXEL_LINES, "g28_centroids": CENTROIDS, "g25_nearest_three": NEAREST_THREE, "g25_w11_runs_and_zones": RUNS, "j17_cloud_range": CLOUDS,
     "f25_usable_pixels": USABLE, "f5_f6_f13_scene_choice": CHOICE, "f12_f17_f19_slope_rows": SLOPE_ROWS, "t17_fft_spectrum": FFT, "t18_seasonal": SEASONAL, "m12_residuals": RESIDUALS,
-    "r26_signal_to_noise": NOISE, "f26_f28_metric_gates": GATES, "u4_w13_common_rows": COMMON, "c24_utc_times": UTC, "j16_image_geometries": GEOMETRIES,
+    "r26_signal_to_noise": NOISE, "r26_gaussian_noise": GAUSSIAN, "f26_f28_metric_gates": GATES, "u4_w13_common_rows": COMMON, "c24_utc_times": UTC, "j16_image_geometries": GEOMETRIES,
 }

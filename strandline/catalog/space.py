@@ -238,6 +238,18 @@ SELECT {group}, round(coalesce(c, threshold), 6) + 0.0::DOUBLE AS threshold FROM
 MINIMUM = _minimum_sql(f"(SELECT scene_id, {_INDEX['mndwi']} AS m FROM {PIXELS} WHERE NOT cloud)", "scene_id", "m", 24)
 
 
+def signature(spark, d):
+    p = pixels(spark, d).withColumns({"mndwi": sp.indices()["mndwi"], "in_buffer": F.col("pixel_id") % 5 != 0})
+    level = thresholds.left_peak(p.where("in_buffer AND NOT cloud"), ["scene_id"], "mndwi", 24)
+    return rounded(sp.candidate_signature(p, level, "mndwi", ["g", "nir"]).join(level, "scene_id"), "threshold", "g", "nir")
+
+
+_BUFFERED = f"(SELECT *, {_INDEX['mndwi']} AS m FROM {PIXELS} WHERE NOT cloud AND pixel_id % 5 <> 0)"
+_PEAK = _minimum_sql(_BUFFERED, "scene_id", "m", 24)
+SIGNATURE = _PEAK[: _PEAK.index(",\nm AS (")] + f"""
+SELECT scene_id, round(any_value(l), 6) + 0.0::DOUBLE AS threshold, round(avg(g), 6) AS g, round(avg(nir), 6) AS nir FROM e JOIN {_BUFFERED} USING (scene_id) WHERE m < l GROUP BY 1"""
+
+
 def ensemble_vote(spark, d):
     names = ["mndwi", "ndwi", "awei_ns"]
     t = lambda df, group, value: df.groupBy(*group).agg(F.avg(value).alias("threshold"))
@@ -302,12 +314,12 @@ QUERIES = {
     "j1_transect_points": transect_points, "l2_a2_positions": positions, "l3_class_selection": class_selection, "j4_f22_away_from": away_from, "j3_g16_near_line": near_line,
     "j5_nearest_distance": nearest, "j7_g13_crossings": crossings, "j9_raster_lookup": raster_lookup, "g1_g2_affine": affine, "g5_utm": utm, "g9_densify": densify,
     "g14_contour_normals": normals, "f21_contour_lengths": contour_lengths, "g18_collider": collider, "i2_i14_indices": spectral_indices, "r11_land_water": land_water,
-    "it1_otsu": otsu, "it4_local_minimum": local_minimum, "i15_ensemble_mean": ensemble_mean, "i16_ensemble_vote": ensemble_vote, "r7_match_histogram": match_histogram,
+    "it1_otsu": otsu, "it4_local_minimum": local_minimum, "it5_iu1_signature": signature, "i15_ensemble_mean": ensemble_mean, "i16_ensemble_vote": ensemble_vote, "r7_match_histogram": match_histogram,
     "il4_ks_statistic": ks, "iu_unmix": unmix, "a18_index_histogram": index_histogram,
 }
 SQL = {
     "j1_transect_points": JOIN, "l2_a2_positions": POSITIONS, "l3_class_selection": CLASSES, "j4_f22_away_from": AWAY, "j3_g16_near_line": NEAR_LINE,
     "j5_nearest_distance": NEAREST, "j7_g13_crossings": CROSSINGS, "j9_raster_lookup": LOOKUP, "g1_g2_affine": AFFINE, "g5_utm": UTM, "g9_densify": DENSIFY,
     "g14_contour_normals": NORMALS, "f21_contour_lengths": LENGTHS, "g18_collider": COLLIDER, "i2_i14_indices": INDICES, "r11_land_water": LAND,
-    "it1_otsu": OTSU, "it4_local_minimum": MINIMUM, "i15_ensemble_mean": MEAN, "i16_ensemble_vote": VOTE, "r7_match_histogram": MATCH, "il4_ks_statistic": KS, "iu_unmix": UNMIX, "a18_index_histogram": HISTOGRAM,
+    "it1_otsu": OTSU, "it4_local_minimum": MINIMUM, "it5_iu1_signature": SIGNATURE, "i15_ensemble_mean": MEAN, "i16_ensemble_vote": VOTE, "r7_match_histogram": MATCH, "il4_ks_statistic": KS, "iu_unmix": UNMIX, "a18_index_histogram": HISTOGRAM,
 }

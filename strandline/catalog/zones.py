@@ -96,6 +96,23 @@ own AS (SELECT pt.scene_id, pt.zone, y, x, {_NEAREST.format(what='f.zone', x='x'
 s AS (SELECT scene_id, zone, count(*) AS n, sum(y::DECIMAL(18,9))::DOUBLE AS rows, sum(x::DECIMAL(18,9))::DOUBLE AS cols FROM own WHERE zone = held GROUP BY 1, 2)
 SELECT scene_id, zone, round(threshold, 5) + 0.0::DOUBLE AS threshold, n, round(rows, 5) AS rows, round(cols, 5) AS cols FROM t LEFT JOIN s USING (scene_id, zone)"""
 
+
+def local_extraction(spark, d):
+    points, found = zones.point_contours(_pixels(spark, d), _refs(spark, d).drop("zone"), 2, lambda df, group, value: thresholds.otsu(df, group, value, 32), 2.0)
+    p = points.groupBy("scene_id", "idx").agg(F.count("*").alias("n"), *(F.sum(F.col(c).cast("decimal(18,9)")).cast("double").alias(f"{c}s") for c in ("row", "col")))
+    return rounded(found.join(p, ["scene_id", "idx"], "left"), "threshold", "rows", "cols", digits=5)
+
+
+_WINDOWED = f"""(SELECT p.scene_id, idx, row, col, value FROM {_R} f JOIN {_P} p ON p.scene_id = f.scene_id AND in_buffer AND NOT cloud
+  AND p.row BETWEEN r - 2 AND r + 1 AND p.col BETWEEN c - 2 AND c + 1)"""
+LOCAL = f"""WITH wp AS MATERIALIZED {_WINDOWED}, t AS MATERIALIZED ({_EXACT(_otsu_sql("wp", "scene_id, idx", "value", 32))}),
+cl AS (SELECT *, threshold AS level FROM ({_cells_sql("wp", "scene_id, idx")}) JOIN t USING (scene_id, idx)),
+pt AS {_points_sql("cl", "scene_id, idx")},
+own AS (SELECT pt.scene_id, pt.idx, y, x, arg_min(f.idx, (sqrt((c - x) ** 2 + (r - y) ** 2), f.idx)) AS held FROM pt JOIN {_R} f ON f.scene_id = pt.scene_id GROUP BY ALL),
+s AS (SELECT scene_id, idx, count(*) AS n, sum(y::DECIMAL(18,9))::DOUBLE AS rows, sum(x::DECIMAL(18,9))::DOUBLE AS cols FROM own WHERE idx = held GROUP BY 1, 2)
+SELECT scene_id, idx, round(threshold, 5) + 0.0::DOUBLE AS threshold, n, round(rows, 5) AS rows, round(cols, 5) AS cols FROM t LEFT JOIN s USING (scene_id, idx)"""
+
+
 STEPS = 25
 
 
@@ -139,6 +156,7 @@ QUERIES = {
     "il4_zone_indicators": zone_indicators,
     "il5_buffer_partition": partition,
     "il2_zone_extraction": extraction,
+    "il1_local_extraction": local_extraction,
     "it6_optimal_threshold": best_level,
     "m13_method_evaluation": evaluation,
 }
@@ -146,6 +164,7 @@ SQL = {
     "il4_zone_indicators": INDICATORS,
     "il5_buffer_partition": PARTITION,
     "il2_zone_extraction": EXTRACTION,
+    "il1_local_extraction": LOCAL,
     "it6_optimal_threshold": BEST_LEVEL,
     "m13_method_evaluation": _evaluation_sql(),
 }

@@ -48,6 +48,12 @@ def land_water(pixels: DataFrame) -> DataFrame:
     return clear.groupBy("scene_id").agg(F.avg((F.col("v") > 0).cast("double")).alias("water_fraction"), F.avg((F.col("v") <= 0).cast("double")).alias("land_fraction"), F.count("*").alias("valid_pixels"))
 
 
+def candidate_signature(pixels: DataFrame, thresholds: DataFrame, value: str, bands: list[str]) -> DataFrame:
+    """scene_id, bands: the mean of each band over the clear pixels of the buffer whose index `value` is under the scene's threshold: what water looks like."""
+    water = pixels.where("in_buffer AND NOT cloud").join(thresholds, "scene_id").where(F.col(value) < F.col("threshold"))
+    return water.groupBy("scene_id").agg(*(F.avg(b).alias(b) for b in bands))
+
+
 def _long(pixels: DataFrame, names: list[str], key: list[str]) -> DataFrame:
     return pixels.unpivot(key, names, "index_name", "value")
 

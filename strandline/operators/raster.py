@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.geometry import pixel_to_world, world_to_pixel
 from .components import connected
 from .lineage import cut
 from .thresholds import finite
@@ -210,6 +211,38 @@ def resample(pixels: DataFrame, value: str, factor: float) -> DataFrame:
     return g.select(*KEY, out.alias(value))
 
 
+GEOREFERENCE = ("xtr", "xscale", "xshear", "ytr", "yshear", "yscale")
+
+
+def warp(pixels: DataFrame, value: str, source: DataFrame, target: DataFrame) -> DataFrame:
+    """KEY and value on the target grid: bilinear between the source pixels around each target pixel's centre.
+
+    source: scene_id and its georeference; target: the same with height and width.
+    Both in one reference system; shears are allowed. Source pixels without a value
+    leave their weight to the others; a target pixel whose nearest source pixel has
+    none is absent. Target rows are dealt to tasks before their columns are made,
+    and each target pixel asks for four source pixels by an equality join.
+    """
+    own = lambda prefix: {g: F.col(f"{prefix}{g}") for g in GEOREFERENCE}
+    to = target.select("scene_id", "height", "width", *(F.col(g).alias(f"_t{g}") for g in GEOREFERENCE))
+    grid = to.join(source.select("scene_id", *(F.col(g).alias(f"_s{g}") for g in GEOREFERENCE)), "scene_id")
+    grid = grid.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1))).repartition("scene_id", "row")
+    grid = grid.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
+    x, y = pixel_to_world(F.col("row") + 0.5, F.col("col") + 0.5, own("_t"))
+    r, c = world_to_pixel(x, y, own("_s"))
+    at = grid.select(*KEY, (r - 0.5).alias("_r"), (c - 0.5).alias("_c"))
+    corners = []
+    for dr in (0, 1):
+        for dc in (0, 1):
+            sr, sc = F.floor("_r") + dr, F.floor("_c") + dc
+            nearest = (sr == F.floor(F.col("_r") + 0.5)) & (sc == F.floor(F.col("_c") + 0.5))
+            corners.append(F.struct(sr.alias("r"), sc.alias("c"), ((1 - F.abs(F.col("_r") - sr)) * (1 - F.abs(F.col("_c") - sc))).alias("w"), nearest.alias("near")))
+    asked = at.select(*KEY, F.explode(F.array(*corners)).alias("k")).select(*KEY, "k.*")
+    have = finite(pixels, value).select("scene_id", F.col("row").cast("long").alias("r"), F.col("col").cast("long").alias("c"), F.col(value).cast("double").alias("_v"))
+    met = asked.join(have, ["scene_id", "r", "c"]).groupBy(*KEY).agg(F.sum(F.col("w") * F.col("_v")).alias("_t"), F.sum("w").alias("_w"), F.max("near").alias("_near"))
+    return met.where("_near").select(*KEY, (F.col("_t") / F.col("_w")).alias(value))
+
+
 def cell_pieces(c: DataFrame, level: Column, keep: list[str]) -> DataFrame:
     """Marching squares: keep, r0, c0 and both ends (row, col) of each line piece of cells (see cells()) at a level.
 

@@ -105,6 +105,38 @@ def semivariogram(pixels: DataFrame, value: str, most: int, axis: str = "col") -
     return d.select("scene_id", "lag", "n", (F.pow("_m", 4) / (0.457 + 0.494 / n + 0.045 / (n * n)) / 2).alias("gamma"))
 
 
+def gaussian_model(g: DataFrame, steps: int = 100) -> DataFrame:
+    """scene_id, reach, sill, nugget, misfit: the Gaussian variogram model that fits gamma at the lags best, by least squares.
+
+    gamma = nugget + sill (1 - exp(-(2 lag / reach)^2)), sill and nugget 0 or more,
+    reach at most the largest lag. For a given reach the model is linear, so sill
+    and nugget follow from sums over the scene's lags; reach is taken from an even
+    grid of `steps`, and then from one as fine between its neighbours. A scene has a
+    row a lag, and every candidate is summed beside the others.
+    """
+    lag = F.col("lag").cast("double")
+    span = g.groupBy("scene_id").agg(F.max(lag).alias("_top"))
+
+    def best(grid: DataFrame) -> DataFrame:
+        e = 1 - F.exp(-F.pow(2 * lag / F.col("reach"), 2))
+        x = g.join(grid, "scene_id").withColumn("_e", e).groupBy("scene_id", "_step", "reach")
+        x = x.agg(F.count("*").alias("n"), *(F.sum(v).alias(k) for k, v in {"se": F.col("_e"), "sg": F.col("gamma"), "see": F.col("_e") * F.col("_e"), "seg": F.col("_e") * F.col("gamma"), "sgg": F.col("gamma") * F.col("gamma")}.items()))
+        slope = F.try_divide(F.expr("n * seg - se * sg"), F.expr("n * see - se * se"))
+        x = x.withColumn("_c", slope).withColumn("_b", (F.col("sg") - F.col("_c") * F.col("se")) / F.col("n"))
+        flat, rising = F.col("_c").isNull() | (F.col("_c") < 0), F.col("_b") < 0
+        x = x.withColumns({"sill": F.when(flat, 0.0).when(rising, F.greatest(F.try_divide("seg", "see"), F.lit(0.0))).otherwise(F.col("_c")), "nugget": F.when(flat, F.col("sg") / F.col("n")).when(rising, 0.0).otherwise(F.col("_b"))})
+        misfit = F.expr("sgg - 2 * sill * seg - 2 * nugget * sg + sill * sill * see + 2 * sill * nugget * se + n * nugget * nugget")
+        x = x.withColumn("misfit", misfit)
+        kept = F.struct("_step", "reach", "sill", "nugget", "misfit")
+        return x.groupBy("scene_id").agg(F.min_by(kept, F.struct(F.round("misfit", 12), "reach")).alias("m")).select("scene_id", "m.*")
+
+    coarse = span.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(steps)))).select("scene_id", (F.col("_top") / steps).alias("_step"), (F.col("_k") * F.col("_top") / steps).alias("reach"))
+    first = best(coarse)
+    near = first.withColumn("_k", F.explode(F.sequence(F.lit(1 - steps), F.lit(steps - 1)))).select("scene_id", "_step", (F.col("reach") + F.col("_k") * F.col("_step") / steps).alias("reach"))
+    fine = best(near.join(span, "scene_id").where("reach > 0 AND reach <= _top").drop("_top"))
+    return fine.drop("_step")
+
+
 def nugget(gammas: DataFrame) -> DataFrame:
     """scene_id, noise: the root of the variogram's value at lag 0, on the line through its lags."""
     s = gammas.groupBy("scene_id").agg(F.regr_intercept("gamma", "lag").alias("_c"))

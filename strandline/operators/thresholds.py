@@ -97,6 +97,13 @@ def local_minimum(df: DataFrame, group: list[str], value: str, bins: int = 256)
     return o.join(valley, group, "left").select(*group, F.coalesce("_v", "threshold").alias("threshold"))
 
 
+def left_peak(df: DataFrame, group: list[str], value: str, bins: int = 256) -> DataFrame:
+    """group, threshold: the highest peak under the Otsu threshold (the first of equal ones), or that threshold where there is none."""
+    h, o = full_histogram(df, group, value, bins), otsu(df, group, value, bins)
+    low = peaks(h, group).join(o, group).where("centre < threshold").groupBy(*group).agg(F.max_by("centre", F.struct("n", -F.col("bin"))).alias("_l"))
+    return o.join(low, group, "left").select(*group, F.coalesce("_l", "threshold").alias("threshold"))
+
+
 def match_histogram(source: DataFrame, template: DataFrame, group: list[str], value: str) -> DataFrame:
     """group, value, matched: each distinct source value at the template's value of the same quantile, linear between.
 

@@ -22,7 +22,7 @@ LINE = ["scene_id"]
 
 
 def windows(pixels: DataFrame, refs: DataFrame, half: int) -> DataFrame:
-    """scene_id, idx, value: the buffer's pixels in the square from `half` before each reference point to just before `half` after it.
+    """scene_id, idx, row, col, value: the buffer's pixels in the square from `half` before each reference point to just before `half` after it.
 
     A point goes to the cells that its window touches (four at most), so the join
     is an equality on scene and cell.
@@ -32,7 +32,7 @@ def windows(pixels: DataFrame, refs: DataFrame, half: int) -> DataFrame:
     w = refs.select("scene_id", "idx", F.floor("row").alias("_r"), F.floor("col").alias("_c"), F.col("row"), F.col("col")).withColumn("_cr", over("row")).withColumn("_cc", over("col")).drop("row", "col")
     p = pixels.where("in_buffer").select("scene_id", "row", "col", "value").withColumns({"_cr": cell(F.col("row"), size), "_cc": cell(F.col("col"), size)})
     inside = F.col("row").between(F.col("_r") - half, F.col("_r") + half - 1) & F.col("col").between(F.col("_c") - half, F.col("_c") + half - 1)
-    return p.join(w, ["scene_id", "_cr", "_cc"]).where(inside).select("scene_id", "idx", "value")
+    return p.join(w, ["scene_id", "_cr", "_cc"]).where(inside).select("scene_id", "idx", "row", "col", "value")
 
 
 def zone_indicators(pixels: DataFrame, refs: DataFrame, half: int = 50, least: float = 0.05) -> DataFrame:
@@ -96,6 +96,21 @@ def zone_contours(pixels: DataFrame, refs: DataFrame, radius: float = 10.0, thre
     return held.where("zone = _own").select("scene_id", "zone", "row", "col"), found
 
 
+def point_contours(pixels: DataFrame, refs: DataFrame, half: int = 50, threshold: Callable = thresholds.otsu, size: float = 8.0) -> tuple[DataFrame, DataFrame]:
+    """(points: scene_id, idx, row, col; thresholds: scene_id, idx, threshold): zone_contours with a square window as each reference point's zone.
+
+    A pixel is in the windows of all points near it; of a window's contour those
+    points stay that are nearest to its own reference point.
+    """
+    by = ["scene_id", "idx"]
+    inside = windows(pixels.where("NOT cloud"), refs, half)
+    found = threshold(inside, by, "value")
+    pieces = cell_pieces(cells(inside, "value", by).join(found, by), F.col("threshold"), by)
+    points = contour_points(pieces, by).withColumnRenamed("idx", "_own")
+    held = nearest_reference(points, refs.withColumn("zone", F.col("idx")), ["_own", "row", "col"], size)
+    return held.where("idx = _own").select("scene_id", "idx", "row", "col"), found
+
+
 def level_sweep(pixels: DataFrame, refs: DataFrame, steps: int = 200, size: float = 4.0) -> DataFrame:
     """scene_id, step, level, error: the mean distance of the reference points (scene_id, idx, row, col) to the contour at each of `steps` levels.
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import raster, thresholds, zones
+from strandline.operators import raster, research, thresholds, zones
 from strandline.operators.components import connected
 from strandline.plans import preprocess
 
@@ -178,3 +178,32 @@ def test_lines_over_borders(spark):
             if k == 2:
                 assert closed == [False] and len(made) > 30
     assert raster.link_contours(pieces.where("false")).count() == 0
+
+
+def test_gaussian_model_is_recovered(spark):
+    rows = [(s, h, 10, b + c * (1 - np.exp(-((2 * h / a) ** 2))).item()) for s, (a, c, b) in enumerate([(6.0, 2.0, 0.5), (12.5, 1.0, 0.0), (3.3, 0.0, 0.7)]) for h in range(1, 21)]
+    got = {r.scene_id: r for r in research.gaussian_model(spark.createDataFrame(rows, "scene_id long, lag int, n long, gamma double")).collect()}
+    assert [(round(got[s].reach, 1), round(got[s].sill, 3), round(got[s].nugget, 3)) for s in (0, 1)] == [(6.0, 2.0, 0.5), (12.5, 1.0, 0.0)]
+    assert abs(got[2].sill) < 1e-9 and abs(got[2].nugget - 0.7) < 1e-9
+
+
+def test_warp_between_grids(spark):
+    """A plane stays a plane on a sheared grid; a missing pixel leaves its weight to the others."""
+    plane = lambda x, y: 3 + 0.5 * x - 0.2 * y
+    src, dst = (10.0, 2.0, 0.0, 80.0, 0.0, -2.0), (12.0, 1.3, 0.2, 77.0, -0.1, -1.1)
+    names = ("xtr", "xscale", "xshear", "ytr", "yshear", "yscale")
+    at = lambda g, r, c: (g[0] + g[1] * (c + 0.5) + g[2] * (r + 0.5), g[3] + g[4] * (c + 0.5) + g[5] * (r + 0.5))
+    px = [(1, r, c, plane(*at(src, r, c))) for r in range(12) for c in range(15) if (r, c) != (5, 5)]
+    df = spark.createDataFrame(px, "scene_id long, row int, col int, v double")
+    georef = lambda g, more, kinds: spark.createDataFrame([(1, *g, *more)], "scene_id long, " + ", ".join(f"{n} double" for n in names) + kinds)
+    out = raster.warp(df, "v", georef(src, (), ""), georef(dst, (14, 18), ", height int, width int")).collect()
+    inner = 0
+    for r in out:
+        x, y = at(dst, r.row, r.col)
+        sc, sr = (x - 10) / 2 - 0.5, (80 - y) / 2 - 0.5
+        assert -0.5 <= sc <= 14.5 and -0.5 <= sr <= 11.5
+        if 0 <= sc <= 14 and 0 <= sr <= 11 and max(abs(sc - 5), abs(sr - 5)) >= 1:
+            inner += 1
+            assert abs(r.v - plane(x, y)) < 1e-9
+        assert max(abs(sc - 5), abs(sr - 5)) > 0.5
+    assert inner > 100
