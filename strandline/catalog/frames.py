@@ -47,8 +47,8 @@ def tides(spark: SparkSession, d: str) -> DataFrame:
 
 
 def at_site(spark: SparkSession, d: str) -> DataFrame:
-    """The click events as observations of that site."""
-    return observations(spark, d).where("satname = 'click'").withColumn("site", F.lit("site"))
+    """All other events as observations of that site."""
+    return observations(spark, d).where("satname <> 'error'").withColumn("site", F.lit("site"))
 
 
 #: The same frames in SQL.
@@ -58,7 +58,7 @@ POINTS = "(SELECT vec_id AS pt_id, label AS scene_id, embedding[1]::DOUBLE * 100
 TRANSECTS = "(SELECT n_nationkey AS transect_id, n_nationkey::DOUBLE * 4 - 50 AS x0, n_nationkey::DOUBLE * 2 - 30 AS y0, n_nationkey::DOUBLE * 4 - 20 AS x1, n_nationkey::DOUBLE * 3 - 20 AS y1 FROM nation)"
 PIXELS = "(SELECT vec_id AS pixel_id, label AS scene_id, " + ", ".join(f"abs(embedding[{i + 1}]::DOUBLE) + 0.01::DOUBLE AS {b}" for i, b in enumerate(BANDS)) + ", vec_id % 7 = 0 AS cloud FROM embeddings)"
 TIDES = "(SELECT 'site' AS site, ts, value / 100 AS tide FROM events WHERE event_type = 'error')"
-AT_SITE = f"(SELECT *, 'site' AS site FROM {OBS} WHERE satname = 'click')"
+AT_SITE = f"(SELECT *, 'site' AS site FROM {OBS} WHERE satname <> 'error')"
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:

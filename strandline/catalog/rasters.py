@@ -250,12 +250,20 @@ def classified(spark, d):
 
 def features20(spark, d):
     t = tiles(spark, d).select("scene_id", "row", "col", *((F.abs(F.col("value") + k / 50) + 0.01).alias(b) for k, b in enumerate(ml.FIVE)))
-    return ml.features(t).groupBy("scene_id").agg(F.count("*").alias("n"), *(F.round(F.avg(c), 6).alias(c) for c in ("nd_ng", "sd_b")))
+    return ml.features(t).groupBy("scene_id").agg(F.count("*").alias("n"), *((F.round(F.avg(c), 6) + 0.0).alias(c) for c in ml.TWENTY))
 
 
-FEATURES = f"""WITH p AS (SELECT scene_id, row, col, abs(value) + 0.01::DOUBLE AS b, abs(value + 0.02::DOUBLE) + 0.01::DOUBLE AS g, abs(value + 0.06::DOUBLE) + 0.01::DOUBLE AS nir FROM {TILES}),
-s AS (SELECT a.scene_id, a.row, a.col, sqrt(greatest(avg(b.b * b.b) - avg(b.b) ** 2, 0)) AS sd {_AROUND.format(t="p", r=1)})
-SELECT scene_id, count(*) AS n, round(avg((nir - g) / (nir + g)), 6) AS nd_ng, round(avg(sd), 6) AS sd_b FROM p JOIN s USING (scene_id, row, col) GROUP BY 1"""
+def _features_sql() -> str:
+    bands = ", ".join(f"abs(value + {k / 50}::DOUBLE) + 0.01::DOUBLE AS {b}" for k, b in enumerate(ml.FIVE))
+    pairs = {"nd_ng": "nir g", "nd_sg": "swir1 g", "nd_nr": "nir r", "nd_sn": "swir1 nir", "nd_br": "b r"}
+    differences = ", ".join("({0} - {1}) / ({0} + {1}) AS {2}".format(*v.split(), n) for n, v in pairs.items())
+    spread = ", ".join(f"sqrt(greatest(avg(b.{n} * b.{n}) - avg(b.{n}) ** 2, 0)) AS sd_{n}" for n in ml.TEN)
+    return f"""WITH p AS (SELECT scene_id, row, col, {bands} FROM {TILES}), f AS MATERIALIZED (SELECT *, {differences} FROM p),
+s AS (SELECT a.scene_id, a.row, a.col, {spread} {_AROUND.format(t="f", r=1)})
+SELECT scene_id, count(*) AS n, {", ".join(f"round(avg({n}), 6) + 0.0::DOUBLE AS {n}" for n in ml.TWENTY)} FROM f JOIN s USING (scene_id, row, col) GROUP BY 1"""
+
+
+FEATURES = _features_sql()
 
 
 def clusters(spark, d):

@@ -133,11 +133,11 @@ SELECT satname, round(max_by(f, p) * 1e7)::INTEGER AS f_e7 FROM k WHERE p > b AN
 def survey_match(spark, d):
     obs = observations(spark, d)
     survey = obs.where("satname = 'error'").select("transect_id", "ts", F.col("chainage").alias("position"))
-    out = joins.survey_match(obs.where("satname = 'click'"), survey, most_days=4, least_days=1)
+    out = joins.survey_match(obs.where("satname <> 'error'"), survey, most_days=4, least_days=1)
     return rounded(out.select("scene_id", "survey"), "survey")
 
 
-SURVEY = f"""WITH s AS (SELECT transect_id, ts, min(chainage) AS v FROM {OBS} WHERE satname = 'error' GROUP BY 1, 2), c AS (SELECT * FROM {OBS} WHERE satname = 'click'),
+SURVEY = f"""WITH s AS (SELECT transect_id, ts, min(chainage) AS v FROM {OBS} WHERE satname = 'error' GROUP BY 1, 2), c AS (SELECT * FROM {OBS} WHERE satname <> 'error'),
 p AS (SELECT c.scene_id, c.ts, a.ts AS t0, a.v AS v0, b.ts AS t1, b.v AS v1 FROM c ASOF LEFT JOIN s a ON c.transect_id = a.transect_id AND c.ts >= a.ts ASOF LEFT JOIN s b ON c.transect_id = b.transect_id AND c.ts <= b.ts),
 q AS (SELECT *, (epoch_us(ts) - epoch_us(t0)) / 86400000000.0::DOUBLE AS d0, (epoch_us(t1) - epoch_us(ts)) / 86400000000.0::DOUBLE AS d1 FROM p)
 SELECT scene_id, round(CASE WHEN least(d0, d1) > 4 THEN NULL WHEN least(d0, d1) < 1 THEN CASE WHEN d1 IS NULL OR d0 <= d1 THEN v0 ELSE v1 END ELSE v0 + (v1 - v0) * d0 / nullif(d0 + d1, 0) END, 6) AS survey FROM q"""
