@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,40 +51,65 @@ def best_method_counts(scores: DataFrame) -> DataFrame:
     return best.groupBy("method").agg(F.count("*").alias("n"))
 
 
-def _front(x: np.ndarray) -> np.ndarray:
-    """The rows of x that no other row beats in every column."""
-    kept = []
-    x = x[np.argsort(x.sum(axis=1), kind="stable")]
-    while len(x):
-        first, x = x[0], x[1:]
-        kept.append(first)
-        x = x[~(x > first).all(axis=1)]
-    return np.array(kept)
+def _positions(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Each value of the column and its place (from 0) in their order: places inside sorted ranges, and the ranges' sizes before."""
+    ranged = cut(df.select(column).distinct().repartitionByRange(column).withColumn("_range", F.spark_partition_id()))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # a row a range
+    starts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(column)) - 1
+    return ranged.withColumn("_at", inside).join(F.broadcast(starts), "_range").select(column, (F.col("_start") + F.col("_at")).alias(name))
+
+
+def _intervals(place: Column, levels: int, odd: bool) -> Column:
+    """Intervals (level, number) of 2^level places with an even number: those that hold the place, or, if odd, those that make up all places before it.
+
+    Where a place's number at a level is odd, the even interval beside it is part of
+    what comes before; these parts, one a set bit, are all of it.
+    """
+    at = lambda level: F.call_function("shiftright", place, level)
+    own = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda i: F.struct(i.alias("level"), at(i).alias("n")))
+    return F.transform(F.filter(own, lambda x: x["n"] % 2 == int(odd)), lambda x: F.struct(x["level"], (x["n"] - int(odd)).alias("n")))
 
 
-def pareto_front(rows: DataFrame, metrics: list[str], most: int = 200_000) -> DataFrame:
+def pareto_front(rows: DataFrame, metrics: list[str], probes: int = 64) -> DataFrame:
     """Rows that no other beats strictly in every metric (lower is better); rows with a missing metric stay.
 
-    Each partition's own front is found first, then the fronts' front: what beats a
-    row is beaten by, or is, a row of it. Only that is broadcast, and counted
-    before: a front of over `most` rows is an error.
+    What one of `probes` rows of a small scaled sum beats goes first. Of the rest,
+    each row asks for the least last metric among rows before it in every other
+    one: the intervals of places before it are looked up, whose least values are
+    one aggregation. So a front of any size takes rows x log^(metrics - 1), and no
+    pairs.
     """
-    doubles = rows.select(*(F.col(m).cast("double").alias(m) for m in metrics)).dropna().distinct()
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        front = np.empty((0, len(metrics)))
-        for pdf in batches:
-            front = _front(np.r_[front, pdf.to_numpy(np.float64)])
-        yield pd.DataFrame(front.reshape(-1, len(metrics)), columns=metrics)
-
-    schema = ", ".join(f"`{m}` double" for m in metrics)
-    front = cut(doubles.mapInPandas(local, schema).coalesce(1).mapInPandas(local, schema))
-    if (n := front.count()) > most:
-        raise ValueError(f"a front of {n} rows is too large to compare with")
+    names = [f"_m{i}" for i in range(max(2, len(metrics)))]
+    chosen = metrics if len(metrics) > 1 else metrics * 2
+    typed = [F.col(m).cast("double").alias(n) for m, n in zip(chosen, names, strict=True)]
+    values = rows.select(*typed).dropna().distinct()
+    low = values.agg(*(F.min(n).alias(f"_l{n}") for n in names), *(F.max(n).alias(f"_h{n}") for n in names))
+    share = sum(F.coalesce(F.try_divide(F.col(n) - F.col(f"_l{n}"), F.col(f"_h{n}") - F.col(f"_l{n}")), F.lit(0.0)) for n in names)
+    best = values.crossJoin(F.broadcast(low)).orderBy(share, *names).limit(probes).select(*(F.col(n).alias(f"_b{n}") for n in names))
     beaten = F.lit(True)
-    for m in metrics:
-        beaten = beaten & (F.col(f"o.{m}") < F.col(f"r.{m}"))
-    return rows.alias("r").join(F.broadcast(front.alias("o")), beaten, "left_anti")
+    for n in names:
+        beaten = beaten & (F.col(f"_b{n}") < F.col(n))
+    left = cut(values.join(F.broadcast(best), beaten, "left_anti"))
+
+    placed, keys = left, []
+    for n in names[:-1]:
+        placed = placed.join(_positions(left, n, f"_p{n}"), n)
+    placed = cut(placed)
+    levels = max(1, max((placed.agg(*(F.max(f"_p{n}") for n in names[:-1])).first()[i] or 0) for i in range(len(names) - 1)).bit_length())
+    held = asked = placed
+    for n in names[:-1]:
+        held = held.withColumn(f"_i{n}", F.explode(_intervals(F.col(f"_p{n}"), levels, odd=False)))
+        asked = asked.withColumn(f"_i{n}", F.explode(_intervals(F.col(f"_p{n}"), levels, odd=True)))
+        keys.append(f"_i{n}")
+    least = held.groupBy(*keys).agg(F.min(names[-1]).alias("_least"))
+    lost = asked.join(least, keys).where(F.col("_least") < F.col(names[-1])).select(*names).distinct()
+    front = left.join(lost, names, "left_anti")
+    same, whole = F.lit(True), F.lit(True)
+    for m, n in zip(chosen, names, strict=True):
+        value = F.col(m).cast("double")
+        same, whole = same & (value == F.col(n)), whole & value.isNotNull() & ~F.isnan(value)
+    return rows.where(~whole).unionByName(rows.where(whole).join(front, same, "left_semi"))
 
 
 def confusion(df: DataFrame, truth: str, predicted: str, classes: list) -> DataFrame:

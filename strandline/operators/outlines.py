@@ -36,13 +36,28 @@ def east_of_greenwich(lon: Column) -> Column:
 
 
 def not_contained(images: DataFrame, site: list[str]) -> DataFrame:
-    """Images (image_id, box) that no other image of their site contains; of equal ones the lesser id stays."""
-    i, o = images.alias("i"), images.select(*site, F.col("image_id").alias("_other"), F.col("box").alias("_box")).alias("o")
-    same = [F.col(f"i.{c}") == F.col(f"o.{c}") for c in site]
-    held = contains(F.col("_box"), F.col("i.box")) & (F.col("_other") != F.col("image_id")) & (~contains(F.col("i.box"), F.col("_box")) | (F.col("_other") < F.col("image_id")))
-    for c in same:
-        held = held & c
-    return i.join(o, held, "left_anti")
+    """Images (image_id, unlike inside a site; box) that no other image of their site contains; of equal ones the lesser id stays.
+
+    Each different box is put into the cells, of a size of its own order, that it
+    covers (four at most), and looked up at its corner in the cells of each larger
+    size that its site has. Images without a box or a site stay.
+    """
+    own = images.where(F.col("box").isNotNull()).groupBy(*site, "box").agg(F.min("image_id").alias("_least")).dropna(subset=site)
+    wide = F.greatest(F.col("box.x_max") - F.col("box.x_min"), F.col("box.y_max") - F.col("box.y_min"), F.lit(1e-9))
+    own = own.withColumn("_level", F.ceil(F.log2(wide)).cast("int"))
+    at = lambda v: F.floor(F.col(f"box.{v}") / F.pow(F.lit(2.0), F.col("_level"))).cast("long")
+    outer = own.withColumn("_cx", F.explode(F.sequence(at("x_min"), at("x_max")))).withColumn("_cy", F.explode(F.sequence(at("y_min"), at("y_max"))))
+    sizes = own.groupBy(*site).agg(F.collect_set("_level").alias("_levels"))
+    asked = own.join(sizes, site).withColumn("_level", F.explode(F.filter("_levels", lambda n: n >= F.col("_level") - 1)))
+    asked = asked.withColumns({"_cx": at("x_min"), "_cy": at("y_min")}).select(*site, "box", "_level", "_cx", "_cy")
+    met = asked.join(outer.select(*site, F.col("box").alias("_box"), "_level", "_cx", "_cy"), [*site, "_level", "_cx", "_cy"])
+    held = met.where((F.col("_box") != F.col("box")) & contains(F.col("_box"), F.col("box"))).select(*site, "box").distinct()
+    known = own.select(*site, "box", "_least").join(held.withColumn("_held", F.lit(True)), [*site, "box"], "left").alias("k")
+    i = images.alias("i")
+    gone = (F.col("i.box") == F.col("k.box")) & (F.col("k._held").isNotNull() | (F.col("i.image_id") > F.col("k._least")))
+    for c in site:
+        gone = gone & (F.col(f"i.{c}") == F.col(f"k.{c}"))
+    return i.join(known, gone, "left_anti")
 
 
 def run_along(points: DataFrame, refs: DataFrame, line: list[str], n: int) -> DataFrame:

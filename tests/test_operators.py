@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry, missing
-from strandline.operators import evaluate, joins, raster, scenes, selection, series, slopes, thresholds, tides
+from strandline.operators import evaluate, joins, outlines, raster, scenes, selection, series, slopes, thresholds, tides
 
 DAY = dt.timedelta(days=1)
 T0 = dt.datetime(2020, 1, 1)
@@ -188,3 +188,33 @@ def test_nearest_distance(spark, empty):
     b = spark.createDataFrame([] if empty else [(3.0, 4.0), (-90.0, 0.0)], "x double, y double")
     got = {r.k: round(r.nearest, 6) for r in joins.nearest_distance(a, b, ["k"], 1.0).collect()}
     assert got == ({} if empty else {1: 5.0, 2: round((497**2 + 16) ** 0.5, 6)})
+
+
+@pytest.mark.parametrize("m", [1, 2, 3])
+def test_pareto_front_against_all_pairs(spark, m):
+    """Random rows with ties and a front of many rows (on a falling line), whose places need many intervals."""
+    rng = np.random.default_rng(m)
+    x = np.r_[rng.integers(0, 40, (300, 3)), np.c_[np.arange(300) / 9, -np.arange(300) / 9, -np.arange(300) % 7]][:, :m].astype(float)
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)] + [(1000, *[None] * m), (1001, *[float("nan")] * m)]
+    df = spark.createDataFrame(rows, ", ".join(["id int", *(f"m{k} double" for k in range(m))]))
+    expected = {i for i, r in enumerate(x) if not (x < r).all(axis=1).any()} | {1000, 1001}
+    got = [r.id for r in evaluate.pareto_front(df, [f"m{k}" for k in range(m)], probes=2).collect()]
+    assert sorted(got) == sorted(expected)
+    assert evaluate.pareto_front(df.where("id < 0"), [f"m{k}" for k in range(m)]).count() == 0
+
+
+def test_not_contained_against_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    low = rng.integers(-20, 20, (200, 2)) * 0.5
+    size = np.exp2(rng.integers(-3, 5, (200, 2)))
+    size[::11] = 0
+    boxes = [(i % 3, i, *map(float, (*a, *(a + s)))) for i, (a, s) in enumerate(zip(low, size, strict=True))]
+    boxes += [(s, 500 + i, *b) for i, (s, _, *b) in enumerate(boxes[:20])] + [(0, 900, *[None] * 4), (None, 901, 0.0, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(boxes, "site int, image_id int, x_min double, y_min double, x_max double, y_max double")
+    df = df.selectExpr("site", "image_id", "CASE WHEN x_min IS NOT NULL THEN struct(x_min, y_min, x_max, y_max) END AS box", "'k' AS _level")
+    inside = lambda o, i: o[2] <= i[2] and o[3] <= i[3] and o[4] >= i[4] and o[5] >= i[5]
+    known = [b for b in boxes if b[0] is not None and b[2] is not None]
+    held = lambda i: any(o[0] == i[0] and o[1] != i[1] and inside(o, i) and (not inside(i, o) or o[1] < i[1]) for o in known)
+    out = outlines.not_contained(df, ["site"])
+    assert out.columns == df.columns
+    assert sorted(r.image_id for r in out.collect()) == sorted(b[1] for b in boxes if b[2] is None or b[0] is None or not held(b))
