@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 SEQUENCE = 1024
 END_ID = 2
@@ -190,8 +190,11 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, round
     """pieces (doc_id, piece, length of 1 to size, and others) plus sequence_id, offset, packed_in, bound and gap.
 
     part_rows bounds what one task packs; a task's sequences are numbered below 2^26.
+    Where pieces has a column of one of these names, the result's gets a leading underscore.
     """
-    columns = pieces.columns
+    given = pieces.columns
+    columns = [c if c == "length" else f"_given{i}" for i, c in enumerate(given)]
+    pieces = pieces.toDF(*columns)
     pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     full = pieces.where(F.col("length") >= size).withColumn("offset", F.lit(0).cast("long")).withColumn("sequence_id", 2 * F.col("_row") + 1)
@@ -236,7 +239,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, part_rows: int = 50_000, round
     out = done[0].select(*columns, *certified)
     for d in done[1:]:
         out = out.unionByName(d.select(*columns, *certified))
-    return out
+    return out.toDF(*given, *fresh(given, *certified))
 
 
 def pack_documents(docs: DataFrame, size: int = SEQUENCE, **kw) -> DataFrame:

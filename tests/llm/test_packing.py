@@ -75,6 +75,16 @@ def test_exchange_closes_gaps(spark):
     assert packing.lower_bound(np.array(lengths), 1024) <= check_layout(out, 1024) < alone
 
 
+def test_clashing_columns(spark):
+    names = ["sequence_id", "offset", "Bound", "gap", "packed_in", "_row", "_part", "_open", "_given0"]
+    df = spark.createDataFrame([(i, 0, n, *names) for i, n in enumerate([600, 424, 1024, 500, 500, 20])], ", ".join(["doc_id long", "piece int", "length long", *(f"`{n}` string" for n in names)]))
+    out = packing.pack(df, part_rows=2)
+    assert out.columns == [*df.columns, "_sequence_id", "_offset", "_packed_in", "_bound", "_gap"]
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == set(range(6)) and all(r[n] == n for r in rows for n in names)
+    assert packing.pack(df.where("length = 1024")).first()["_offset"] == 0
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
