@@ -295,7 +295,9 @@ def fit_lines(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[str, li
     """fit() on lines() of all licence_grams()."""
     spark = rows.sparkSession
     common = common_grams(rows)
-    vocabulary = [g for g in licence_grams() if g not in common][:MAX_FEATURES]
+    vocabulary = [g for g in licence_grams() if g not in common]
+    if len(vocabulary) > MAX_FEATURES:
+        raise ValueError(f"the notices have {len(vocabulary)} n-grams; {MAX_FEATURES} may be broadcast")
     # n-grams outside of the vocabulary are no features, so the licence n-grams of a paragraph are enough
     parts = [(f, sorted(grams_of(w)), held) for f, w, held in _licences()]
     others = [[sorted(grams_of(w)) for w in _parts(o)[:1]] for o in OTHERS] + [[g] for g in _unknown(rows, sample)]

@@ -118,3 +118,22 @@ def test_calibration_on_held_out_notices(spark, model):
     right = [got.get(i, ("unknown", 1.0))[0] == f for i, (f, _) in enumerate(notices + others)]
     mean = sum(got.get(i, ("unknown", 1.0))[1] for i in range(len(rows))) / len(rows)
     assert sum(right) >= 0.8 * len(right) and abs(mean - sum(right) / len(right)) < 0.15
+
+
+@pytest.mark.parametrize("family", ["mit", "public-domain"])
+def test_left_out_family_is_never_confirmed(spark, sf, monkeypatch, family):
+    """Notices of a family that the model doesn't know, and no other one words alike, are confirmed as no family."""
+    left = ls.NOTICES[family]
+    monkeypatch.setattr(ls, "NOTICES", {f: n for f, n in ls.NOTICES.items() if f != family})
+    monkeypatch.setattr(ls, "FAMILIES", [*sorted(ls.NOTICES), ls.UNKNOWN])
+    model = ls.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    rows = ls.scan(spark.createDataFrame(list(enumerate(left)), "doc_id long, text string"), *model).where("n_lines = 1").collect()
+    assert not [r for r in rows if r.confirmed]
+    named = {r.doc_id for r in rows if r.family != ls.UNKNOWN}
+    assert len(named) <= 0.3 * len(left)
+
+
+def test_vocabulary_over_its_bound_is_an_error(spark, sf, monkeypatch):
+    monkeypatch.setattr(ls, "MAX_FEATURES", 10)
+    with pytest.raises(ValueError, match="n-grams"):
+        ls.fit(spark.read.parquet(f"{sf}/documents.parquet"))
