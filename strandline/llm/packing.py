@@ -13,9 +13,8 @@ sequences its pieces can take) and gap (sequences above that; 0: certified best)
 Pieces that fill a sequence each have no partition and gap 0.
 
 Token ids are the public tokenizer's. Ordinary text goes through the rank file
-of the same vocabulary, word by word with a bounded memory of words; a text with
-the end marker's own string goes through `tokenizers` itself, which reads it as
-one id.
+of the same vocabulary, a whole text at once; a text with the end marker's own
+string goes through `tokenizers` itself, which reads it as one id.
 
 Defined cases. Null text: empty, a piece of the end id alone. Null doc_id and
 repeated rows: packed like others, a piece each. Extra columns are ignored. An
@@ -25,8 +24,8 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,28 +40,6 @@ from .common import fresh, materialize
 SEQUENCE = 1024
 END_ID = 2
 SPECIAL = "<|endoftext|>"
-_SPACE = re.compile(r"\s")
-
-
-class _Odd(Exception):
-    """The text isn't words between single spaces and line feeds."""
-
-
-class _Words(dict):
-    """Little-endian ids of a word, with the space before it where lead is ' '."""
-
-    LIMIT = 100_000
-
-    def __init__(self, encode, lead: str):
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or _SPACE.search(word):
-            raise _Odd
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = np.array(self.encode(self.lead + word), "<u4").tobytes()
-        return value
 
 
 class Encoder:
@@ -76,8 +53,6 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.json_path, self.full = json_path, None
         self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.first, self.later = _Words(self.plain, ""), _Words(self.plain, " ")
-        self.feed = np.array(self.plain("\n"), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
@@ -86,14 +61,7 @@ class Encoder:
 
                 self.full = Tokenizer.from_file(self.json_path)
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        try:
-            lines = []
-            for line in text.split("\n"):
-                head, *rest = line.split(" ")
-                lines.append(self.first[head] + b"".join(map(self.later.__getitem__, rest)))
-            return self.feed.join(lines)
-        except _Odd:
-            return np.array(self.plain(text), "<u4").tobytes()
+        return np.frombuffer(array("I", self.plain(text)), np.uint32).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(1)
@@ -127,9 +95,6 @@ def tokenize(docs: DataFrame, size: int = SEQUENCE, json_path: str | None = None
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
             pa.default_memory_pool().release_unused()
-        # the worker lives on: it keeps the encoder, not the words
-        enc.first.clear()
-        enc.later.clear()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -16,7 +16,7 @@ def tokenizer():
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-TEXTS = ["", " ", "a", "two words", "line\nfeed", "double  space", " lead", "trail ", "a\n\nb", "\n", "tab\there", "don't we'll 's x", "é b  c", "<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y\nz", "日本語 text 123,456!", "word " * 3000, "a" * 5000, "\r\n a\r", "\u0085 x", "\x1c y"]
+TEXTS = ["", " ", "a", "two words", "line\nfeed", "double  space", " lead", "trail ", "a\n\nb", "\n", "tab\there", "don't we'll 's x", "é b  c", "<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y\nz", "日本語 text 123,456!", "word " * 3000, "a" * 5000, " " * 50_000 + "x", "\n" * 20_000, "\r\n a\r", "\u0085 x", "\x1c y"]
 
 
 def test_ids_are_the_tokenizers(tokenizer, spark, sf):
