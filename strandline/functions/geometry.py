@@ -83,3 +83,55 @@ def collider(x0: Column, y0: Column, x1: Column, y1: Column, along: float, befor
     bx, by = x1 + past * ux, y1 + past * uy
     corner = lambda x, y, s: F.struct((x - s * along * uy).alias("x"), (y + s * along * ux).alias("y"))
     return F.array(corner(ax, ay, 1), corner(bx, by, 1), corner(bx, by, -1), corner(ax, ay, -1))
+
+
+def on_transect(x0: Column, y0: Column, x1: Column, y1: Column, chainage: Column) -> tuple[Column, Column]:
+    """The point at a chainage of the transect; NULL where both ends agree."""
+    length = distance(x0, y0, x1, y1)
+    return x0 + chainage * F.try_divide(x1 - x0, length), y0 + chainage * F.try_divide(y1 - y0, length)
+
+
+def axis_box(x0: Column, y0: Column, x1: Column, y1: Column, buffer: float) -> Column:
+    """Upright box around both ends of a transect, `buffer` wider on each side."""
+    return F.struct(
+        (F.least(x0, x1) - buffer).alias("x_min"), (F.least(y0, y1) - buffer).alias("y_min"),
+        (F.greatest(x0, x1) + buffer).alias("x_max"), (F.greatest(y0, y1) + buffer).alias("y_max"),
+    )
+
+
+def inside_convex(x: Column, y: Column, corners: Column) -> Column:
+    """Whether a point lies strictly inside a convex polygon (corners in either direction): on one side of every edge."""
+    n = F.size(corners)
+    turn = F.transform(corners, lambda p, i: _turn(p, F.get(corners, (i + 1) % n), x, y))
+    return F.forall(turn, lambda v: v > 0) | F.forall(turn, lambda v: v < 0)
+
+
+def _turn(p: Column, q: Column, x: Column, y: Column) -> Column:
+    return (q["x"] - p["x"]) * (y - p["y"]) - (q["y"] - p["y"]) * (x - p["x"])
+
+
+def window_bounds(col: Column, row: Column, buffer: float, width: Column, height: Column) -> Column:
+    """Rows and columns (ends excluded) of the square window around a pixel, cut to the image; bounds round half to even."""
+    bound = lambda v: F.rint(v).cast("int")
+    return F.struct(
+        F.greatest(bound(row - buffer), F.lit(0)).alias("row_min"), F.least(bound(row + buffer), height).alias("row_max"),
+        F.greatest(bound(col - buffer), F.lit(0)).alias("col_min"), F.least(bound(col + buffer), width).alias("col_max"),
+    )
+
+
+def lerp(x0: Column, y0: Column, x1: Column, y1: Column, x: Column) -> Column:
+    """y at x on the segment from (x0, y0) to (x1, y1); NULL outside it or where it is upright."""
+    share = F.try_divide(x - x0, x1 - x0)
+    return F.when((x >= x0) & (x <= x1), y0 * (1 - share) + y1 * share)
+
+
+def slope_intercept(x0: Column, y0: Column, x1: Column, y1: Column) -> tuple[Column, Column]:
+    """The line through two points as y = slope * x + intercept; NULL where it is upright."""
+    slope = F.try_divide(y1 - y0, x1 - x0)
+    return slope, y0 - x0 * slope
+
+
+def line_crossing(p: tuple[Column, Column], q: tuple[Column, Column]) -> tuple[Column, Column]:
+    """Where two lines (slope, intercept) meet; NULL where they are parallel."""
+    x = F.try_divide(q[1] - p[1], p[0] - q[0])
+    return x, p[0] * x + p[1]

@@ -89,3 +89,11 @@ def capped_share(a: Column, land: Column, water: Column) -> Column:
     off = F.zip_with(a, land, lambda p, q: p - q)
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     return F.greatest(F.least(F.try_divide(dot(off, diff), dot(diff, diff)), F.lit(1.0)), F.lit(0.0))
+
+
+def standardize(pixels: DataFrame, value: str, group: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """pixels with `value` scaled from its span in the group to low..high; NULL where the span is 0. NaN counts as missing."""
+    whole = pixels.withColumn(value, F.when(~F.isnan(value), F.col(value)))
+    span = whole.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    share = F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    return whole.join(span, group, "left").withColumn(value, low + (high - low) * share).drop("_lo", "_hi")

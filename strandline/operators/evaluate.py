@@ -21,6 +21,34 @@ def error_statistics(pairs: DataFrame, group: list[str], measured: str, truth: s
     return out.where(F.col("n") >= least)
 
 
+def satellite_errors(pairs: DataFrame, measured: str, truth: str, by: str = "satname") -> DataFrame:
+    """Per satellite: the median error, the quartiles and whiskers of its box plot, and n; missing values count nowhere.
+
+    A whisker ends at the farthest error within 1.5 quartile distances of the box.
+    """
+    used = pairs.select(by, (F.col(measured) - F.col(truth)).alias("_e")).where("_e IS NOT NULL")
+    boxes = used.groupBy(by).agg(F.percentile("_e", [0.25, 0.5, 0.75]).alias("_q"), F.count("*").alias("n"))
+    boxes = boxes.select(by, *(F.element_at("_q", i + 1).alias(n) for i, n in enumerate(("q25", "median", "q75"))), "n")
+    reach = 1.5 * (F.col("q75") - F.col("q25"))
+    inside = used.join(F.broadcast(boxes), by).where(F.col("_e").between(F.col("q25") - reach, F.col("q75") + reach))  # a row a satellite
+    return inside.groupBy(by, "q25", "median", "q75", "n").agg(F.min("_e").alias("low"), F.max("_e").alias("high"))
+
+
+def median_distances(transects: DataFrame, found: DataFrame, truth: DataFrame, by: list[str]) -> DataFrame:
+    """by, distance: the median chainage found less the true one's; NULL where either has none, and for transects without rows."""
+    middle = lambda df, name: df.groupBy(*by).agg(F.median("chainage").alias(name))
+    both = transects.select(*by).distinct().join(middle(found, "_f"), by, "left").join(middle(truth, "_t"), by, "left")
+    return both.select(*by, (F.col("_f") - F.col("_t")).alias("distance"))
+
+
+def linear_fit(df: DataFrame, group: list[str], x: str, y: str, least: int = 3) -> DataFrame:
+    """Per group: n, slope, intercept, r2 of the least-squares line y(x), and the slope's standard error; none under `least` pairs."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    sums = df.groupBy(*group).agg(F.count(a + b).alias("n"), F.regr_slope(b, a).alias("slope"), F.regr_intercept(b, a).alias("intercept"), F.regr_r2(b, a).alias("r2"), F.regr_sxx(b, a).alias("_sxx"), F.regr_syy(b, a).alias("_syy"))
+    error = F.sqrt(F.try_divide((1 - F.col("r2")) * F.col("_syy"), F.col("_sxx") * (F.col("n") - 2)))
+    return sums.where(F.col("n") >= least).withColumn("slope_std", error).drop("_sxx", "_syy")
+
+
 def normality(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Mean, population std, skewness and excess kurtosis (population), for a normality test."""
     return df.groupBy(*group).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.skewness(value).alias("skewness"), F.kurtosis(value).alias("kurtosis"))
@@ -142,6 +170,22 @@ def trend_records(corrected: DataFrame, trends: DataFrame, slopes: DataFrame, tr
     return out.withColumn("tide_filter_removed_pct", F.try_divide(100.0 * F.col("removed"), F.col("_had"))).drop("removed", "_had")
 
 
+def coverage_records(corrected: DataFrame, trends: DataFrame, slopes: DataFrame, transects: DataFrame, images: DataFrame, default_slope: float = 0.1) -> DataFrame:
+    """One record a transect: trend, slope, images used of its own series, coverage and gap in percent of it, images of the site.
+
+    corrected: transect_id, corrected. A transect without a slope takes the default;
+    one without observations has NULL shares. images: a row a scene of the site.
+    """
+    n = corrected.groupBy("transect_id").agg(F.count("corrected").alias("images_used"), F.count("*").alias("_n"))
+    out = transects.select("transect_id").join(n, "transect_id", "left").join(trends.select("transect_id", "trend"), "transect_id", "left")
+    out = out.join(slopes.select("transect_id", F.col("slope").alias("_s")), "transect_id", "left").crossJoin(F.broadcast(images.agg(F.count("*").alias("images_total"))))
+    share = F.try_divide(100.0 * F.col("images_used"), F.col("_n"))
+    return out.select(
+        "transect_id", "trend", F.coalesce("_s", F.lit(default_slope)).alias("slope"), "images_total", F.coalesce("images_used", F.lit(0)).alias("images_used"),
+        share.alias("coverage_pct"), (100 - share).alias("data_gap_pct"),
+    )
+
+
 def mean_area_distance(a: DataFrame, b: DataFrame, group: list[str]) -> DataFrame:
     """Mean distance of two lines y(x): the area between them over their common x range, by trapezia.
 

@@ -25,7 +25,7 @@ def _cells_of_box(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -
     return F.sequence(cell(x0, size), cell(x1, size)), F.sequence(cell(y0, size), cell(y1, size))
 
 
-def transect_points(transects: DataFrame, points: DataFrame, along: float = 35, past: float = 300, least: float = -150, size: float | None = None) -> DataFrame:
+def transect_points(transects: DataFrame, points: DataFrame, along: float = 35, past: float = 300, least: float | Column = -150, size: float | None = None) -> DataFrame:
     """Points inside each transect's rectangle: their columns, transect_id, chainage and offset.
 
     A point counts within `along` of the transect's line, at most the transect's
@@ -47,6 +47,18 @@ def transect_points(transects: DataFrame, points: DataFrame, along: float = 35,
     return out.where(close).select(*points.columns, "transect_id", "chainage", "offset")
 
 
+def transect_chainages(transects: DataFrame, points: DataFrame, by: list[str], along: float = 35, past: float = 300, least: float = -150, size: float | None = None) -> DataFrame:
+    """transect_points with the points landward of `least` kept, their chainage NULL.
+
+    by: the columns of a series' place, such as scene_id and transect_id; one that
+    has landward points alone has no rows.
+    """
+    near = transect_points(transects, points, along, past, -(F.col("_len") + past), size)
+    kept = near.withColumn("chainage", F.when(F.col("chainage") >= least, F.col("chainage")))
+    some = kept.where("chainage IS NOT NULL").select(*by).distinct()
+    return kept.join(some, by, "left_semi")
+
+
 def away_from(points: DataFrame, obstacles: DataFrame, d: float, by: list[str]) -> DataFrame:
     """Points with no obstacle of their scene nearer than d."""
     o = _around(obstacles.select(*by, "x", "y"), d).select(*by, "_cx", "_cy", F.col("x").alias("_ox"), F.col("y").alias("_oy"))

@@ -42,6 +42,18 @@ def quality_tolerance(scene: dict, ref: dict, base: Column, cap: float = 0.5) ->
     return ~F.coalesce(far, F.lit(False))
 
 
+def extraction_counts(scenes: DataFrame, most_cloud: float, most_empty: float) -> DataFrame:
+    """Per satellite: scenes kept, and those left for cloud, for empty pixels, by an error or by the user, each scene by its first reason.
+
+    scenes: satname, cloud_cover, empty_share, failed, accepted. A missing figure
+    is an error of reading; a missing decision accepts.
+    """
+    figures = F.col("cloud_cover").isNull() | F.col("empty_share").isNull() | F.coalesce("failed", F.lit(False))
+    reason = F.when(figures, "error").when(F.col("cloud_cover") > most_cloud, "cloud").when(F.col("empty_share") > most_empty, "empty").when(~F.coalesce("accepted", F.lit(True)), "user").otherwise("kept")
+    counts = [F.count(F.when(F.col("_why") == k, 1)).alias(k) for k in ("kept", "cloud", "empty", "error", "user")]
+    return scenes.withColumn("_why", reason).groupBy("satname").agg(F.count("*").alias("total"), *counts)
+
+
 def merge(*by_satellite: DataFrame) -> DataFrame:
     """Union of satellites' scenes in the order of time; ties by scene_id."""
     out = by_satellite[0]

@@ -90,3 +90,44 @@ def select_by_class(points: DataFrame, classes: DataFrame, gap: float = 20, far:
     chosen = F.when(F.size("means") == 1, F.element_at("means", 1)).when((F.size("means") == 2) & F.col("_label").isNotNull(), F.when(F.col("_label") == 0, F.array_max(side)).otherwise(F.array_min(side)))
     reason = F.when(F.size("means") > 2, 5).when((F.size("means") == 2) & chosen.isNull(), 6)
     return p.select(*PAIR, F.size("means").alias("n_clusters"), chosen.alias("chainage"), reason.alias("rejection"))
+
+
+def label_choice(means: Column, classes: list[Column], length: Column, far: float = 15) -> Column:
+    """struct(place, at): the first of origin, middle and end (0, 1, 2) that is labelled and over `far` from every mean; (-1, 0) if none is.
+
+    classes: the labels of the three places, -1 where unknown.
+    """
+    made = lambda i, at: F.struct(F.lit(i).alias("place"), at.alias("at"))
+    out = made(-1, F.lit(0.0))
+    for i, at in reversed(list(enumerate((F.lit(0.0), length / 2, length.cast("double"))))):
+        out = F.when((classes[i] != -1) & _clear(means, at, far), made(i, at)).otherwise(out)
+    return out
+
+
+def _clear(means: Column, at: Column, far: float) -> Column:
+    return F.forall(means, lambda m: F.abs(at - m) > far)
+
+
+def cluster_agrees(mean: Column, on_water: Column) -> Column:
+    """Whether a single line (its mean relative to the labelled place) faces as the transect does: behind a place on water, ahead of one on land."""
+    return (on_water & (mean < 0)) | (~on_water & (mean > 0))
+
+
+def cluster_of_two(means: Column, on_water: Column) -> Column:
+    """0 or 1: which of two ascending means faces as the transect does, each change of side turning the answer."""
+    between = (F.get(means, 0) > 0) != (F.get(means, 1) > 0)
+    return (on_water != between).cast("int")
+
+
+def cluster_of_three(means: Column, on_water: Column) -> Column:
+    """0, 1 or 2 of three ascending means, the middle one a cloud's stand-in or a line: the pair around the labelled place decides; 0 and 2 are ambiguous."""
+    ahead = F.get(means, 1) > 0
+    return F.when(ahead, cluster_of_two(F.slice(means, 1, 2), on_water)).otherwise(cluster_of_two(F.slice(means, 2, 2), on_water) + 1)
+
+
+def whole_vertices(vertices: DataFrame) -> DataFrame:
+    """Vertices without a missing coordinate (NULL or NaN); a line that had some and keeps fewer than two goes."""
+    bad = F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y")
+    key = ["scene_id", "contour_id"]
+    lost = vertices.groupBy(*key).agg(F.count(F.when(bad, 1)).alias("_bad"), F.count(F.when(~bad, 1)).alias("_good")).where("_bad > 0 AND _good < 2")
+    return vertices.where(~bad).join(lost, key, "left_anti")

@@ -92,6 +92,15 @@ def demean(series: DataFrame) -> DataFrame:
     return series.join(mid, "transect_id").withColumn("anomaly", F.col("chainage") - F.col("_m")).drop("_m")
 
 
+def symmetric_range(series: DataFrame, value: str, group: list[str], centred: bool = False) -> DataFrame:
+    """group, low, high: the least range around 0 that holds all values, or all less the median of their transect where centred."""
+    if centred:
+        mid = series.groupBy("transect_id").agg(F.median(value).alias("_m"))
+        series = series.join(mid, "transect_id").withColumn(value, F.col(value) - F.col("_m"))
+    far = series.groupBy(*group).agg(F.max(F.abs(value)).alias("high"))
+    return far.select(*group, (-F.col("high")).alias("low"), "high")
+
+
 def time_steps(series: DataFrame, group: list[str]) -> DataFrame:
     """Adds `step_days` since the observation before."""
     w = W.partitionBy(*group).orderBy("ts", "scene_id")

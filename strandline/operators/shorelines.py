@@ -45,9 +45,8 @@ def class_threshold(pixels: DataFrame, seed: int = 0) -> DataFrame:
 
 def scene_thresholds(pixels: DataFrame, least_sand: int = 50) -> DataFrame:
     """The class threshold where a scene's buffer has enough sand pixels, else the global one."""
-    sand = pixels.groupBy("scene_id").agg(F.count(F.when(F.col("in_buffer") & (F.col("label") == SAND), 1)).alias("_n"))
-    both = sand.join(global_threshold(pixels).withColumnRenamed("threshold", "_g"), "scene_id", "left").join(class_threshold(pixels).withColumnRenamed("threshold", "_c"), "scene_id", "left")
-    return both.select("scene_id", F.when(F.col("_n") >= least_sand, F.coalesce("_c", "_g")).otherwise(F.col("_g")).alias("threshold"))
+    both = sand_gate(pixels, least_sand).join(global_threshold(pixels).withColumnRenamed("threshold", "_g"), "scene_id", "left").join(class_threshold(pixels).withColumnRenamed("threshold", "_c"), "scene_id", "left")
+    return both.select("scene_id", F.when(F.col("by_class"), F.coalesce("_c", "_g")).otherwise(F.col("_g")).alias("threshold"))
 
 
 def contours(pixels: DataFrame, levels: DataFrame) -> DataFrame:
@@ -76,6 +75,18 @@ def extract(pixels: DataFrame, scenes: DataFrame, least_length: float = 500.0, c
     return to_shorelines(contours(pixels, scene_thresholds(pixels)), scenes, clouds, least_length, clear_of)
 
 
+def sand_gate(pixels: DataFrame, least: int = 50) -> DataFrame:
+    """scene_id, n_sand, n_water of the buffer, and by_class: whether its sand is enough for the split by class."""
+    n = lambda label: F.count(F.when(F.col("in_buffer") & (F.col("label") == label), 1))
+    return pixels.groupBy("scene_id").agg(n(SAND).alias("n_sand"), n(WATER).alias("n_water")).withColumn("by_class", F.col("n_sand") >= least)
+
+
+def class_counts(training: DataFrame) -> DataFrame:
+    """label, n, share: how many training pixels a class has, and their share of all."""
+    n = training.groupBy("label").agg(F.count("*").alias("n"))
+    return n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("_all")))).select("label", "n", (F.col("n") / F.col("_all")).alias("share"))
+
+
 def training_pixels(by_site: list[DataFrame], most: int | None = None, seed: int = 0) -> DataFrame:
     """Labelled pixels of several sites together; classes of over `most` rows are sampled by a hash."""
     out = by_site[0]

@@ -75,6 +75,17 @@ def correct_series(series: DataFrame, tides: DataFrame, slope: float = 0.1, refe
     return out.withColumn("corrected", F.when(F.col("in_range"), corrected)).drop("_mean", "_slope")
 
 
+def correct_over(matched: DataFrame, slopes: list[float]) -> DataFrame:
+    """matched (with chainage and tide) once for each slope: slope, corrected = chainage + tide / slope.
+
+    For the curves themselves; slopes.band_energy finds the best one without these rows.
+    """
+    if not slopes or 0 in slopes:
+        raise ValueError("slopes must be given, and none may be 0")
+    each = matched.withColumn("slope", F.explode(F.array(*map(F.lit, slopes))))
+    return each.withColumn("corrected", F.col("chainage") + F.col("tide") / F.col("slope"))
+
+
 def filter_statistics(corrected: DataFrame) -> DataFrame:
     """Per transect: observations, those the tide filter removed, and their share."""
     total, gone = F.count("chainage"), F.count(F.when(F.col("chainage").isNotNull() & ~F.coalesce("in_range", F.lit(False)), 1))
