@@ -62,10 +62,37 @@ def test_no_padding(spark):
     df = spark.createDataFrame([(i, "t", "a" if i % 4 else "b") for i in range(1000)], "doc_id long, text string, source string")
     assert mixing.mix(df, exponent=1.0, block=1).count() == 1000
     assert mixing.mix(df.where("source = 'a'")).count() == 750
-    assert mixing.mix(df, most_blocks=10).agg({"block": "max"}).first()[0] <= 10
     assert mixing.mix_documents(df).count() <= 1.4 * 1000
 
 
+def whole_run(weights, slots):
+    parts = list(mixing.shares(dict(enumerate(weights))).values())
+    return parts, list(mixing.exact_schedule(parts, slots))
+
+
+@pytest.mark.parametrize("weights", [[5, 3, 1], [n**0.9 for n in (4000, 900, 300, 77, 20, 5, 1, 1)], [1 / 3] + [2 / 3 / 60] * 60, [1.0, 1e-7, 1e-7]])
+def test_frames_give_the_one_schedule(spark, weights):
+    """Frames made side by side, from guesses, give row for row the schedule that runs from slot 0."""
+    parts, rows = whole_run(weights, 3000)
+    for frame in (40, 333, 3000, 5000):
+        got = mixing._schedule(spark, parts, 3000, frame).collect()
+        assert sorted((r.slot, r.j, r.k) for r in got) == [(slot, i, k) for i, k, slot in rows]
+
+
+def test_wrong_guesses_are_made_again(spark, monkeypatch):
+    """Every frame's guess wrong: the rounds still end with the one schedule."""
+    parts, rows = whole_run([7, 5, 3, 2, 2], 600)
+    monkeypatch.setattr(mixing, "_likely", lambda parts, slot: [slot * p // sum(parts) for p in parts])
+    got = mixing._schedule(spark, parts, 600, 100).collect()
+    assert sorted((r.slot, r.j, r.k) for r in got) == [(slot, i, k) for i, k, slot in rows]
+
+
+def test_small_frames_mix_alike(spark):
+    df = spark.createDataFrame(rows_of(spark), "doc_id long, text string, source string, slot0 string")
+    one, many = (Counter(map(tuple, mixing.mix(df, block=2, frame=f).collect())) for f in (1 << 20, 30))
+    assert one == many
+
+
 def test_clashing_columns_and_many_sources(spark):
     names = ["slot", "place", "Epoch", "block", "_row", "rank", "_rank", "range", "row", "s", "i"]
     df = spark.createDataFrame([(i, f"s{i % 90}", *names) for i in range(200)], ", ".join(["doc_id long", "source string", *(f"`{n}` string" for n in names)]))
