@@ -7,8 +7,11 @@ from math import pi
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def seasonal(ts: Column, amplitude: float, per_second: float) -> Column:
     """amplitude * sin(2 pi f t), t in seconds since 1970."""
@@ -94,13 +97,15 @@ def shared_slope_lines(series: DataFrame, key: list[str], x: str, y: str, lines:
 def semivariogram(pixels: DataFrame, value: str, most: int, axis: str = "col") -> DataFrame:
     """scene_id, lag, n, gamma: Cressie's estimate of half the variance of differences, along rows or columns.
 
-    Each pixel meets the ones up to `most` further along its own line: a join by
-    (scene, line, place), `most` rows a pixel.
+    Each pixel meets the ones up to `most` further along its own line, in a frame
+    of that width over the line in order: one shuffle of the pixels, and nothing is
+    joined or broadcast. A pixel without a place is left out.
     """
     line = "row" if axis == "col" else "col"
-    p = pixels.where(F.col(value).isNotNull() & ~F.isnan(value)).select("scene_id", F.col(line).alias("_line"), F.col(axis).alias("_at"), F.col(value).cast("double").alias("_v"))
-    ahead = p.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(most)))).select("scene_id", "_line", (F.col("_at") + F.col("lag")).alias("_at"), "lag", F.col("_v").alias("_w"))
-    d = p.join(ahead, ["scene_id", "_line", "_at"]).groupBy("scene_id", "lag").agg(F.count("*").alias("n"), F.avg(F.sqrt(F.abs(F.col("_v") - F.col("_w")))).alias("_m"))
+    p = pixels.where(F.col(value).isNotNull() & ~F.isnan(value)).select("scene_id", F.col(line).alias("_line"), F.col(axis).alias("_at"), F.col(value).cast("double").alias("_v")).dropna()
+    w = W.partitionBy("scene_id", "_line").orderBy("_at").rangeBetween(1, most)
+    met = p.withColumn("_next", F.collect_list(F.struct("_at", "_v")).over(w)).withColumn("_next", F.explode("_next"))
+    d = met.groupBy("scene_id", (F.col("_next._at") - F.col("_at")).cast("int").alias("lag")).agg(F.count("*").alias("n"), F.avg(F.sqrt(F.abs(F.col("_v") - F.col("_next._v")))).alias("_m"))
     n = F.col("n").cast("double")
     return d.select("scene_id", "lag", "n", (F.pow("_m", 4) / (0.457 + 0.494 / n + 0.045 / (n * n)) / 2).alias("gamma"))
 
@@ -112,9 +117,10 @@ def gaussian_model(g: DataFrame, steps: int = 100) -> DataFrame:
     reach at most the largest lag. For a given reach the model is linear, so sill
     and nugget follow from sums over the scene's lags; reach is taken from an even
     grid of `steps`, and then from one as fine between its neighbours. A scene has a
-    row a lag, and every candidate is summed beside the others.
+    row a lag, and every candidate is summed beside the others. g is read four times,
+    so it is made once before.
     """
-    lag = F.col("lag").cast("double")
+    g, lag = cut(g), F.col("lag").cast("double")
     span = g.groupBy("scene_id").agg(F.max(lag).alias("_top"))
 
     def best(grid: DataFrame) -> DataFrame:

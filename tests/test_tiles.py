@@ -207,3 +207,20 @@ def test_warp_between_grids(spark):
             assert abs(r.v - plane(x, y)) < 1e-9
         assert max(abs(sc - 5), abs(sr - 5)) > 0.5
     assert inner > 100
+
+
+def test_semivariogram_joins_nothing(spark):
+    values = {(0, 0): 1.0, (0, 1): 3.0, (0, 3): -2.0, (0, 9): 0.5, (1, 0): 2.0, (1, 2): 4.0}
+    rows = [(s, r, c, v + s) for s in (0, 1) for (r, c), v in values.items()] + [(0, 1, 1, None), (0, 1, 3, float("nan"))]
+    got = research.semivariogram(spark.createDataFrame(rows, "scene_id long, row int, col int, value double"), "value", 3)
+    # a join would be a broadcast of all pixels where Spark takes exploded arrays for small
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    gaps = {}
+    for (r, c), v in values.items():
+        for k in (1, 2, 3):
+            if (r, c + k) in values:
+                gaps.setdefault(k, []).append(abs(v - values[r, c + k]) ** 0.5)
+    want = {k: (len(g), (sum(g) / len(g)) ** 4 / (0.457 + 0.494 / len(g) + 0.045 / len(g) ** 2) / 2) for k, g in gaps.items()}
+    for s in (0, 1):
+        one = {r.lag: (r.n, r.gamma) for r in got.where(f"scene_id = {s}").collect()}
+        assert one.keys() == want.keys() and all(one[k] == pytest.approx(want[k]) for k in want)
