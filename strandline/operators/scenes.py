@@ -5,8 +5,10 @@ scenes: scene_id, satname, ts (timestamp without zone, UTC), and what a filter n
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -114,32 +116,41 @@ def one_zone(scenes: DataFrame, site: list[str], hours: int = 24, most: int = 2)
     The first scene in the order of time is a seed. Of all scenes less than `hours`
     from a seed, those of other zones go and so do the main zone's after the first
     `most`; the next seed is the first scene that no seed has covered. Sites of one
-    zone stay as they are. Seeds don't reach over a pause of `hours`, so a group is
-    a site's scenes between two pauses.
+    zone and scenes without a time stay as they are.
+
+    Every scene follows a seed by less than `hours`, so no other zone's scene stays,
+    and a main zone's stays where fewer than `most` of its kind came before it since
+    `hours` before its seed. A site is read in the order of time with its seed and
+    its last `most` times alone: sites are no groups in memory, and a batch has many.
     """
     count = scenes.groupBy(*site, "epsg").agg(F.count("*").alias("_n"))
     rank = F.row_number().over(W.partitionBy(*site).orderBy(F.desc("_n"), "epsg"))
     main = count.withColumns({"_r": rank, "_zones": F.count("*").over(W.partitionBy(*site))}).where("_r = 1 AND _zones > 1").select(*site, F.col("epsg").alias("_main"))
-    tagged = scenes.join(main, site)
-    w = W.partitionBy(*site).orderBy("ts", "scene_id")
-    pause = F.expr(f"ts >= _before + INTERVAL {hours} HOURS")
-    tagged = tagged.withColumn("_before", F.lag("ts").over(w)).withColumn("_group", F.sum(F.coalesce(pause.cast("int"), F.lit(0))).over(w)).drop("_before")
-    columns = scenes.columns
-
-    def thin(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "scene_id"], ignore_index=True)
-        ts, own = pdf["ts"].to_numpy("datetime64[us]"), (pdf["epsg"] == pdf["_main"]).to_numpy()
-        span, gone, i = np.timedelta64(hours, "h"), np.zeros(len(pdf), bool), 0
-        while i < len(pdf):
-            lo, hi = np.searchsorted(ts, ts[i] - span, side="right"), np.searchsorted(ts, ts[i] + span)
-            near = np.arange(lo, hi)
-            gone[near[~own[near]]] = True
-            gone[near[own[near]][most:]] = True
-            i = hi
-        return pdf.loc[~gone, columns]
-
-    several = tagged.groupBy(*site, "_group").applyInPandas(thin, scenes.schema)
-    return scenes.join(main, site, "left_anti").select(columns).unionByName(several)
+    tagged = scenes.join(main, site).withColumn("_own", F.col("epsg").eqNullSafe(F.col("_main"))).drop("_main")
+    begins = F.row_number().over(W.partitionBy(*site).orderBy("ts", "scene_id")) == 1
+    tagged = tagged.withColumn("_begins", begins).sortWithinPartitions(*site, "ts", "scene_id")
+    columns, span = scenes.columns, hours * 3_600_000_000
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed, taken, last = None, 0, deque(maxlen=most)
+        for b in batches:
+            kept = []
+            for begins, own, t in zip(b["_begins"].to_pylist(), b["_own"].to_pylist(), b["ts"].cast(pa.int64()).to_pylist(), strict=True):
+                if begins:
+                    seed = None
+                    last.clear()
+                if t is None:
+                    kept.append(True)
+                    continue
+                if seed is None or t >= seed + span:
+                    seed, taken = t, sum(x > t - span for x in last)
+                kept.append(own and taken < most)
+                if own:
+                    taken += 1
+                    last.append(t)
+            yield b.filter(pa.array(kept, pa.bool_())).select(columns)
+
+    return scenes.join(main, site, "left_anti").select(columns).unionByName(tagged.mapInArrow(thin, scenes.schema))
 
 
 def outside_zones(epsg: Column, excluded: list[int]) -> Column:

@@ -218,3 +218,33 @@ def test_not_contained_against_all_pairs(spark):
     out = outlines.not_contained(df, ["site"])
     assert out.columns == df.columns
     assert sorted(r.image_id for r in out.collect()) == sorted(b[1] for b in boxes if b[2] is None or b[0] is None or not held(b))
+
+
+def test_one_zone_reads_sites_as_streams(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(rng.integers(0, 40)), T0 + dt.timedelta(hours=float(rng.choice([rng.uniform(0, 900), 24.0 * rng.integers(0, 30)]))), int(rng.choice([1, 1, 2, 3]))) for i in range(1500)]
+    rows += [(2000 + i, 50, T0 + dt.timedelta(hours=i), 7) for i in range(40)] + [(3000, 3, None, 2)]
+    df = spark.createDataFrame(rows, "scene_id long, site long, ts timestamp_ntz, epsg int")
+    out = scenes.one_zone(df, ["site"])
+    # a group a site and pause costs more than its rows: sites are read in batches
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    gone, day = set(), dt.timedelta(hours=24)
+    for site in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == site and r[2]), key=lambda r: (r[2], r[0]))
+        codes = [r[3] for r in rows if r[1] == site]
+        if len(set(codes)) == 1:
+            continue
+        main = min(set(codes), key=lambda c: (-codes.count(c), c))
+        seed = None
+        for r in own:
+            if seed is None or r[2] >= seed + day:
+                seed = r[2]
+                near = [x for x in own if abs(x[2] - seed) < day]
+                gone |= {x[0] for x in near if x[3] != main} | {x[0] for x in [x for x in near if x[3] == main][2:]}
+    want = {r[0] for r in rows} - gone
+    assert {r.scene_id for r in out.collect()} == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert {r.scene_id for r in out.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
