@@ -98,16 +98,27 @@ def nearest(left: DataFrame, right: DataFrame, key: list[str], right_id: str, si
         placed = own.withColumns({"_cx": cell(F.col("_rx"), s), "_cy": cell(F.col("_ry"), s)})
         met = _around(todo, s).join(placed, [*group, "_cx", "_cy"])
         near = met.withColumn("distance", distance(F.col("x"), F.col("y"), F.col("_rx"), F.col("_ry"))).where(F.col("distance") <= s)
+        if k == 1:
+            # the least of a row: put together before the shuffle
+            best = near.groupBy(*group, *key).agg(F.min(F.struct("distance", "_id")).alias("_b"))
+            settled = cut(best.select(*group, *key, F.lit(1).alias("rank"), F.col("_b._id").alias(right_id), "_b.distance"))
+            out, todo = _goes_on(out, todo, settled, [*group, *key])
+            if todo.isEmpty():
+                return out
+            continue
         ranked = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("_want"))
         full = ranked.withColumn("_have", F.count("*").over(W.partitionBy(*group, *key))).where("_have = _want")
         settled = cut(full.select(*group, *key, "rank", F.col("_id").alias(right_id), "distance"))
-        out = settled if out is None else out.unionByName(settled)
-        todo = cut(todo.join(settled.where("rank = 1").select(*group, *key), [*group, *key], "left_anti"))
+        out, todo = _goes_on(out, todo, settled, [*group, *key])
         if todo.isEmpty():
             return out
     raise RuntimeError(f"points without a neighbour after {rounds} rounds: begin with larger cells than {size}")
 
 
+def _goes_on(out: DataFrame | None, todo: DataFrame, settled: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    return settled if out is None else out.unionByName(settled), cut(todo.join(settled.where("rank = 1").select(*key), key, "left_anti"))
+
+
 def nearest_distance(left: DataFrame, right: DataFrame, key: list[str], size: float, rounds: int = 12) -> DataFrame:
     """key and the distance to the nearest row of right, by growing grid cells; no row where right is empty."""
     own = right.select("x", "y", F.lit(0).alias("_right"))

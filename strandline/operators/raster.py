@@ -187,18 +187,25 @@ def degrade(pixels: DataFrame, value: str, from_m: float, to_m: float) -> DataFr
     return along(along(pixels.select(*KEY, value), "row"), "col")
 
 
-def cells(pixels: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+def cells(pixels: DataFrame, value: str, by: list[str] | None = None, tile: int | None = None) -> DataFrame:
     """by, r0, c0 and the corner values a, b, c, d (clockwise from the first) of each cell of four pixels with values.
 
     One shuffle: each pixel is a corner of four cells, and corners that lie
-    together are put together before it.
+    together are put together before it. With `tile`, the cells of a tile of that
+    size lie in one partition, and its number (_tr, _tc) is in the rows.
     """
     by = by or ["scene_id"]
     v = finite(pixels, value).select(*by, "row", "col", F.col(value).cast("double").alias("_v"))
     corners = [(0, 0, "a"), (0, 1, "b"), (1, 1, "c"), (1, 0, "d")]
     place = lambda dr, dc, name: F.struct((F.col("row") - dr).alias("r0"), (F.col("col") - dc).alias("c0"), F.lit(name).alias("corner"))
     spread = v.select(*by, "_v", F.explode(F.array(*(place(*x) for x in corners))).alias("_p")).select(*by, "_p.*", "_v")
-    met = spread.groupBy(*by, "r0", "c0").agg(*(F.max(F.when(F.col("corner") == n, F.col("_v"))).alias(n) for _, _, n in corners))
+    where = []
+    if tile:
+        where = ["_tr", "_tc"]
+        spread = spread.withColumns({"_tr": F.floor(F.col("r0") / tile), "_tc": F.floor(F.col("c0") / tile)})
+        # as many partitions as set: what follows is more work than its bytes tell adaptive execution
+        spread = spread.repartition(int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, *where)
+    met = spread.groupBy(*by, *where, "r0", "c0").agg(*(F.max(F.when(F.col("corner") == n, F.col("_v"))).alias(n) for _, _, n in corners))
     return met.where("a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL AND d IS NOT NULL")
 
 

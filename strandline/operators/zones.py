@@ -8,17 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.geometry import segment_distance
+from ..functions.geometry import distance, segment_distance
 from . import thresholds
 from .joins import cell, nearest
 from .outlines import zones_of_points
-from .raster import cell_pieces, cells, contour_points
+from .raster import TILE, cell_pieces, cells, contour_points
 
 LINE = ["scene_id"]
+#: Reference points of a scene that are brought to its pixels' rows whole.
+FEW = 64
 
 
 def windows(pixels: DataFrame, refs: DataFrame, half: int) -> DataFrame:
@@ -49,6 +51,14 @@ def zone_indicators(pixels: DataFrame, refs: DataFrame, half: int = 50, least: f
     return zones_of_points(refs.join(tested, ["scene_id", "idx"], "left"), LINE, "p_value", least)
 
 
+def _parted(refs: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(scene_id, _refs: the columns of all reference points of each scene that has FEW at most; the other scenes' refs, None where there are none)."""
+    r = refs.withColumn("_n", F.count("*").over(W.partitionBy("scene_id")))
+    few = r.where(F.col("_n") <= FEW).groupBy("scene_id").agg(F.collect_list(F.struct(*columns)).alias("_refs"))
+    many = r.where(F.col("_n") > FEW).drop("_n")
+    return few, None if refs.groupBy("scene_id").count().where(F.col("count") > FEW).isEmpty() else many
+
+
 def nearest_reference(points: DataFrame, refs: DataFrame, key: list[str], size: float = 8.0) -> DataFrame:
     """points (scene_id, row, col, key) plus idx, zone and distance of the nearest reference point of their scene, ties to the lesser idx."""
     at = lambda df: df.withColumns({"x": F.col("col").cast("double"), "y": F.col("row").cast("double")})
@@ -126,15 +136,35 @@ def level_sweep(pixels: DataFrame, refs: DataFrame, steps: int = 200, size: floa
     number = lambda v: F.try_divide(v - F.col("_lo"), step)
     # a step further on each side: rounding decides nothing, cell_pieces drops levels that don't cross
     first, last = F.greatest(F.floor(number(least)) - 1, F.lit(0)), F.least(F.ceil(number(most)) + 1, F.lit(steps - 1))
-    c = cells(inside.where("NOT cloud"), "value").join(span, "scene_id").where("_hi > _lo")
-    c = c.withColumn("step", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    c = c.withColumn("level", F.col("_lo") + F.col("step") * step)
-    by = ["scene_id", "step", "level"]
-    return _mean_distance(contour_points(cell_pieces(c, F.col("level"), by), by), refs, by, size)
-
-
-def _mean_distance(points: DataFrame, refs: DataFrame, by: list[str], size: float) -> DataFrame:
-    return point_distances(points, refs, by, size).groupBy(*by).agg(F.avg("distance").alias("error"))
+    c = cells(inside.where("NOT cloud"), "value", tile=TILE)
+    level = F.col("_lo") + F.col("step") * step
+    swept = lambda c: c.withColumn("step", F.explode(F.sequence(first.cast("int"), last.cast("int")))).withColumn("level", level)
+    by = ["scene_id", "step"]
+    found = cell_distances(c, span.where("_hi > _lo"), LINE, swept, F.col("level"), refs, by, size)
+    return found.groupBy(*by).agg(F.avg("distance").alias("error")).join(span, "scene_id").select("scene_id", "step", level.alias("level"), "error")
+
+
+def cell_distances(c: DataFrame, beside: DataFrame, on: list[str], spread: Callable, level: Column, refs: DataFrame, by: list[str], size: float = 4.0) -> DataFrame:
+    """by, idx, distance of each reference point to the nearest contour point of each group of its scene.
+
+    c: cells by `on` with their tiles; beside: rows by `on` that each of them gets;
+    spread: a function of both that makes the rows of by, each with its level.
+    Where a scene's reference points are FEW at most, they come to its tiles, and a
+    tile's rows are brought down to the least distances where they lie; in other
+    scenes contour points are looked up by growing cells.
+    """
+    few, many = _parted(refs, ["idx", "row", "col"])
+    where = [*on, "_tr", "_tc"]
+    tiles = c.select(*where).distinct().join(beside, on).join(few, "scene_id")
+    # Spark takes exploded arrays for small: without the hint it may broadcast all cells
+    pieces = cell_pieces(spread(c.join(tiles.hint("merge"), where)), level, [*by, "_refs"])
+    ends = pieces.select(*by, "_refs", F.explode(F.array("p", "q")).alias("e")).select(*by, "_refs", F.round("e.row", 9).alias("_y"), F.round("e.col", 9).alias("_x"))
+    met = ends.select(*by, "_y", "_x", F.explode("_refs").alias("r"))
+    out = met.groupBy(*by, "r.idx").agg(F.min(distance(F.col("_x"), F.col("_y"), F.col("r.col"), F.col("r.row"))).alias("distance"))
+    if many is None:
+        return out
+    points = contour_points(cell_pieces(spread(c.join(beside, on)), level, by), by)
+    return out.unionByName(point_distances(points, many, by, size))
 
 
 def point_distances(points: DataFrame, refs: DataFrame, by: list[str], size: float = 4.0) -> DataFrame:
@@ -166,9 +196,7 @@ def method_distances(pixels: DataFrame, refs: DataFrame, indices: dict, methods:
         one = method(inside, by, "value").select(*by, F.lit(name).alias("threshold_name"), F.col("threshold").cast("double").alias("threshold"))
         found = one if found is None else found.unionByName(one)
     levels = found.select(*by, F.concat_ws("__", "index_name", "threshold_name").alias("method"), "threshold")
-    pieces = cell_pieces(cells(inside, "value", by).join(levels, by), F.col("threshold"), ["scene_id", "method"])
-    points = contour_points(pieces, ["scene_id", "method"])
-    return point_distances(points, refs, ["scene_id", "method"], size)
+    return cell_distances(cells(inside, "value", by, TILE), levels, by, lambda c: c, F.col("threshold"), refs, ["scene_id", "method"], size)
 
 
 def zero_threshold(df: DataFrame, group: list[str], value: str) -> DataFrame:
