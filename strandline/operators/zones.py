@@ -60,10 +60,20 @@ def _parted(refs: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame |
 
 
 def nearest_reference(points: DataFrame, refs: DataFrame, key: list[str], size: float = 8.0) -> DataFrame:
-    """points (scene_id, row, col, key) plus idx, zone and distance of the nearest reference point of their scene, ties to the lesser idx."""
+    """points (scene_id, row, col, key) plus idx, zone and distance of the nearest reference point of their scene, ties to the lesser idx.
+
+    A scene's reference points come to each of its points where they are FEW at
+    most; in other scenes they are looked up by growing cells.
+    """
+    few, many = _parted(refs, ["idx", "zone", "row", "col"])
+    gap = lambda r: distance(F.col("col"), F.col("row"), r["col"], r["row"])
+    best = F.array_min(F.transform("_refs", lambda r: F.struct(gap(r).alias("distance"), r["idx"].alias("idx"), r["zone"].alias("zone"))))
+    out = points.join(few.hint("merge"), "scene_id").withColumn("_best", best).select(*points.columns, "_best.idx", "_best.zone", "_best.distance")
+    if many is None:
+        return out
     at = lambda df: df.withColumns({"x": F.col("col").cast("double"), "y": F.col("row").cast("double")})
-    found = nearest(at(points), at(refs), key, "idx", size, LINE).select("scene_id", *key, "idx", "distance")
-    return points.join(found, ["scene_id", *key]).join(refs.select("scene_id", "idx", "zone"), ["scene_id", "idx"])
+    found = nearest(at(points), at(many), key, "idx", size, LINE).select("scene_id", *key, "idx", "distance")
+    return out.unionByName(points.join(found, ["scene_id", *key]).join(many.select("scene_id", "idx", "zone"), ["scene_id", "idx"]))
 
 
 def partition_buffer(pixels: DataFrame, refs: DataFrame, size: float = 8.0) -> DataFrame:

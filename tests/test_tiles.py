@@ -224,3 +224,37 @@ def test_semivariogram_joins_nothing(spark):
     for s in (0, 1):
         one = {r.lag: (r.n, r.gamma) for r in got.where(f"scene_id = {s}").collect()}
         assert one.keys() == want.keys() and all(one[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_sweep_and_windows_with_few_and_many_references(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(s, r, c, float(np.sin(r / 3 + s) + c / 4 + rng.normal(0, 0.3)), bool((r + c) % 11 == 0), 1 <= c <= 8) for s in range(3) for r in range(10) for c in range(10)]
+    pixels = spark.createDataFrame(rows, "scene_id long, row int, col int, value double, cloud boolean, in_buffer boolean")
+    refs = spark.createDataFrame([(s, i, float(i % 10), 4.0 + i % 3) for s in range(3) for i in range(4 + 3 * s)], "scene_id long, idx int, row double, col double")
+    sweep = lambda: zones.level_sweep(pixels, refs, 9, 2.0)
+    local = lambda: zones.point_contours(pixels, refs, 2, lambda df, group, value: thresholds.otsu(df, group, value, 16), 2.0)[0]
+    read = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.collect())
+    swept, held = read(sweep()), read(local())
+    for few in (0, 6):
+        monkeypatch.setattr(zones, "FEW", few)
+        assert read(sweep()) == swept and read(local()) == held
+    # by hand, over the contours' distinct points
+    inside = thresholds.finite(pixels.where("in_buffer"), "value")
+    for s in range(3):
+        own = [r for r in rows if r[0] == s and r[5]]
+        lo, hi = min(r[3] for r in own), max(r[3] for r in own)
+        for k, level, error in [x[1:] for x in swept if x[0] == s][1::3]:
+            assert level == pytest.approx(lo + k * (hi - lo) / 8)
+            p = raster.contour_points(raster.contour_segments(inside.where(f"NOT cloud AND scene_id = {s}"), "value", lo + k * (hi - lo) / 8), ["scene_id"]).collect()
+            want = np.mean([min(np.hypot(x.row - r.row, x.col - r.col) for x in p) for r in refs.where(f"scene_id = {s}").collect()])
+            assert error == pytest.approx(want, abs=1e-8)
+
+
+def test_sweep_broadcasts_no_cells_and_meets_no_rounds(spark, sf, monkeypatch):
+    from strandline.catalog import zones as queries
+
+    monkeypatch.setattr(zones, "nearest", None)
+    out = queries.best_level(spark, sf)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 500 and "SortMergeJoin" in plan
+    queries.local_extraction(spark, sf).count()
