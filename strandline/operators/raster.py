@@ -309,21 +309,43 @@ def _chains(segments: list[tuple]) -> list[list[tuple]]:
 
 
 def contour_chains(segments: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
-    """by, chain, idx, row, col: the lines inside each tile of cells (a group each); points to 9 digits."""
+    """by, chain, idx, row, col: the lines inside each tile of cells; points to 9 digits.
+
+    Tiles are read one after the other from sorted partitions: one tile's pieces are
+    held at a time, and a batch has many tiles.
+    """
     s = segments.select(*by, F.floor(F.col("r0") / tile).alias("_tr"), F.floor(F.col("c0") / tile).alias("_tc"), *(F.round(F.col(c), 9).alias(f"_{c[0]}{c[2]}") for c in ("p.row", "p.col", "q.row", "q.col")))
     schema = s.select(*by, F.lit(0).cast("long").alias("chain"), F.lit(0).alias("idx"), F.col("_pr").alias("row"), F.col("_pc").alias("col")).schema
-
-    def one(table: pa.Table) -> pa.Table:
-        ends = [table[c].to_pylist() for c in ("_pr", "_pc", "_qr", "_qc")]
-        pieces = sorted({tuple(sorted(((a, b), (c, d)))) for a, b, c, d in zip(*ends, strict=True) if (a, b) != (c, d)})
-        base = (table["_tr"][0].as_py() % (1 << 20) << 20 | table["_tc"][0].as_py() % (1 << 20)) << 20
-        rows = [(base + k, i, *p) for k, chain in enumerate(_chains(pieces)) for i, p in enumerate(chain)]
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64())
-        own = {b: pa.array([table[b][0].as_py()] * len(rows), table.schema.field(b).type) for b in by}
-        return pa.table(own | {n: pa.array(c, k) for n, c, k in zip(("chain", "idx", "row", "col"), columns, kinds, strict=True)})
-
-    return s.groupBy(*by, "_tr", "_tc").applyInArrow(one, schema)
+    key = [*by, "_tr", "_tc"]
+
+    def lines(tile_of: tuple, pieces: set[tuple]) -> list[tuple]:
+        own, tr, tc = tile_of[:-2], *tile_of[-2:]
+        base = (tr % (1 << 20) << 20 | tc % (1 << 20)) << 20
+        return [(*own, base + k, i, *p) for k, chain in enumerate(_chains(sorted(pieces))) for i, p in enumerate(chain)]
+
+    def many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, pieces, rows, kinds = None, set(), [], to_arrow_schema(schema)
+        table = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in (*key, "_pr", "_pc", "_qr", "_qc")]
+            for at, *ends in zip(zip(*columns[:-4], strict=True), *columns[-4:], strict=True):
+                if at != now:
+                    if pieces:
+                        rows += lines(now, pieces)
+                    now, pieces = at, set()
+                p, q = tuple(ends[:2]), tuple(ends[2:])
+                if p != q:
+                    pieces.add((p, q) if p < q else (q, p))
+            if rows:
+                yield table()
+                rows = []
+        if pieces:
+            rows = lines(now, pieces)
+            yield table()
+
+    # as many partitions as set: a row is more work than its bytes tell adaptive execution
+    dealt = s.repartition(int(s.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(many, schema)
 
 
 def _ranked(preds: DataFrame, by: list[str], rounds: int = 40) -> DataFrame:

@@ -258,3 +258,34 @@ def test_sweep_broadcasts_no_cells_and_meets_no_rounds(spark, sf, monkeypatch):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 500 and "SortMergeJoin" in plan
     queries.local_extraction(spark, sf).count()
+
+
+def test_lines_of_many_tiles_in_one_batch(spark):
+    rng = np.random.default_rng(8)
+    rows = [(s, r, c, float(np.sin(r / 2 + s) + np.cos(c / 3) + rng.normal(0, 0.2))) for s in range(4) for r in range(12) for c in range(12)]
+    pieces = raster.contour_segments(spark.createDataFrame(rows, "scene_id long, row int, col int, value double"), "value", 0.1)
+    out = raster.contour_chains(pieces, ["scene_id"], 3)
+    # a Python group for each tile costs more than its rows
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for x in pieces.collect():
+        ends = tuple(sorted((round(e.row, 9), round(e.col, 9)) for e in (x.p, x.q)))
+        if ends[0] != ends[1]:
+            want.setdefault((x.scene_id, x.r0 // 3, x.c0 // 3), set()).add(ends)
+
+    def read():
+        chains, seen = {}, {}
+        for x in out.orderBy("scene_id", "chain", "idx").collect():
+            chains.setdefault((x.scene_id, x.chain), []).append((x.row, x.col))
+        for (s, chain), points in chains.items():
+            tile = (s, chain >> 40, chain >> 20 & (1 << 20) - 1)
+            seen.setdefault(tile, []).extend(tuple(sorted(p)) for p in zip(points, points[1:]))
+        assert all(len(p) == len(set(p)) for p in seen.values())
+        return {k: set(p) for k, p in seen.items()}
+
+    assert read() == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert read() == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
