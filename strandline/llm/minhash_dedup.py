@@ -227,13 +227,17 @@ def near_sketches(percent: int) -> Near:
     return near
 
 
-def _bucket_links(pdf: pd.DataFrame, near: Near) -> list[tuple[int, int]]:
+def _bucket_links(members: pa.Table, near: Near) -> list[tuple[int, int]]:
     """Spanning links, by registers, of one bucket's pairs (or of two of its blocks) with an unlike member."""
-    pdf = pdf.sort_values("doc_id", ignore_index=True)
-    n = len(pdf)
-    ids, side, unlike = pdf["doc_id"].to_numpy(), pdf["block"].to_numpy(), pdf["unlike"].to_numpy(bool)
-    both = len(np.unique(side)) > 1
-    regs, sizes = registers_of(pdf["regs"], n), pdf["n_shingles"].to_numpy(np.float64)
+    n = members.num_rows
+    ids, side, unlike = (members.column(c).to_numpy() for c in ("doc_id", "block", "unlike"))
+    if n < 2 or not unlike.any():
+        return []
+    order = np.argsort(ids, kind="stable")
+    ids, side, unlike = ids[order], side[order], unlike[order]
+    both = side.min() != side.max()
+    regs = registers_of(members.column("regs").to_pylist(), n)[order]
+    sizes = members.column("n_shingles").to_numpy()[order].astype(np.float64)
     forest, links, at = _Forest(n), [], np.arange(n)
     for i in np.flatnonzero(unlike):
         others = at[(at > i) | ~unlike]
@@ -257,10 +261,11 @@ def block_pairs(blocks: str, block: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda o: F.struct(F.least(o, block).alias("a"), F.greatest(o, block).alias("b")))
 
 
-def candidate_links(sketches: DataFrame, near: Near, block: int = 2048) -> DataFrame:
+def candidate_links(sketches: DataFrame, near: Near, block: int = 2048, banded: DataFrame | None = None) -> DataFrame:
     """Links (u, v) whose components hold every pair that shares a band and is near by registers.
 
-    sketches: doc_id, n_shingles, regs, bands, one row per text.
+    sketches: doc_id, n_shingles, regs, bands, one row per text. banded: doc_id,
+    band, each once, where the caller has them instead of bands; read twice.
     """
 
     @F.pandas_udf("boolean")
@@ -268,9 +273,12 @@ def candidate_links(sketches: DataFrame, near: Near, block: int = 2048) -> DataF
         n = len(regs_u)
         return pd.Series(near(registers_of(regs_u, n), n_u.to_numpy(np.float64), registers_of(regs_v, n), n_v.to_numpy(np.float64)) if n else np.zeros(0, bool))
 
-    banded = materialize(sketches.select("doc_id", F.explode("bands").alias("band")).dropDuplicates(["doc_id", "band"]), "bands")
+    if banded is None:
+        banded = materialize(sketches.select("doc_id", F.explode("bands").alias("band")).dropDuplicates(["doc_id", "band"]), "bands")
     pivots = banded.groupBy("band").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("v < last").drop("last")
-    stars = join_counted(only_ids(banded, "band", pivots), pivots, ["band"], "n").where("doc_id != v").select("band", F.col("doc_id").alias("u"), "v")
+    pivots = materialize(pivots, "pivots")
+    shared = materialize(only_ids(banded, "band", pivots), "shared-bands")
+    stars = join_counted(shared, pivots, ["band"], "n", pivots.agg(F.sum("n")).first()[0] or 0).where("doc_id != v").select("band", F.col("doc_id").alias("u"), "v")
     stars = materialize(stars, "stars")
     pairs = stars.select("u", "v").distinct()
     ids = stars.select("u").unionByName(stars.select(F.col("v").alias("u"))).distinct()
@@ -280,15 +288,17 @@ def candidate_links(sketches: DataFrame, near: Near, block: int = 2048) -> DataF
     judged = join_counted(pairs.join(mine, "u"), other, ["v"], "count").select("u", "v", alike("regs_u", "n_u", "regs_v", "n_v").alias("alike"))
     judged = materialize(judged, "stars-judged")
     unlike = stars.join(judged.where("NOT alike"), ["u", "v"]).select("band", "u")
-    sizes = unlike.groupBy("band").agg(F.count("*").alias("_u")).join(pivots.select("band", "n"), "band").select("band", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    # a bucket of two has no pair but the one that is judged
+    sizes = unlike.groupBy("band").agg(F.count("*").alias("_u")).join(pivots.where("n > 2").select("band", "n"), "band").select("band", "n", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     members = join_counted(stars.join(judged, ["u", "v"]).select("band", F.col("u").alias("doc_id"), (~F.col("alike")).alias("unlike")), sizes, ["band"], "n")
     members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     members = members.join(regs, "doc_id").withColumn("p", F.explode(block_pairs("blocks", "block")))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_bucket_links(pdf, near), columns=["u", "v"]).astype("int64")
+    def compare(members: pa.Table) -> pa.Table:
+        links = _bucket_links(members, near)
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
-    more = members.select("band", "doc_id", "n_shingles", "regs", "unlike", "block", "p.a", "p.b").groupBy("band", "a", "b").applyInPandas(compare, "u long, v long")
+    more = members.select("band", "doc_id", "n_shingles", "regs", "unlike", "block", "p.a", "p.b").groupBy("band", "a", "b").applyInArrow(compare, "u long, v long")
     return judged.where("alike").select("u", "v").unionByName(more)
 
 

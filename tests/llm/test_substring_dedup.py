@@ -1,6 +1,7 @@
 import random
 
 from strandline.llm import substring_dedup as sd
+from strandline.llm.common import shared_dir
 
 VOCAB = [f"Word{i}" for i in range(3000)]
 
@@ -155,3 +156,49 @@ def test_recall_of_paragraphs_alone(spark):
             linked.setdefault(b, set()).add(a)
     assert alike >= 0.9 * pairs > 100
     assert set(got) <= set(linked)
+
+
+def test_runs_match_brute_force():
+    """Anchors, digests and joined places of many texts at once are those of each text alone."""
+    rng = random.Random(4)
+    texts = [[b"w%d" % rng.randrange(40) for _ in range(n)] for n in (8, 9, 15, 23, 60, 8, 200)] + [[b"same"] * 70]
+    least = 8
+    hashes = [sd.window_hashes(sd.np.array([hash(w) % 2**32 for w in t], sd.np.uint64), 5) for t in texts]
+    want = []
+    for k, (t, s) in enumerate(zip(texts, hashes, strict=True)):
+        w = min(sd.ANCHOR, len(s))
+        at = {min(range(i, i + w), key=lambda j, s=s: (s[j], j)) for i in range(len(s) - w + 1)}
+        want += [(k, i) for i in sorted(at) if i + least <= len(t)]
+    of, at = sd.anchors(hashes, least)
+    assert list(zip(of.tolist(), at.tolist(), strict=True)) == want
+    keys = [b" ".join(texts[k][i : i + least]) for k, i in want]
+    digests = sd.np.array([[hash(x), len(x)] for x in keys], sd.np.int64)
+    places = {}
+    for (k, i), key in zip(want, keys, strict=True):
+        mine = places.setdefault((k, key), [])
+        if mine and i <= mine[-1][1]:
+            mine[-1][1] = i + least
+        else:
+            mine.append([i, i + least])
+    got = sorted(tuple(map(int, x)) for x in zip(*sd.joined_places(of, at, digests, least)[:3], strict=True))
+    assert got == sorted((k, a, b - a) for (k, _), mine in places.items() for a, b in mine)
+
+
+def test_little_is_shuffled(spark):
+    """Of texts without repeats only digests and bands are shuffled, once each; bytes as Spark counts them."""
+    rng = random.Random(3)
+    rows = [(d, text(prose(rng, 400))) for d in range(1500)]
+    rows += [(d + 1500, t + "\n" + text(prose(rng, 60))) for d, t in rows[:20]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    df.write.mode("overwrite").parquet(path := f"{shared_dir(spark)}/little")
+
+    def written():
+        context = spark.sparkContext._jsc.sc()
+        context.listenerBus().waitUntilEmpty(30_000)
+        found = context.statusStore().executorList(False)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    before = written()
+    out = sd.passages(spark.read.parquet(path)).collect()
+    assert {(r.kept_in, r.doc_id) for r in out} == {(d, d + 1500) for d in range(20)}
+    assert written() - before < 1.2 * sum(len(t) for _, t in rows)
